@@ -1,34 +1,32 @@
-"""Column helpers for pitch geometry. All of them return NULL for NULL input."""
+"""SQL expressions for pitch geometry. All of them give NULL for NULL input."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 from pitchlake import fixed_values as fv
 
 
-def metres_x(raw: Column) -> Column:
+def metres_x(raw: str) -> str:
     # Keep divide-then-multiply: the order decides the last bit of the double.
-    return raw / F.lit(fv.SOURCE_LENGTH) * F.lit(fv.PITCH_LENGTH)
+    return f"{raw} / {fv.SOURCE_LENGTH}D * {fv.PITCH_LENGTH}D"
 
 
-def metres_y(raw: Column) -> Column:
-    return raw / F.lit(fv.SOURCE_WIDTH) * F.lit(fv.PITCH_WIDTH)
+def metres_y(raw: str) -> str:
+    return f"{raw} / {fv.SOURCE_WIDTH}D * {fv.PITCH_WIDTH}D"
 
 
-def goal_distance(x: Column, y: Column) -> Column:
-    dx, dy = F.lit(fv.GOAL_X) - x, F.lit(fv.GOAL_Y) - y
-    return F.sqrt(dx * dx + dy * dy)
+def goal_distance(x: str, y: str) -> str:
+    dx, dy = f"({fv.GOAL_X}D - {x})", f"({fv.GOAL_Y}D - {y})"
+    return f"sqrt({dx} * {dx} + {dy} * {dy})"
 
 
-def distance_gained(start: Column, end: Column) -> Column:
+def distance_gained(start: str, end: str) -> str:
     """Metres gained towards goal, from goal distances before and after."""
-    return F.when(start != 0, start - end)
+    return f"CASE WHEN {start} <> 0 THEN {start} - {end} END"
 
 
-def progress_ratio(start: Column, end: Column) -> Column:
-    return F.when(start != 0, (start - end) / start)
+def progress_ratio(start: str, end: str) -> str:
+    return f"CASE WHEN {start} <> 0 THEN ({start} - {end}) / {start} END"
 
 
-def is_progressive(completed: Column, ratio: Column) -> Column:
-    return completed & F.coalesce(ratio >= fv.PROGRESSIVE_RATIO, F.lit(False))
+def is_progressive(completed: str, ratio: str) -> str:
+    return f"{completed} AND coalesce(({ratio}) >= {fv.PROGRESSIVE_RATIO}D, false)"

@@ -20,10 +20,13 @@ def artifact_key(layer: str, match_id: Column, file_hash: Column, suffix: str) -
     )
 
 
-def json_list(items: Column) -> Column:
-    """JSON text of a string array; a missing array is the text ``null``."""
-    quoted = F.transform(items, lambda x: F.regexp_replace(F.to_json(F.array(x)), r"^\[|\]$", ""))
-    return F.coalesce(F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]")), F.lit("null"))
+def json_list(items: str) -> Column:
+    """JSON text of a string array column; a missing array is the text ``null``."""
+    # A quoted string never begins or ends with a bracket, so trimming is exact.
+    return F.expr(f"""
+        coalesce(concat('[', array_join(
+            transform({items}, x -> trim(BOTH '[]' FROM to_json(array(x)))), ', '), ']'), 'null')
+    """)
 
 
 def trim_to_null(value: Column) -> Column:

@@ -34,8 +34,8 @@ def check_grid(grid: list[list[float]]) -> list[list[float]]:
 
 def grid_value(grid: list[list[float]], x: Column, y: Column) -> Column:
     """Value of the cell under (x, y), from the 96-cell grid held as a literal."""
-    flat = F.array(*[F.lit(float(v)) for row in check_grid(grid) for v in row])
-    return F.get(flat, grid_row(y) * fv.XT_COLUMNS + grid_col(x))
+    cells = ", ".join(f"{float(v)!r}D" for row in check_grid(grid) for v in row)
+    return F.get(F.expr(f"array({cells})"), grid_row(y) * fv.XT_COLUMNS + grid_col(x))
 
 
 def grid_frame(
@@ -52,7 +52,7 @@ def grid_frame(
 
 def read_grid(spark: SparkSession, path: str, model_version: str = fv.XT_MODEL_VERSION) -> DataFrame:
     """Read a grid file (a JSON array of arrays) in long form and check its shape."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     rows = raw.select(F.posexplode(F.from_json("value", "array<array<double>>")).alias("row", "cells"))
     long = rows.select(
         F.lit(model_version).alias("model_version"), "row", F.posexplode("cells").alias("col", "value")

@@ -9,43 +9,54 @@ from pitchlake.functions.text import json_list
 from pitchlake.sources import raw
 
 
-def with_lineage(artifacts: DataFrame, manifest: DataFrame) -> DataFrame:
+# Up to this many manifest rows (some 300 bytes each) are sent to all executors.
+BROADCAST_ARTIFACTS = 200_000
+
+
+def with_lineage(
+    artifacts: DataFrame, manifest: DataFrame, keys: tuple[str, ...] = ("match_id", "file_hash"),
+    manifest_rows: int | None = None,
+) -> DataFrame:
     """Attach the manifest record to each artifact.
 
     Joined before the events are exploded: one row per file on both sides, so a
-    large match is no hot key. The manifest is broadcast only if it is small
-    enough for Spark's own threshold.
+    large match is no hot key. With a counted, small manifest the file contents
+    are not shuffled; otherwise Spark decides by its own size estimate.
     """
-    lineage = manifest.select(*raw.LINEAGE_COLUMNS)
-    return artifacts.join(lineage, ["match_id", "file_hash"])
+    lineage = manifest.select(*dict.fromkeys([*raw.LINEAGE_COLUMNS, *keys]))
+    if manifest_rows is not None and manifest_rows <= BROADCAST_ARTIFACTS:
+        lineage = F.broadcast(lineage)
+    return artifacts.join(lineage, list(keys))
+
 
+# Bronze column <- path in the event.
+PATHS = {
+    "event_id": "id", "event_index": "index",
+    "period": "period", "timestamp": "timestamp", "minute": "minute", "second": "second",
+    "event_type_id": "type.id", "event_type_name": "type.name",
+    "team_id": "team.id", "team_name": "team.name",
+    "player_id": "player.id", "player_name": "player.name",
+    "position_id": "position.id", "position_name": "position.name",
+    "possession": "possession",
+    "possession_team_id": "possession_team.id", "possession_team_name": "possession_team.name",
+    "play_pattern_id": "play_pattern.id", "play_pattern_name": "play_pattern.name",
+    "duration": "duration", "under_pressure": "under_pressure", "off_camera": "off_camera", "out": "out",
+}
 
-def _flat(event: str) -> list[Column]:
-    def at(path: str, name: str) -> Column:
-        return F.col(f"{event}.{path}").alias(name)
 
+def _flat() -> list[Column]:
     return [
-        at("id", "event_id"), at("index", "event_index"),
-        at("period", "period"), at("timestamp", "timestamp"), at("minute", "minute"), at("second", "second"),
-        at("type.id", "event_type_id"), at("type.name", "event_type_name"),
-        at("team.id", "team_id"), at("team.name", "team_name"),
-        at("player.id", "player_id"), at("player.name", "player_name"),
-        at("position.id", "position_id"), at("position.name", "position_name"),
-        at("possession", "possession"),
-        at("possession_team.id", "possession_team_id"), at("possession_team.name", "possession_team_name"),
-        at("play_pattern.id", "play_pattern_id"), at("play_pattern.name", "play_pattern_name"),
-        F.get(F.col(f"{event}.location"), F.lit(0)).alias("location_x_raw"),
-        F.get(F.col(f"{event}.location"), F.lit(1)).alias("location_y_raw"),
-        at("duration", "duration"), at("under_pressure", "under_pressure"),
-        at("off_camera", "off_camera"), at("out", "out"),
-        json_list(F.col(f"{event}.related_events")).alias("related_events_json"),
+        *[F.expr(f"event.{path} AS {name}") for name, path in PATHS.items()],
+        F.expr("get(event.location, 0) AS location_x_raw"),
+        F.expr("get(event.location, 1) AS location_y_raw"),
+        json_list("event.related_events").alias("related_events_json"),
     ]
 
 
 def to_bronze(artifacts: DataFrame) -> DataFrame:
     """Artifacts with lineage columns and ``content`` to the Bronze table."""
     parsed = raw.events_with_payload(artifacts.select(*raw.LINEAGE_COLUMNS, "content"))
-    return parsed.select(*raw.LINEAGE_COLUMNS, *_flat("event"), "event_payload_json").select(
+    return parsed.select(*raw.LINEAGE_COLUMNS, *_flat(), "event_payload_json").select(
         *schemas.BRONZE.fieldNames()
     )
 
@@ -57,5 +68,5 @@ def to_events(artifacts: DataFrame) -> DataFrame:
     once, and Silver does not have to parse the payload again.
     """
     parsed = raw.events(artifacts.select(*raw.LINEAGE_COLUMNS, "content"))
-    detail = F.struct(*[F.col(f"event.{name}") for name in schemas.EVENT_DETAIL.fieldNames()])
-    return parsed.select(*raw.LINEAGE_COLUMNS, *_flat("event"), detail.alias("detail"))
+    detail = F.expr("struct(event.pass, event.carry, event.shot) AS detail")
+    return parsed.select(*raw.LINEAGE_COLUMNS, *_flat(), detail)

@@ -16,53 +16,47 @@ INTERVAL_KEYS = ["match_id", "team_id", "period", "interval_start", "is_stoppage
 TEXTS = ["team_name", "file_hash", "xt_model_version"]
 
 
-def _count(condition: Column) -> Column:
-    return F.count_if(F.coalesce(condition, F.lit(False)))
-
-
 def fact_gold_team(silver: DataFrame) -> DataFrame:
     """One row per team and match. All periods count; xg is NULL without shots."""
-    shot = F.col("is_shot")
     texts = ["team_name", "file_hash"]
     counts = [
         "shots", "goals", "xg", "attempted_passes", "completed_passes", "progressive_passes", "carries",
     ]
     counted = (
-        silver.where(F.col("team_id").isNotNull())
+        silver.where("team_id IS NOT NULL")
         .groupBy(*TEAM_KEYS, *texts).agg(
-            _count(shot).alias("shots"),
-            _count(shot & (F.col("outcome") == fv.GOAL)).alias("goals"),
-            F.sum(F.when(shot, F.coalesce("shot_xg", F.lit(0.0)))).alias("xg"),
-            _count(F.col("is_pass")).alias("attempted_passes"),
-            _count(F.col("is_completed_pass")).alias("completed_passes"),
-            _count(F.col("is_progressive_pass")).alias("progressive_passes"),
-            _count(F.col("is_carry")).alias("carries"),
-            F.max("source_version").alias("source_version"),
+            F.expr("count_if(is_shot) AS shots"),
+            F.expr(f"count_if(is_shot AND outcome = '{fv.GOAL}') AS goals"),
+            F.expr("sum(coalesce(shot_xg, 0D)) FILTER (WHERE is_shot) AS xg"),
+            F.expr("count_if(is_pass) AS attempted_passes"),
+            F.expr("count_if(is_completed_pass) AS completed_passes"),
+            F.expr("count_if(is_progressive_pass) AS progressive_passes"),
+            F.expr("count_if(is_carry) AS carries"),
+            F.expr("max(source_version) AS source_version"),
         )
         .groupBy(*TEAM_KEYS).agg(
-            *[F.sum(name).alias(name) for name in counts],
-            *[F.max(name).alias(name) for name in ["source_version", *texts]],
+            *[F.expr(f"sum({name}) AS {name}") for name in counts],
+            *[F.expr(f"max({name}) AS {name}") for name in ["source_version", *texts]],
         )
     )
-    percent = F.when(
-        F.col("attempted_passes") > 0, 100.0 * F.col("completed_passes") / F.col("attempted_passes")
-    )
-    return counted.select(
-        *TEAM_KEYS, "team_name", "shots", "goals", "xg",
-        "attempted_passes", "completed_passes", "progressive_passes", "carries",
-        percent.alias("pass_completion_pct"), "source_version", "file_hash",
-        F.lit(fv.METRIC_VERSION).alias("metric_version"),
+    return counted.selectExpr(
+        *TEAM_KEYS, "team_name", *counts,
+        "CASE WHEN attempted_passes > 0 THEN 100D * completed_passes / attempted_passes END AS pass_completion_pct",
+        "source_version", "file_hash", f"'{fv.METRIC_VERSION}' AS metric_version",
     )
 
 
+# Threat gained, lost and net over successful moves; zero if there were none.
+_THREAT = [
+    "coalesce(sum(xt_added) FILTER (WHERE is_successful_move AND xt_added > 0), 0D) AS positive_xt",
+    "coalesce(sum(xt_added) FILTER (WHERE is_successful_move AND xt_added < 0), 0D) AS negative_xt",
+    "coalesce(sum(xt_added) FILTER (WHERE is_successful_move), 0D) AS net_xt",
+]
+
+
 def team_match_xt(silver: DataFrame) -> DataFrame:
     """Threat created, given away and net, per team and match (all periods)."""
-    moved, added = F.col("is_successful_move"), F.col("xt_added")
-    return silver.where(F.col("team_id").isNotNull()).groupBy(*TEAM_KEYS).agg(
-        F.coalesce(F.sum(F.when(moved & (added > 0), added)), F.lit(0.0)).alias("positive_xt"),
-        F.coalesce(F.sum(F.when(moved & (added < 0), added)), F.lit(0.0)).alias("negative_xt"),
-        F.coalesce(F.sum(F.when(moved, added)), F.lit(0.0)).alias("net_xt"),
-    )
+    return silver.where("team_id IS NOT NULL").groupBy(*TEAM_KEYS).agg(*[F.expr(e) for e in _THREAT])
 
 
 def assign_intervals(silver: DataFrame) -> DataFrame:
@@ -82,16 +76,12 @@ MEASURES = ["positive_xt", "negative_xt", "net_xt", "successful_moves", "shots",
 
 def interval_aggregates(silver: DataFrame, *grouped_on: str) -> DataFrame:
     """Measures per interval that has events, optionally split by further columns."""
-    moved, added, shot = F.col("is_successful_move"), F.col("xt_added"), F.col("is_shot")
-    zero = F.lit(0.0)
     return assign_intervals(silver).groupBy(*INTERVAL_KEYS, *grouped_on).agg(
-        F.coalesce(F.sum(F.when(moved & (added > 0), added)), zero).alias("positive_xt"),
-        F.coalesce(F.sum(F.when(moved & (added < 0), added)), zero).alias("negative_xt"),
-        F.coalesce(F.sum(F.when(moved, added)), zero).alias("net_xt"),
-        _count(moved).alias("successful_moves"),
-        _count(shot).alias("shots"),
-        F.coalesce(F.sum(F.when(shot, F.coalesce("shot_xg", zero))), zero).alias("xg"),
-        F.max("source_version").alias("source_version"),
+        *[F.expr(e) for e in _THREAT],
+        F.expr("count_if(is_successful_move) AS successful_moves"),
+        F.expr("count_if(is_shot) AS shots"),
+        F.expr("coalesce(sum(coalesce(shot_xg, 0D)) FILTER (WHERE is_shot), 0D) AS xg"),
+        F.expr("max(source_version) AS source_version"),
     )
 
 

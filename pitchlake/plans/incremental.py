@@ -33,6 +33,8 @@ def register_artifacts(
     source_url: Column | None = None, raw_uri: Column | None = None,
 ) -> DataFrame:
     """Manifest rows for new artifacts; versions go on from those of the match."""
+    # Only the history of the arriving matches counts, and it is small.
+    manifest = only(manifest, arrivals, ["match_id"])
     fresh = running_totals(
         new_artifacts(arrivals, manifest), ["match_id"], ["arrival", "file_hash"], {"nth": F.lit(1)}
     )
@@ -105,11 +107,13 @@ class CommitStore:
         return only(rows, self.commits(), ["commit_seq"])
 
     def commit(
-        self, df: DataFrame, commit_key: str, check: Callable[[DataFrame], DataFrame] | None = None
+        self, df: DataFrame, commit_key: str, check: Callable[[DataFrame], DataFrame] | None = None,
+        matches: DataFrame | None = None,
     ) -> int:
         """Publish new contents for the matches in ``df``; returns the commit number.
 
         ``check`` gets the written rows and returns violations by match.
+        ``matches`` may list further matches that are replaced by nothing.
         Repeating a ``commit_key`` rewrites its own commit.
         """
         state = self.commits().agg(
@@ -123,6 +127,8 @@ class CommitStore:
         listed = written.groupBy("match_id", "file_hash").agg(
             F.max("source_version").alias("source_version"), F.count("*").alias("rows")
         )
+        if matches is not None:
+            listed = matches.select("match_id").distinct().join(listed, "match_id", "left")
         if check is None:
             listed = listed.withColumn("published", F.lit(True))
         else:

@@ -40,10 +40,11 @@ def require_contract(df: DataFrame, contract: T.StructType = schemas.SILVER) ->
 
 
 def silver_violations(silver: DataFrame) -> DataFrame:
-    """All row rules and event-id uniqueness of Silver, in one scan.
+    """All row rules and event-id uniqueness of Silver.
 
-    Rows are counted per (match, event) first, which spreads even one huge
-    match over all tasks, and then summed per match.
+    The row rules are counted next to the scan and shuffle one row per match
+    and task. Only the ids themselves are shuffled row by row, by match and
+    event, which spreads even one huge match over all tasks.
     """
     c = F.col
     rules = {
@@ -58,15 +59,12 @@ def silver_violations(silver: DataFrame) -> DataFrame:
         "move_without_xt": c("is_successful_move")
         & (c("xt_start").isNull() | c("xt_end").isNull() | c("xt_added").isNull()),
     }
-    per_event = silver.groupBy("match_id", "event_id").agg(
-        F.count("*").alias("rows"), *[F.count_if(checks.violated(rule)).alias(n) for n, rule in rules.items()]
+    repeated = (
+        silver.where("event_id IS NOT NULL").groupBy("match_id", "event_id").agg(F.count("*").alias("rows"))
+        .where("rows > 1").groupBy("match_id").agg(F.sum(c("rows") - 1).alias("n"))
+        .select("match_id", F.lit("event_id_duplicated").alias("rule"), "n")
     )
-    repeated = F.when(c("event_id").isNotNull(), c("rows") - 1)
-    per_match = per_event.groupBy("match_id").agg(
-        F.coalesce(F.sum(repeated), F.lit(0)).alias("event_id_duplicated"),
-        *[F.sum(name).alias(name) for name in rules],
-    )
-    return checks.as_rows(per_match, ["event_id_duplicated", *rules])
+    return checks.row_rules(silver, rules).unionByName(repeated)
 
 
 def empty_batches(registered: DataFrame, silver: DataFrame) -> DataFrame:

@@ -80,22 +80,23 @@ def xg_timeline(silver: DataFrame) -> DataFrame:
         F.coalesce("shot_xg", F.lit(0.0)).alias("shot_xg"), _is_goal().alias("is_goal"),
     )
     summed = running_totals(
-        shots, ["match_id", "team_name"], ["event_index", "event_id"], {"cumulative_xg": F.col("shot_xg")},
+        shots, ["match_id", "team_name"], ["event_index", "event_id"],
+        {"cumulative_xg": F.col("shot_xg"), "nth": F.lit(1)},
         block=F.floor(F.col("event_index") / TIMELINE_BLOCK),
     )
-    marker = F.when(F.col("is_goal"), _marker(F.col("shot_xg"), fv.TIMELINE_GOAL_MARKER)).otherwise(
-        _marker(F.col("shot_xg"), fv.TIMELINE_MISS_MARKER)
-    )
-    points = summed.select(
-        "match_id", "team_name", "event_index", "match_minute", "shot_xg", "cumulative_xg", "is_goal",
-        marker.alias("marker_size"),
-    )
-    starts = shots.select("match_id", "team_name").distinct().select(
-        "match_id", "team_name", F.lit(0).alias("event_index"), F.lit(0.0).alias("match_minute"),
-        F.lit(0.0).alias("shot_xg"), F.lit(0.0).alias("cumulative_xg"), F.lit(False).alias("is_goal"),
-        F.lit(None).cast("double").alias("marker_size"),
+    goal, miss = fv.TIMELINE_GOAL_MARKER, fv.TIMELINE_MISS_MARKER
+    marker = F.when(F.col("is_goal"), _marker(F.col("shot_xg"), goal)).otherwise(_marker(F.col("shot_xg"), miss))
+    columns = ["event_index", "match_minute", "shot_xg", "cumulative_xg", "is_goal", "marker_size"]
+    zero = F.lit(0.0)
+    start = F.struct(*[
+        value.alias(name)
+        for name, value in zip(columns, [F.lit(0), zero, zero, zero, F.lit(False), F.lit(None).cast("double")])
+    ])
+    point = F.struct(*columns)
+    return summed.withColumn("marker_size", marker).select(
+        "match_id", "team_name",
+        F.inline(F.when(F.col("nth") == 1, F.array(start, point)).otherwise(F.array(point))),
     )
-    return starts.unionByName(points)
 
 
 def _display_order(label: Column) -> Column:

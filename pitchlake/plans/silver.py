@@ -2,63 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from pitchlake import fixed_values as fv, schemas
 from pitchlake.functions import pitch, xt
 
 
-def _by_type(kind: Column, **values: Column) -> Column:
-    chain = F.when(kind == fv.PASS, values["on_pass"])
-    if "on_carry" in values:
-        chain = chain.when(kind == fv.CARRY, values["on_carry"])
-    return chain.when(kind == fv.SHOT, values["on_shot"])
-
-
 def coordinates(bronze: DataFrame) -> DataFrame:
     """Event identity with outcome, xG and start / end points in metres."""
     if "detail" not in bronze.columns:
         bronze = bronze.withColumn("detail", F.from_json("event_payload_json", schemas.EVENT_DETAIL))
-    kind = F.col("event_type_name")
-    end = _by_type(
-        kind, on_pass=F.col("detail.pass.end_location"), on_carry=F.col("detail.carry.end_location"),
-        on_shot=F.col("detail.shot.end_location"),
-    )
-    located = bronze.withColumn("end_raw", F.when(F.size(end) >= 2, end))
-    return located.select(
+    kind = "event_type_name"
+    located = bronze.withColumn("end_raw", F.expr(f"""
+        CASE {kind} WHEN '{fv.PASS}' THEN detail.pass.end_location
+                    WHEN '{fv.CARRY}' THEN detail.carry.end_location
+                    WHEN '{fv.SHOT}' THEN detail.shot.end_location END
+    """))
+
+    def end(axis: int) -> str:
+        return f"CASE WHEN size(end_raw) >= 2 THEN get(end_raw, {axis}) END"
+
+    return located.selectExpr(
         "match_id", "event_id", "event_index", "period", "minute", "second",
-        kind.alias("event_type"), "team_id", "team_name", "player_id", "player_name",
-        F.col("possession").alias("possession_id"),
-        pitch.metres_x(F.col("location_x_raw")).alias("start_x"),
-        pitch.metres_y(F.col("location_y_raw")).alias("start_y"),
-        pitch.metres_x(F.get("end_raw", F.lit(0))).alias("end_x"),
-        pitch.metres_y(F.get("end_raw", F.lit(1))).alias("end_y"),
-        _by_type(kind, on_pass=F.col("detail.pass.outcome.name"), on_shot=F.col("detail.shot.outcome.name"))
-        .alias("outcome"),
-        F.when(kind == fv.SHOT, F.col("detail.shot.statsbomb_xg")).alias("shot_xg"),
+        f"{kind} AS event_type", "team_id", "team_name", "player_id", "player_name",
+        "possession AS possession_id",
+        f"{pitch.metres_x('location_x_raw')} AS start_x", f"{pitch.metres_y('location_y_raw')} AS start_y",
+        f"{pitch.metres_x(end(0))} AS end_x", f"{pitch.metres_y(end(1))} AS end_y",
+        f"""CASE {kind} WHEN '{fv.PASS}' THEN detail.pass.outcome.name
+                        WHEN '{fv.SHOT}' THEN detail.shot.outcome.name END AS outcome""",
+        f"CASE WHEN {kind} = '{fv.SHOT}' THEN detail.shot.statsbomb_xg END AS shot_xg",
         "source_version", "file_hash",
     )
 
 
 def flags(events: DataFrame) -> DataFrame:
     """Add type flags, progression and the successful-move gate."""
-    def is_type(name: str) -> Column:
-        return F.coalesce(F.col("event_type") == name, F.lit(False))
-
-    typed = events.select(
-        "*", is_type(fv.PASS).alias("is_pass"), is_type(fv.CARRY).alias("is_carry"),
-        is_type(fv.SHOT).alias("is_shot"),
-        (is_type(fv.PASS) & F.col("outcome").isNull()).alias("is_completed_pass"),
-        pitch.goal_distance(F.col("start_x"), F.col("start_y")).alias("d_start"),
-        pitch.goal_distance(F.col("end_x"), F.col("end_y")).alias("d_end"),
+    typed = events.selectExpr(
+        "*",
+        f"coalesce(event_type = '{fv.PASS}', false) AS is_pass",
+        f"coalesce(event_type = '{fv.CARRY}', false) AS is_carry",
+        f"coalesce(event_type = '{fv.SHOT}', false) AS is_shot",
+        f"coalesce(event_type = '{fv.PASS}', false) AND outcome IS NULL AS is_completed_pass",
+        f"{pitch.goal_distance('start_x', 'start_y')} AS d_start",
+        f"{pitch.goal_distance('end_x', 'end_y')} AS d_end",
     )
-    d_start, d_end, completed = F.col("d_start"), F.col("d_end"), F.col("is_completed_pass")
-    return typed.select(
+    ratio = pitch.progress_ratio("d_start", "d_end")
+    return typed.selectExpr(
         *[c for c in typed.columns if c not in ("d_start", "d_end")],
-        pitch.distance_gained(d_start, d_end).alias("progress_toward_goal_m"),
-        pitch.progress_ratio(d_start, d_end).alias("progress_ratio"),
-        pitch.is_progressive(completed, pitch.progress_ratio(d_start, d_end)).alias("is_progressive_pass"),
-        (completed | F.col("is_carry")).alias("is_successful_move"),
+        f"{pitch.distance_gained('d_start', 'd_end')} AS progress_toward_goal_m",
+        f"{ratio} AS progress_ratio",
+        f"{pitch.is_progressive('is_completed_pass', ratio)} AS is_progressive_pass",
+        "is_completed_pass OR is_carry AS is_successful_move",
     )
 
 
@@ -69,13 +63,13 @@ def threat(events: DataFrame, grid: list[list[float]], model_version: str) -> Da
         xt.grid_value(grid, F.col("start_x"), F.col("start_y")).alias("v_start"),
         xt.grid_value(grid, F.col("end_x"), F.col("end_y")).alias("v_end"),
     )
-    rated = F.col("is_successful_move") & F.col("v_start").isNotNull() & F.col("v_end").isNotNull()
-    return valued.select(
+    rated = "is_successful_move AND v_start IS NOT NULL AND v_end IS NOT NULL"
+    return valued.selectExpr(
         *events.columns,
-        F.when(rated, F.col("v_start")).alias("xt_start"),
-        F.when(rated, F.col("v_end")).alias("xt_end"),
-        F.when(rated, F.col("v_end") - F.col("v_start")).alias("xt_added"),
-        F.lit(model_version).alias("xt_model_version"),
+        f"CASE WHEN {rated} THEN v_start END AS xt_start",
+        f"CASE WHEN {rated} THEN v_end END AS xt_end",
+        f"CASE WHEN {rated} THEN v_end - v_start END AS xt_added",
+        f"'{model_version}' AS xt_model_version",
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pitchlake import fixed_values as fv, schemas
 from pitchlake.operators import checks
-from pitchlake.operators.keyed import only
+from pitchlake.operators.keyed import without
 from pitchlake.operators.ordered import latest
 from pitchlake.plans import bronze, gold, quality, silver
 from pitchlake.plans.incremental import CommitStore, lineage_edges, register_artifacts
@@ -17,11 +17,11 @@ from pitchlake.sources import logs, raw, tables
 
 
 class Warehouse:
-    """Folders: manifest, bronze, silver (a commit store), gold_team, gold_intervals, violations, logs.
+    """Manifest, Bronze, violations and logs by run; Silver and both Gold facts as commit stores.
 
-    ``ingest`` handles any number of artifacts in one job. Each of its steps
-    overwrites what an interrupted run with the same key has left, so it can be
-    repeated at any point.
+    ``ingest`` handles many artifacts in one job. Each of its steps overwrites
+    what an interrupted run with the same key has left, so it can be repeated at
+    any point. Folders are per run, never per match.
     """
 
     def __init__(
@@ -31,6 +31,8 @@ class Warehouse:
         self.spark, self.root = spark, root.rstrip("/")
         self.grid, self.provider, self.model_version = grid, provider, model_version
         self.silver = CommitStore(spark, self.path("silver"))
+        self.gold_team = CommitStore(spark, self.path("gold_team"))
+        self.gold_intervals = CommitStore(spark, self.path("gold_intervals"))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -50,11 +52,10 @@ class Warehouse:
     def violations(self) -> DataFrame:
         return self._keyed("violations", "match_id long, rule string, n long, run_key string")
 
-    def _overwrite(self, df: DataFrame, name: str, key: str) -> DataFrame:
-        """Write the part of ``key`` and go on from what was written."""
-        folder = f"{self.path(name)}/run_key={key}"
-        df.write.mode("overwrite").parquet(folder)
-        return self.spark.read.schema(df.schema).parquet(folder)
+    def _write(self, df: DataFrame, name: str, key: str) -> tuple[DataFrame, int]:
+        """Write the part of ``key``; returns what was written, and its row count."""
+        rows = tables.write_part(df, self.path(name), key)
+        return tables.read_part(self.spark, self.path(name), key), rows
 
     def _stage(self, stage: str, key: str, attempt: int):
         fields: dict[str, Any] = {
@@ -62,15 +63,15 @@ class Warehouse:
         }
         return logs.observe_stage(self.spark, self.path("logs/stage_runs"), stage, **fields)
 
-    def register(self, artifacts: DataFrame, key: str) -> DataFrame:
-        """Add new artifacts to the manifest; returns their rows."""
+    def register(self, artifacts: DataFrame, key: str) -> tuple[DataFrame, int]:
+        """Add new artifacts to the manifest; returns their rows and number."""
         arrivals = artifacts.select("match_id", "file_hash", "raw_uri", F.col("arrived_at").alias("arrival"))
         known = self.manifest().where(F.col("run_key") != key)
         rows = register_artifacts(
             arrivals, known, self.provider, ingested_at=F.date_format("arrival", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"),
             source_url=F.col("raw_uri"), raw_uri=F.col("raw_uri"),
         )
-        return self._overwrite(rows.select(*schemas.MANIFEST.fieldNames()), "manifest", key)
+        return self._write(rows.select(*schemas.MANIFEST.fieldNames()), "manifest", key)
 
     def ingest(self, artifacts: DataFrame, key: str, attempt: int = 1) -> int | None:
         """Take artifacts (as read by ``raw.read_artifacts``) through all layers.
@@ -78,44 +79,46 @@ class Warehouse:
         Returns the Silver commit, or None if nothing was new.
         """
         with self._stage("INGEST", key, attempt) as seen:
-            registered = self.register(artifacts, key)
-            seen["rows_out"] = registered.count()
-        if not seen["rows_out"]:
+            registered, files = self.register(artifacts, key)
+            seen["rows_out"] = files
+        if not files:
             return None
-        fresh = artifacts.drop("match_id", "file_hash").join(
-            registered.select(*raw.LINEAGE_COLUMNS, "raw_uri"), "raw_uri"
+        fresh = bronze.with_lineage(
+            artifacts.drop("match_id", "file_hash"), registered, ("raw_uri",), manifest_rows=files
         )
         with self._stage("BRONZE", key, attempt) as seen:
-            seen["rows_in"] = registered.count()
-            seen["rows_out"] = tables.write_bronze(bronze.to_bronze(fresh), self.path("bronze"))
+            seen["rows_in"] = files
+            events, seen["rows_out"] = self._write(bronze.to_bronze(fresh), "bronze", key)
+            bronze_rows = seen["rows_out"]
 
         # Several versions of a match may arrive together: Silver takes the last.
         newest = latest(registered, ["match_id"], F.col("source_version").desc())
-        events = only(
-            tables.read_bronze(self.spark, self.path("bronze")), newest, ["match_id", "source_version"]
-        )
+        outdated = without(registered, newest, ["match_id", "source_version"])
+        events = without(events, outdated, ["match_id", "source_version"])
         with self._stage("SILVER", key, attempt) as seen:
+            seen["rows_in"] = bronze_rows
             seq = self.silver.commit(
                 quality.require_contract(silver.to_silver(events, self.grid, self.model_version)), key,
                 check=lambda written: self._check(events, written, fresh, newest, key),
             )
-            accepted = only(self.silver.written(seq), self._accepted(seq), ["match_id"])
-            seen["rows_out"] = accepted.count()
-        with self._stage("GOLD_TEAM", key, attempt) as seen:
-            seen["rows_in"] = accepted.count()
-            seen["rows_out"] = tables.replace_matches(gold.fact_gold_team(accepted), self.path("gold_team"))
-        with self._stage("GOLD_INTERVAL", key, attempt) as seen:
-            seen["rows_out"] = tables.replace_matches(
-                gold.fact_gold_intervals(accepted), self.path("gold_intervals")
-            )
-        self._overwrite(
-            lineage_edges("ingest", registered.select(F.col("raw_uri").alias("dataset")), self.silver.path, key),
-            "lineage", key,
-        )
+            listed = self.silver.match_commits().where(F.col("commit_seq") == seq)
+            accepted = listed.where("published")
+            seen["rows_out"] = accepted.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        held_back = listed.where("NOT published")
+        rows = without(self.silver.written(seq), held_back, ["match_id"])
+        self._publish("GOLD_TEAM", self.gold_team, gold.fact_gold_team(rows), accepted, key, attempt)
+        self._publish("GOLD_INTERVAL", self.gold_intervals, gold.fact_gold_intervals(rows), accepted, key, attempt)
+        edges = lineage_edges("ingest", registered.select(F.col("raw_uri").alias("dataset")), self.silver.path, key)
+        self._write(edges, "lineage", key)
         return seq
 
-    def _accepted(self, seq: int) -> DataFrame:
-        return self.silver.match_commits().where((F.col("commit_seq") == seq) & F.col("published"))
+    def _publish(
+        self, stage: str, store: CommitStore, facts: DataFrame, matches: DataFrame, key: str, attempt: int
+    ) -> None:
+        with self._stage(stage, key, attempt) as seen:
+            seq = store.commit(facts, key, matches=matches)
+            counted = store.match_commits().where(F.col("commit_seq") == seq)
+            seen["rows_out"] = counted.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
     def _check(
         self, events: DataFrame, written: DataFrame, fresh: DataFrame, newest: DataFrame, key: str
@@ -124,13 +127,7 @@ class Warehouse:
             raw.unreadable(fresh), quality.silver_violations(written), quality.empty_batches(newest, written),
             quality.reconciliation_violations(quality.reconcile_bronze_silver(events, written)),
         )
-        return self._overwrite(found, "violations", key)
+        return self._write(found, "violations", key)[0]
 
     def stage_runs(self) -> DataFrame:
         return logs.read_log(self.spark, self.path("logs/stage_runs"), schemas.STAGE_RUN)
-
-    def gold_team(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("gold_team"))
-
-    def gold_intervals(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("gold_intervals"))

@@ -19,16 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _div(column: str, by: int) -> Column:
-    return F.expr(f"{column} div {by}")
-
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table that is read by fewer tasks than there are cores.
 
-def _named(number: Column, name: Column) -> Column:
-    return F.struct(number.alias("id"), name.alias("name"))
+    The small test tables are one row group each, which Spark cannot split.
+    Large tables are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
-def _point(x: Column, y: Column) -> Column:
-    return F.array(x, y)
+def _div(column: str, by: int) -> Column:
+    return F.expr(f"{column} div {by}")
 
 
 def raw_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,57 +39,45 @@ def raw_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every driver row becomes an artifact with one event, so that no match,
     however large, is gathered into one array.
     """
-    events = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("e"), F.col("user_id").alias("u"), F.col("value").alias("v"),
-        F.col("event_type").alias("t"), F.get_json_object("props", "$.k").cast("int").alias("k"),
-        _div("event_id", 1000).alias("m"), (F.col("event_id") % 1000).cast("int").alias("i"),
-    )
-    e, u, v, t, k, m, i = (F.col(c) for c in "euvtkmi")
-
-    period = F.when(i < 480, 1).when(i < 940, 2).when(i < 980, 3).otherwise(5)
-    minute = (
-        F.when(i < 480, F.expr("i div 10")).when(i < 940, F.expr("45 + (i - 480) div 9"))
-        .when(i < 980, F.expr("90 + (i - 940) div 4")).otherwise(120)
-    ).cast("int")
-    second = ((e * 7) % 60).cast("int")
-    team_id = F.when(i % 97 != 0, F.when(u % 2 == 0, 1 + m % 10).otherwise(11 + m % 7))
-    team = F.when(team_id.isNotNull(), _named(team_id, F.concat(F.lit("Team "), team_id.cast("string"))))
-    kind = F.struct(
-        F.when(t == "view", 30).when(t == "click", 43).when(t == "purchase", 16)
-        .when(t == "signup", 17).otherwise(42).cast("long").alias("id"),
-        F.when(t == "view", fv.PASS).when(t == "click", fv.CARRY).when(t == "purchase", fv.SHOT)
-        .when(t == "signup", "Pressure").otherwise("Ball Receipt*").alias("name"),
-    )
-    end = _point((e * 71 % 1201) / F.lit(10.0), (e * 89 % 801) / F.lit(10.0)).alias("end_location")
-    outcome = F.when(F.floor(v) % 9 == 0, F.lit(fv.GOAL)).otherwise(F.lit("Saved"))
-    related = (
-        F.when(k % 5 == 0, F.lit(None)).when(k % 5 == 1, F.array().cast("array<string>"))
-        .otherwise(F.array((e - 1).cast("string"), (e + 1).cast("string")))
-    )
-    event = F.struct(
-        e.cast("string").alias("id"), (i + 1).alias("index"), period.alias("period"),
-        F.format_string("00:%02d:%02d.000", minute, second).alias("timestamp"),
-        minute.alias("minute"), second.alias("second"), kind.alias("type"),
-        F.expr("i div 10").cast("int").alias("possession"),
-        team.alias("possession_team"),
-        _named(e % 9 + 1, F.concat(F.lit("Pattern "), (e % 9 + 1).cast("string"))).alias("play_pattern"),
-        team.alias("team"),
-        _named(u, F.concat(F.lit("Player "), u.cast("string"))).alias("player"),
-        _named(u % 25 + 1, F.concat(F.lit("Position "), (u % 25 + 1).cast("string"))).alias("position"),
-        _point((e * 37 % 1201) / F.lit(10.0), (e * 53 % 801) / F.lit(10.0)).alias("location"),
-        v.alias("duration"),
-        F.when(k % 7 == 0, True).alias("under_pressure"),
-        F.when(k % 11 == 0, True).alias("out"),
-        related.alias("related_events"),
-        F.when(t == "view", F.struct(
-            end, F.when(u % 4 == 0, _named(F.lit(9).cast("long"), F.lit("Incomplete"))).alias("outcome"),
-        )).alias("pass"),
-        F.when(t == "click", F.struct(end)).alias("carry"),
-        F.when(t == "purchase", F.struct(
-            end, _named(F.lit(97).cast("long"), outcome).alias("outcome"),
-            F.when(e % 31 != 0, (e * 29 % 1000) / F.lit(1000.0)).alias("statsbomb_xg"),
-        )).alias("shot"),
+    events = _spread(table(spark, sf_dir, "events").drop("ts"), "event_id").selectExpr(
+        "event_id AS e", "user_id AS u", "value AS v", "event_type AS t",
+        "int(get_json_object(props, '$.k')) AS k", "event_id div 1000 AS m", "int(event_id % 1000) AS i",
+    ).selectExpr(
+        "*",
+        "CASE WHEN i < 480 THEN 1 WHEN i < 940 THEN 2 WHEN i < 980 THEN 3 ELSE 5 END AS period",
+        """int(CASE WHEN i < 480 THEN i div 10 WHEN i < 940 THEN 45 + (i - 480) div 9
+                    WHEN i < 980 THEN 90 + (i - 940) div 4 ELSE 120 END) AS minute""",
+        "int(e * 7 % 60) AS second",
+        "CASE WHEN i % 97 <> 0 THEN if(u % 2 = 0, 1 + m % 10, 11 + m % 7) END AS team_id",
+        "array((e * 71 % 1201) / 10D, (e * 89 % 801) / 10D) AS end_location",
     )
+    event = F.expr("""named_struct(
+        'id', string(e), 'index', i + 1, 'period', period,
+        'timestamp', format_string('00:%02d:%02d.000', minute, second), 'minute', minute, 'second', second,
+        'type', CASE t WHEN 'view' THEN named_struct('id', 30L, 'name', 'Pass')
+                       WHEN 'click' THEN named_struct('id', 43L, 'name', 'Carry')
+                       WHEN 'purchase' THEN named_struct('id', 16L, 'name', 'Shot')
+                       WHEN 'signup' THEN named_struct('id', 17L, 'name', 'Pressure')
+                       ELSE named_struct('id', 42L, 'name', 'Ball Receipt*') END,
+        'possession', int(i div 10),
+        'possession_team', if(team_id IS NOT NULL, named_struct('id', team_id, 'name', 'Team ' || team_id), NULL),
+        'play_pattern', named_struct('id', e % 9 + 1, 'name', 'Pattern ' || (e % 9 + 1)),
+        'team', if(team_id IS NOT NULL, named_struct('id', team_id, 'name', 'Team ' || team_id), NULL),
+        'player', named_struct('id', u, 'name', 'Player ' || u),
+        'position', named_struct('id', u % 25 + 1, 'name', 'Position ' || (u % 25 + 1)),
+        'location', array((e * 37 % 1201) / 10D, (e * 53 % 801) / 10D),
+        'duration', v,
+        'under_pressure', if(k % 7 = 0, true, NULL), 'out', if(k % 11 = 0, true, NULL),
+        'related_events', CASE k % 5 WHEN 0 THEN NULL WHEN 1 THEN array()
+                                     ELSE array(string(e - 1), string(e + 1)) END,
+        'pass', if(t = 'view', named_struct('end_location', end_location,
+            'outcome', if(u % 4 = 0, named_struct('id', 9L, 'name', 'Incomplete'), NULL)), NULL),
+        'carry', if(t = 'click', named_struct('end_location', end_location), NULL),
+        'shot', if(t = 'purchase', named_struct('end_location', end_location,
+            'outcome', named_struct('id', 97L, 'name', if(floor(v) % 9 = 0, 'Goal', 'Saved')),
+            'statsbomb_xg', if(e % 31 <> 0, (e * 29 % 1000) / 1000D, NULL)), NULL)
+    )""")
+    m = F.col("m")
     content = F.concat(F.lit("["), F.to_json(event), F.lit("]"))
     return events.select(*match_lineage(1000 + m), content.alias("content"))
 

@@ -16,10 +16,7 @@ def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
     ``match_id`` is taken from a ``match_id=M`` folder. A file is the unit of
     delivery (one match), so it is read as one row and hashed as a whole.
     """
-    files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json").text(path)
-    )
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
     return describe_artifacts(files)
 
 

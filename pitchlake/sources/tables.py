@@ -1,41 +1,40 @@
-"""Parquet datasets keyed by match: Bronze, serving copies, Gold."""
+"""Parquet datasets: parts by run, and small datasets with a folder per match."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
-def _write_counted(df: DataFrame, path: str, *keys: str) -> int:
-    # Rebalancing gathers each partition's rows into few files, and splits hot ones.
-    seen = Observation()
-    (
-        df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .hint("rebalance", *[F.col(k) for k in keys])
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys).parquet(path)
-    )
-    return seen.get["rows"]
-
-
-def write_bronze(bronze: DataFrame, path: str) -> int:
-    """Write Bronze; re-running a (match, version) overwrites only itself.
+def write_part(df: DataFrame, path: str, key: str) -> int:
+    """Write one run's part of a dataset; repeating the run overwrites just that.
 
+    No shuffle: files of a match reach the writer together, as they were read.
     Returns the row count, taken during the write.
     """
-    return _write_counted(bronze, path, "match_id", "source_version")
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").parquet(f"{path}/run_key={key}")
+    return seen.get["rows"]
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_part(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """One run's part; other parts are not even listed."""
+    return spark.read.parquet(f"{path}/run_key={key}")
 
 
 def replace_matches(df: DataFrame, path: str, key: str = "match_id") -> int:
     """Replace whole matches of a dataset: only the partitions in ``df`` change.
 
-    Meant for up to some ten thousand matches; beyond that keep the dataset
-    in a commit store, which has no folder per match.
+    For serving copies of up to some ten thousand matches; the warehouse itself
+    keeps commits, which need no folder per match. Rebalancing gathers each
+    match into few files and splits hot ones.
     """
-    return _write_counted(df, path, key)
+    seen = Observation()
+    (
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance", F.col(key))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    )
+    return seen.get["rows"]
 
 
 def register_serving_views(spark: SparkSession, **paths: str) -> None:

@@ -1,0 +1,91 @@
+"""Landing folder to Gold, as a batch and as a stream."""
+
+import pytest
+
+from pitchlake.plans.warehouse import Warehouse
+from pitchlake.sources import raw
+from pitchlake.streaming.ingest import start_ingest
+from tests import matches
+
+
+def silver_state(warehouse):
+    return {(r["match_id"], r["source_version"]): r["count"]
+            for r in warehouse.silver.read().groupBy("match_id", "source_version").count().collect()}
+
+
+def bad_events():
+    rows = matches.events()
+    rows[1] = {**rows[1], "location": [200.0, 40.0]}
+    return matches.text(rows)
+
+
+@pytest.fixture
+def places(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    return landing, Warehouse(spark, str(tmp_path / "warehouse"), grid=matches.MOCK_GRID)
+
+
+def test_batch_ingest(spark, places):
+    landing, warehouse = places
+    matches.land(landing, 1)
+    matches.land(landing, 2, content=bad_events())
+    matches.land(landing, 3, content="not json")
+    matches.land(landing, 4)
+    matches.land(landing, 4, name="copy.json")
+
+    assert warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-1") == 1
+    assert silver_state(warehouse) == {(1, 1): 18, (4, 1): 18}
+    assert {(r["match_id"], r["rule"]) for r in warehouse.violations().collect()} == {
+        (2, "start_x_out_of_range"), (3, "artifact_unreadable"), (3, "empty_batch")}
+    assert warehouse.manifest().count() == 4
+    assert warehouse.gold_team.read().count() == 4 and warehouse.gold_intervals.read().count() == 80
+
+    # Nothing new: no commit. The corrected match becomes version 2.
+    assert warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-2") is None
+    matches.land(landing, 2)
+    assert warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-3") == 2
+    assert silver_state(warehouse) == {(1, 1): 18, (2, 2): 18, (4, 1): 18}
+    assert warehouse.gold_team.read().count() == 6
+
+    runs = {(r["airflow_run_id"], r["stage"]): r for r in warehouse.stage_runs().collect()}
+    assert (runs["day-1", "BRONZE"]["rows_out"], runs["day-1", "SILVER"]["rows_out"]) == (54, 36)
+    assert runs["day-3", "GOLD_TEAM"]["rows_out"] == 2
+    assert ("day-2", "BRONZE") not in runs and runs["day-2", "INGEST"]["rows_out"] == 0
+    assert all(r["status"] == "SUCCEEDED" for r in runs.values())
+
+
+def test_repeating_a_run_changes_nothing(spark, places):
+    landing, warehouse = places
+    matches.land(landing, 1)
+    artifacts = raw.read_artifacts(spark, str(landing))
+    assert warehouse.ingest(artifacts, "day-1") == 1
+    before = (sorted(warehouse.gold_team.read().collect()), silver_state(warehouse), warehouse.manifest().collect())
+    assert warehouse.ingest(artifacts, "day-1", attempt=2) == 1
+    after = (sorted(warehouse.gold_team.read().collect()), silver_state(warehouse), warehouse.manifest().collect())
+    assert after == before
+
+
+def test_stream_takes_each_file_once(spark, places, tmp_path):
+    landing, warehouse = places
+    checkpoint = str(tmp_path / "checkpoint")
+
+    def run():
+        query = start_ingest(warehouse, str(landing), checkpoint, files_per_batch=2)
+        query.awaitTermination(120)
+        assert query.exception() is None
+
+    for match in (1, 2, 3):
+        matches.land(landing, match)
+    run()
+    assert silver_state(warehouse) == {(1, 1): 18, (2, 1): 18, (3, 1): 18}
+    commits = warehouse.silver.commits().count()
+    run()
+    assert warehouse.silver.commits().count() == commits
+
+    revised = matches.events()[:-1]
+    matches.land(landing, 2, content=matches.text(revised), name="events_v2.json")
+    run()
+    assert silver_state(warehouse) == {(1, 1): 18, (2, 2): 17, (3, 1): 18}
+    versions = {(r["match_id"], r["source_version"]) for r in warehouse.gold_team.read().collect()}
+    assert versions == {(1, 1), (2, 2), (3, 1)}
