@@ -24,7 +24,9 @@ def new_artifacts(arrivals: DataFrame, manifest: DataFrame) -> DataFrame:
     Copies are dropped inside the map tasks, so many copies of one file are no
     hot key.
     """
-    first = latest(arrivals, ["match_id", "file_hash"], F.col("arrival").asc())
+    # Copies may arrive at the same instant: the path decides, so that a repeated task picks the same one.
+    order = [F.col(c).asc() for c in ("arrival", "raw_uri") if c in arrivals.columns]
+    first = latest(arrivals, ["match_id", "file_hash"], *order)
     return without(first, manifest, ["match_id", "file_hash"])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pitchlake import fixed_values as fv, schemas
 from pitchlake.operators import checks
-from pitchlake.operators.keyed import without
+from pitchlake.operators.keyed import only, without
 from pitchlake.operators.ordered import latest
 from pitchlake.plans import bronze, gold, quality, silver
 from pitchlake.plans.incremental import CommitStore, lineage_edges, register_artifacts
@@ -88,18 +88,24 @@ class Warehouse:
         )
         with self._stage("BRONZE", key, attempt) as seen:
             seen["rows_in"] = files
-            events, seen["rows_out"] = self._write(bronze.to_bronze(fresh), "bronze", key)
-            bronze_rows = seen["rows_out"]
+            stored, seen["rows_out"] = self._write(bronze.to_bronze(fresh), "bronze", key)
 
         # Several versions of a match may arrive together: Silver takes the last.
+        version = ["match_id", "source_version"]
         newest = latest(registered, ["match_id"], F.col("source_version").desc())
-        outdated = without(registered, newest, ["match_id", "source_version"])
-        events = without(events, outdated, ["match_id", "source_version"])
+        events = without(stored, without(registered, newest, version), version)
         with self._stage("SILVER", key, attempt) as seen:
-            seen["rows_in"] = bronze_rows
+            def check(written: DataFrame) -> DataFrame:
+                found = checks.all_of(
+                    quality.silver_violations(written), quality.empty_batches(newest, written),
+                    quality.reconciliation_violations(quality.reconcile_bronze_silver(events, written)),
+                    # Only files that gave no event are read again, which is none as a rule.
+                    raw.unreadable(only(fresh, without(registered, stored, version), version)),
+                )
+                return self._write(found, "violations", key)[0]
+
             seq = self.silver.commit(
-                quality.require_contract(silver.to_silver(events, self.grid, self.model_version)), key,
-                check=lambda written: self._check(events, written, fresh, newest, key),
+                quality.require_contract(silver.to_silver(events, self.grid, self.model_version)), key, check=check
             )
             listed = self.silver.match_commits().where(F.col("commit_seq") == seq)
             accepted = listed.where("published")
@@ -120,14 +126,5 @@ class Warehouse:
             counted = store.match_commits().where(F.col("commit_seq") == seq)
             seen["rows_out"] = counted.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
-    def _check(
-        self, events: DataFrame, written: DataFrame, fresh: DataFrame, newest: DataFrame, key: str
-    ) -> DataFrame:
-        found = checks.all_of(
-            raw.unreadable(fresh), quality.silver_violations(written), quality.empty_batches(newest, written),
-            quality.reconciliation_violations(quality.reconcile_bronze_silver(events, written)),
-        )
-        return self._write(found, "violations", key)[0]
-
     def stage_runs(self) -> DataFrame:
         return logs.read_log(self.spark, self.path("logs/stage_runs"), schemas.STAGE_RUN)

@@ -35,9 +35,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     without that setting gets a folder of its own.
     """
     context = spark.sparkContext
-    current = context._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = context.getCheckpointDir()
+    if current is not None:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
         if not context.master.startswith("local"):

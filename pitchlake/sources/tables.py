@@ -31,7 +31,7 @@ def replace_matches(df: DataFrame, path: str, key: str = "match_id") -> int:
     """
     seen = Observation()
     (
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance", F.col(key))
+        df.hint("rebalance", F.col(key)).observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
     )
     return seen.get["rows"]

@@ -75,3 +75,45 @@ def test_latest_limits_groups_before_the_shuffle(spark):
     for key, at, ident, _ in rows:
         best[key] = max(best.get(key, (-1, "")), (at, ident))
     assert {r["key"]: (r["at"], r["id"]) for r in out.collect()} == best
+
+
+def test_timeline_of_a_match_longer_than_a_block(spark):
+    """One match holds most shots and spans several blocks of event_index."""
+    from pitchlake.plans.reports import TIMELINE_BLOCK, xg_timeline
+    n = 4 * TIMELINE_BLOCK
+    shots = spark.range(1, n + 1).where("id % 7 = 0 OR id < 20").selectExpr(
+        "if(id < 20, 2L, 1L) AS match_id", "if(id % 2 = 0, 'A', 'B') AS team_name", "int(id) AS event_index",
+        "string(id) AS event_id", "int(id % 90) AS minute", "0 AS second", "true AS is_shot",
+        "(id * 29 % 1000) / 1000D AS shot_xg", "if(id % 5 = 0, 'Goal', 'Saved') AS outcome").repartition(5)
+    totals, starts = {}, 0
+    rows = xg_timeline(shots).orderBy("match_id", "team_name", "event_index").collect()
+    for r in rows:
+        group = (r["match_id"], r["team_name"])
+        if r["event_index"] == 0:
+            starts += 1
+            totals[group] = 0.0
+        totals[group] += r["shot_xg"]
+        assert r["cumulative_xg"] == pytest.approx(totals[group], abs=1e-6)
+    assert starts == 4 and len(rows) == shots.count() + 4
+
+
+def test_checkpoint_folder_is_that_of_the_session(monkeypatch):
+    from pitchlake import session
+
+    class Context:
+        master, folder = "yarn", None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Spark:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Spark)
+    Spark.conf = {"spark.checkpoint.dir": "hdfs:///shared"}
+    assert session.checkpoint_dir(Spark) == "hdfs:///shared" == Spark.sparkContext.folder
