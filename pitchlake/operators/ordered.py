@@ -37,27 +37,22 @@ def running_totals(
     group into pieces of bounded size; without it blocks are made by range.
     """
     named = df.select("*", *[value.alias(f"_{name}") for name, value in totals.items()])
-    if block is None:
-        rows = range_blocks(named, keys + order)
-    else:
-        rows = named.withColumn("_block", block)
-    pieces = rows.groupBy(*keys, "_block").agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in totals])
-    by_block = Window.partitionBy(*keys).orderBy(F.col("_block").asc_nulls_first())
+    rows = range_blocks(named, keys + order) if block is None else named.withColumn("_block", block)
+    # One struct as key: it compares NULLs as equal, and the join can use the window's partitioning.
+    rows = rows.withColumn("_piece", F.struct(*keys, "_block"))
+    pieces = rows.groupBy("_piece").agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in totals])
+    by_block = Window.partitionBy(*[f"_piece.{k}" for k in keys]).orderBy(F.col("_piece._block").asc_nulls_first())
     before = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    at = [*keys, "_block"]
     carried = pieces.select(
-        *[F.col(k).alias(f"_at_{k}") for k in at], F.row_number().over(by_block).alias("_nth"),
+        F.col("_piece").alias("_at"), F.row_number().over(by_block).alias("_nth"),
         *[F.sum(f"_{n}").over(before).alias(f"_before_{n}") for n in totals],
     ).where("_nth > 1").drop("_nth")
     if block is None:
         # A block border is crossed by at most one group: fewer rows than blocks.
         carried = F.broadcast(carried)
-    within = Window.partitionBy("_block", *keys).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    local = rows.select(*df.columns, "_block", *[F.sum(f"_{n}").over(within).alias(f"_{n}") for n in totals])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in at])
-    return local.join(carried, same, "left").select(
+    within = Window.partitionBy("_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.select(*df.columns, "_piece", *[F.sum(f"_{n}").over(within).alias(f"_{n}") for n in totals])
+    return local.join(carried, F.col("_piece") == F.col("_at"), "left").select(
         *df.columns,
         *[
             F.when(F.col(f"_before_{n}").isNull(), F.col(f"_{n}"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pitchlake import fixed_values as fv, schemas
 from pitchlake.functions.text import artifact_key, trim_to_null
-from pitchlake.operators.keyed import only, replace_by_key, without
+from pitchlake.operators.keyed import only, settled, without
 from pitchlake.operators.ordered import latest, running_totals
 from pitchlake.plans import gold
 
@@ -34,9 +34,13 @@ def register_artifacts(
     arrivals: DataFrame, manifest: DataFrame, provider: str, ingested_at: Column,
     source_url: Column | None = None, raw_uri: Column | None = None,
 ) -> DataFrame:
-    """Manifest rows for new artifacts; versions go on from those of the match."""
+    """Manifest rows for new artifacts; versions go on from those of the match.
+
+    ``arrivals`` is used several times. If it is computed from file contents,
+    cut its lineage first, so that these are read and hashed once.
+    """
     # Only the history of the arriving matches counts, and it is small.
-    manifest = only(manifest, arrivals, ["match_id"])
+    manifest = only(manifest, arrivals, ["match_id"], settle=True)
     fresh = running_totals(
         new_artifacts(arrivals, manifest), ["match_id"], ["arrival", "file_hash"], {"nth": F.lit(1)}
     )
@@ -67,13 +71,13 @@ def hidden(match_commits: DataFrame) -> DataFrame:
 def pinned(data: DataFrame, match_commits: DataFrame, as_of: int | None = None) -> DataFrame:
     """State after commit ``as_of`` (by default the last one).
 
-    Only hidden matches are looked up, and they are few next to the data, so
-    this is normally a broadcast anti join on top of pruned partitions.
+    Only hidden matches are looked up. They are few next to the data, so they
+    are counted first and normally broadcast: the data are not shuffled.
     """
     if as_of is not None:
         data = data.where(F.col("commit_seq") <= as_of)
         match_commits = match_commits.where(F.col("commit_seq") <= as_of)
-    return without(data, hidden(match_commits), ["match_id", "commit_seq"])
+    return without(data, hidden(match_commits), ["match_id", "commit_seq"], settle=True)
 
 
 class CommitStore:
@@ -106,7 +110,7 @@ class CommitStore:
             "matches",
             "match_id long, file_hash string, source_version int, rows long, published boolean, commit_seq int",
         )
-        return only(rows, self.commits(), ["commit_seq"])
+        return only(rows, self.commits(), ["commit_seq"], settle=True)
 
     def commit(
         self, df: DataFrame, commit_key: str, check: Callable[[DataFrame], DataFrame] | None = None,
@@ -149,7 +153,7 @@ class CommitStore:
 
     def read(self, as_of: int | None = None) -> DataFrame:
         """State after commit ``as_of``; earlier pins keep giving the same rows."""
-        data = only(self.spark.read.parquet(f"{self.path}/data"), self.commits(), ["commit_seq"])
+        data = only(self.spark.read.parquet(f"{self.path}/data"), self.commits(), ["commit_seq"], settle=True)
         return pinned(data, self.match_commits(), as_of).drop("commit_seq")
 
 
@@ -198,12 +202,14 @@ def new_matches_by_team(dim_match: DataFrame, ingested: DataFrame) -> DataFrame:
 
 def rebuild_gold_team(current: DataFrame, silver: DataFrame, matches: DataFrame) -> DataFrame:
     """Team fact with the given matches computed anew from Silver."""
-    return replace_by_key(current, gold.fact_gold_team(only(silver, matches, ["match_id"])), ["match_id"])
+    listed = settled(matches.select("match_id"))
+    rebuilt = gold.fact_gold_team(silver.join(listed, "match_id", "left_semi"))
+    return current.join(listed, "match_id", "left_anti").unionByName(rebuilt)
 
 
 def backfill(silver: DataFrame, matches: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both Gold facts for a list of matches, in one job instead of one per match."""
-    selected = only(silver, matches, ["match_id"])
+    selected = only(silver, matches, ["match_id"], settle=True)
     return gold.fact_gold_team(selected), gold.fact_gold_intervals(selected)
 
 

@@ -98,7 +98,7 @@ def reconciliation_violations(reconciled: DataFrame) -> DataFrame:
 
 def quarantine(silver: DataFrame, violations: DataFrame) -> DataFrame:
     """Silver without the matches that break a rule; the others go on."""
-    return without(silver, violations, ["match_id"])
+    return without(silver, violations, ["match_id"], settle=True)
 
 
 def match_status(silver: DataFrame, violations: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pitchlake.operators.keyed import only, without
 from pitchlake.operators.ordered import latest
 from pitchlake.plans import bronze, gold, quality, silver
 from pitchlake.plans.incremental import CommitStore, lineage_edges, register_artifacts
+from pitchlake.session import cut_lineage
 from pitchlake.sources import logs, raw, tables
 
 
@@ -65,7 +66,10 @@ class Warehouse:
 
     def register(self, artifacts: DataFrame, key: str) -> tuple[DataFrame, int]:
         """Add new artifacts to the manifest; returns their rows and number."""
-        arrivals = artifacts.select("match_id", "file_hash", "raw_uri", F.col("arrived_at").alias("arrival"))
+        # The only step that has to hash all contents: done once, and cut off there.
+        arrivals = cut_lineage(
+            artifacts.select("match_id", "file_hash", "raw_uri", F.col("arrived_at").alias("arrival"))
+        )
         known = self.manifest().where(F.col("run_key") != key)
         rows = register_artifacts(
             arrivals, known, self.provider, ingested_at=F.date_format("arrival", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"),
@@ -93,14 +97,14 @@ class Warehouse:
         # Several versions of a match may arrive together: Silver takes the last.
         version = ["match_id", "source_version"]
         newest = latest(registered, ["match_id"], F.col("source_version").desc())
-        events = without(stored, without(registered, newest, version), version)
+        events = without(stored, without(registered, newest, version), version, settle=True)
         with self._stage("SILVER", key, attempt) as seen:
             def check(written: DataFrame) -> DataFrame:
                 found = checks.all_of(
                     quality.silver_violations(written), quality.empty_batches(newest, written),
                     quality.reconciliation_violations(quality.reconcile_bronze_silver(events, written)),
                     # Only files that gave no event are read again, which is none as a rule.
-                    raw.unreadable(only(fresh, without(registered, stored, version), version)),
+                    raw.unreadable(only(fresh, without(registered, stored, version), version, settle=True)),
                 )
                 return self._write(found, "violations", key)[0]
 
@@ -111,7 +115,7 @@ class Warehouse:
             accepted = listed.where("published")
             seen["rows_out"] = accepted.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
         held_back = listed.where("NOT published")
-        rows = without(self.silver.written(seq), held_back, ["match_id"])
+        rows = without(self.silver.written(seq), held_back, ["match_id"], settle=True)
         self._publish("GOLD_TEAM", self.gold_team, gold.fact_gold_team(rows), accepted, key, attempt)
         self._publish("GOLD_INTERVAL", self.gold_intervals, gold.fact_gold_intervals(rows), accepted, key, attempt)
         edges = lineage_edges("ingest", registered.select(F.col("raw_uri").alias("dataset")), self.silver.path, key)

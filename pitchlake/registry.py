@@ -363,7 +363,7 @@ def team_progressive(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def shot_x_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(profiles.shot_x_profile(_silver(spark, sf)), 6)
+    return rounded(profiles.shot_x_profile(_silver(spark, sf)))
 
 
 @query

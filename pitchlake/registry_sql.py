@@ -444,7 +444,7 @@ ORACLE: dict[str, str] = {
       WHERE is_progressive_pass AND team_name IS NOT NULL GROUP BY ALL"""),
     "shot_x_profile": sql(SILVER, rounded(f"""
       SELECT team_name, period, count(*) AS shots, avg(start_x) AS avg_shot_x, min(start_x) AS min_shot_x,
-        max(start_x) AS max_shot_x FROM {_SHOTS} GROUP BY ALL""", "avg_shot_x min_shot_x max_shot_x", 6)),
+        max(start_x) AS max_shot_x FROM {_SHOTS} GROUP BY ALL""", "avg_shot_x min_shot_x max_shot_x")),
     "orientation_check": sql(SILVER, rounded(f"""
       SELECT match_id, team_name, period, median(start_x) AS median_start_x, median(start_x) < 60 AS suspicious
       FROM {_SHOTS} GROUP BY ALL""", "median_start_x")),
