@@ -44,29 +44,30 @@ PATHS = {
 }
 
 
-def _flat() -> list[Column]:
+def _flat(paths: dict[str, str]) -> list[Column]:
     return [
-        *[F.expr(f"event.{path} AS {name}") for name, path in PATHS.items()],
+        *[F.expr(f"event.{path} AS {name}") for name, path in paths.items()],
         F.expr("get(event.location, 0) AS location_x_raw"),
         F.expr("get(event.location, 1) AS location_y_raw"),
-        json_list("event.related_events").alias("related_events_json"),
     ]
 
 
 def to_bronze(artifacts: DataFrame) -> DataFrame:
     """Artifacts with lineage columns and ``content`` to the Bronze table."""
     parsed = raw.events_with_payload(artifacts.select(*raw.LINEAGE_COLUMNS, "content"))
-    return parsed.select(*raw.LINEAGE_COLUMNS, *_flat(), "event_payload_json").select(
-        *schemas.BRONZE.fieldNames()
-    )
+    related = json_list("event.related_events").alias("related_events_json")
+    flat = parsed.select(*raw.LINEAGE_COLUMNS, *_flat(PATHS), related, "event_payload_json")
+    return flat.select(*schemas.BRONZE.fieldNames())
 
 
 def to_events(artifacts: DataFrame) -> DataFrame:
-    """Bronze columns without the payload text, plus the parsed ``detail``.
+    """The Bronze columns behind Silver, plus the parsed ``detail``, without stored payload.
 
     For jobs that go from raw files to Silver in one pass: each file is parsed
-    once, and Silver does not have to parse the payload again.
+    once, only for the fields needed, and Silver does not parse the payload again.
     """
     parsed = raw.events(artifacts.select(*raw.LINEAGE_COLUMNS, "content"))
+    core = set(schemas.EVENT_CORE.fieldNames())
+    paths = {name: path for name, path in PATHS.items() if path.split(".")[0] in core}
     detail = F.expr("struct(event.pass, event.carry, event.shot) AS detail")
-    return parsed.select(*raw.LINEAGE_COLUMNS, *_flat(), detail)
+    return parsed.select(*raw.LINEAGE_COLUMNS, *_flat(paths), detail)

@@ -96,7 +96,7 @@ def newest_volume_health(stage_runs: DataFrame) -> DataFrame:
 def recent_stage_health(stage_runs: DataFrame) -> DataFrame:
     """The newest attempt of each stage."""
     newest = latest(
-        stage_runs, ["stage"], F.col("completed_at").desc_nulls_first(), F.col("stage_run_id").desc()
+        stage_runs, ["stage"], F.col("completed_at").desc_nulls_last(), F.col("stage_run_id").desc()
     )
     health = (
         F.when(F.col("status") == fv.FAILED, "CRITICAL")

@@ -34,6 +34,12 @@ EVENT = _struct(
     ("pass", PASS_DETAIL), ("carry", CARRY_DETAIL), ("shot", SHOT_DETAIL),
 )
 
+# The part of an event that Silver is made of.
+EVENT_CORE = T.StructType([f for f in EVENT.fields if f.name in {
+    "id", "index", "period", "minute", "second", "type", "possession", "team", "player", "location",
+    "pass", "carry", "shot",
+}])
+
 MATCH = _struct(
     ("match_id", _L), ("match_date", _S), ("kick_off", _S), ("match_week", _I),
     ("competition", _struct(("competition_id", _I), ("competition_name", _S))),

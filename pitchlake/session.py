@@ -22,6 +22,8 @@ def build_session(app_name: str = "pitchlake", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Checkpoint files go away with the last DataFrame that uses them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)

@@ -58,10 +58,10 @@ def events_with_payload(artifacts: DataFrame, content: str = "content") -> DataF
     )
 
 
-def events(artifacts: DataFrame, content: str = "content") -> DataFrame:
-    """Parsed events only: the content is parsed once, straight into structs."""
+def events(artifacts: DataFrame, content: str = "content", schema: T.StructType = schemas.EVENT_CORE) -> DataFrame:
+    """Parsed events only: the content is parsed once, straight into structs of the fields asked for."""
     kept = [c for c in artifacts.columns if c != content]
-    parsed = F.from_json(F.col(content), T.ArrayType(schemas.EVENT))
+    parsed = F.from_json(F.col(content), T.ArrayType(schema))
     return artifacts.select(*kept, F.explode(parsed).alias("event"))
 
 

@@ -134,3 +134,26 @@ def test_latest_file(spark, tmp_path):
     assert raw.latest_file(spark, str(tmp_path), "*.parquet").endswith("b.parquet")
     with pytest.raises(FileNotFoundError):
         raw.latest_file(spark, str(tmp_path), "*.json")
+
+
+def test_run_outcomes_are_kept_as_pipeline_runs(spark, tmp_path):
+    """One failed and one complete run; later stages of the failed one were not run."""
+    from pitchlake.operators.ordered import latest
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    rows = [("ok", 1, stage, "SUCCEEDED", at + timedelta(minutes=n), at + timedelta(minutes=n, seconds=30), 10 + n, None, None)
+            for n, stage in enumerate(fv.STAGES)]
+    rows += [("bad", 2, "INGEST", "SUCCEEDED", at, at + timedelta(seconds=5), 7, None, None),
+             ("bad", 2, "BRONZE", "FAILED", at, at + timedelta(seconds=9), None, "ValueError", "broken")]
+    records = spark.createDataFrame(rows, "run_id string, match_id long, stage string, status string, started_at timestamp,"
+                                    " completed_at timestamp, rows_out long, error_type string, error_message string")
+    path = str(tmp_path / "runs")
+    logs.append_log(observability.run_outcomes(records), path, schemas.PIPELINE_RUN)
+    runs = {r["run_id"]: r for r in logs.read_log(spark, path, schemas.PIPELINE_RUN).collect()}
+    assert (runs["bad"]["status"], runs["bad"]["failed_stage"], runs["bad"]["error_message"]) == ("FAILED", "BRONZE", "broken")
+    assert (runs["ok"]["status"], runs["ok"]["failed_stage"], runs["ok"]["duration_seconds"]) == ("SUCCEEDED", None, 330.0)
+    matrix = {(r["run_id"], r["stage"]): r["status"] for r in observability.run_stage_matrix(records).collect()}
+    assert len(matrix) == 12 and matrix["bad", "BRONZE"] == "FAILED" and matrix["bad", "SILVER"] == "NOT_RUN"
+    flow = {(r["run_id"], r["stage"]): r["rows_in"] for r in observability.stage_row_flow(records).collect()}
+    assert flow["ok", "GOLD_TEAM"] == flow["ok", "GOLD_INTERVAL"] == 12 and flow["ok", "INGEST"] is None
+    assert flow["bad", "BRONZE"] == 7 and flow["ok", "REPORTS"] is None
+    assert latest(records, ["run_id"], F.col("started_at").desc()).count() == 2
