@@ -18,6 +18,7 @@ from pitchlake.operators.keyed import replace_by_key, upsert
 from pitchlake.plans import (
     bronze, gold, incremental, marts, observability, profiles, quality, reports, silver,
 )
+from pitchlake.session import cut_lineage
 from pitchlake.sources import driver_tables as tables, raw
 from pitchlake.sources.matches import to_dim_match
 
@@ -88,7 +89,8 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
 def _document_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Documents registered in two batches: first the English ones, then all."""
     hashed = raw.fingerprints(tables.document_artifacts(spark, sf))
-    arrivals = hashed.select("match_id", "file_hash", "arrival", "lang")
+    # Every text is read and hashed once; all further steps work on the few columns kept here.
+    arrivals = cut_lineage(hashed.select("match_id", "file_hash", "arrival", "lang"))
     ingested_at = F.date_format(
         F.timestamp_add("SECOND", F.col("arrival"), F.lit("2024-01-01").cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss"
     )
