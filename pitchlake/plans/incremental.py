@@ -130,6 +130,10 @@ class CommitStore:
         folder = f"commit_seq={seq}"
         df.write.mode("overwrite").parquet(f"{self.path}/data/{folder}")
         written = self.written(seq)
+        # Datasets without sources, such as the match dimension, have no version or hash.
+        for name, kind in (("file_hash", "string"), ("source_version", "int")):
+            if name not in written.columns:
+                written = written.withColumn(name, F.lit(None).cast(kind))
         listed = written.groupBy("match_id", "file_hash").agg(
             F.max("source_version").alias("source_version"), F.count("*").alias("rows")
         )

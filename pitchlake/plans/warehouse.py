@@ -11,14 +11,15 @@ from pitchlake import fixed_values as fv, schemas
 from pitchlake.operators import checks
 from pitchlake.operators.keyed import only, without
 from pitchlake.operators.ordered import latest
-from pitchlake.plans import bronze, gold, quality, silver
-from pitchlake.plans.incremental import CommitStore, lineage_edges, register_artifacts
+from pitchlake.plans import bronze, gold, marts, quality, silver
+from pitchlake.plans.incremental import CommitStore, lineage_edges, new_matches, register_artifacts
 from pitchlake.session import cut_lineage
 from pitchlake.sources import logs, raw, tables
+from pitchlake.sources.matches import to_dim_match
 
 
 class Warehouse:
-    """Manifest, Bronze, violations and logs by run; Silver and both Gold facts as commit stores.
+    """Manifest, Bronze, violations and logs by run; Silver, Gold and the match dimension as commit stores.
 
     ``ingest`` handles many artifacts in one job. Each of its steps overwrites
     what an interrupted run with the same key has left, so it can be repeated at
@@ -34,6 +35,7 @@ class Warehouse:
         self.silver = CommitStore(spark, self.path("silver"))
         self.gold_team = CommitStore(spark, self.path("gold_team"))
         self.gold_intervals = CommitStore(spark, self.path("gold_intervals"))
+        self.dim_match = CommitStore(spark, self.path("dim_match"))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -130,5 +132,20 @@ class Warehouse:
             counted = store.match_commits().where(F.col("commit_seq") == seq)
             seen["rows_out"] = counted.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
+    def load_matches(self, matches: DataFrame, key: str) -> int:
+        """Insert or update matches of the dimension from a nested match list."""
+        return self.dim_match.commit(quality.require_dim_match(to_dim_match(matches)), key)
+
+    def new_matches(self) -> DataFrame:
+        """Known matches of which no artifact has been taken in."""
+        return new_matches(self.dim_match.read(), logs.ingested_match_ids(self.manifest()))
+
+    def reference_problems(self) -> DataFrame:
+        """Matches with facts but no dimension row, or the other way round."""
+        return quality.fact_dim_references(self.gold_team.read(), self.dim_match.read())
+
+    def team_match_enriched(self) -> DataFrame:
+        return marts.team_match_enriched(self.gold_team.read(), self.dim_match.read())
+
     def stage_runs(self) -> DataFrame:
         return logs.read_log(self.spark, self.path("logs/stage_runs"), schemas.STAGE_RUN)

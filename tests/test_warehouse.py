@@ -2,6 +2,7 @@
 
 import pytest
 
+from pitchlake import schemas
 from pitchlake.plans.warehouse import Warehouse
 from pitchlake.sources import raw
 from pitchlake.streaming.ingest import start_ingest
@@ -89,3 +90,31 @@ def test_stream_takes_each_file_once(spark, places, tmp_path):
     assert silver_state(warehouse) == {(1, 1): 18, (2, 2): 17, (3, 1): 18}
     versions = {(r["match_id"], r["source_version"]) for r in warehouse.gold_team.read().collect()}
     assert versions == {(1, 1), (2, 2), (3, 1)}
+
+
+def nested(spark, *rows):
+    return spark.createDataFrame([
+        (i, "2024-04-23", "20:00:00.000", 1, (2, "League"), (281, "2023/2024"), (1, "Arsenal"), (47, "Middlesbrough"),
+         None, (referee,)) for i, referee in rows
+    ], schemas.MATCH)
+
+
+def test_match_dimension_discovery_and_references(spark, places):
+    landing, warehouse = places
+    warehouse.load_matches(nested(spark, (1, "A"), (2, "B")), "list-1")
+    warehouse.load_matches(nested(spark, (2, "C"), (3, "D")), "list-2")
+    dim = {r["match_id"]: r["referee"] for r in warehouse.dim_match.read().collect()}
+    assert dim == {1: "A", 2: "C", 3: "D"}
+    assert {r["match_id"]: r["referee"] for r in warehouse.dim_match.read(as_of=1).collect()} == {1: "A", 2: "B"}
+    assert {r["match_id"] for r in warehouse.new_matches().collect()} == {1, 2, 3}
+
+    matches.land(landing, 1)
+    matches.land(landing, 9)
+    warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-1")
+    assert {r["match_id"] for r in warehouse.new_matches().collect()} == {2, 3}
+    assert {tuple(r) for r in warehouse.reference_problems().collect()} == {
+        (2, "missing_from_fact"), (3, "missing_from_fact"), (9, "unknown_in_fact")}
+    enriched = {(r["team_name"], r["venue"], r["opponent"]) for r in warehouse.team_match_enriched().collect()}
+    assert enriched == {("Arsenal", "Home", "Middlesbrough"), ("Middlesbrough", "Away", "Arsenal")}
+    with pytest.raises(ValueError, match="duplicated"):
+        warehouse.load_matches(nested(spark, (5, "A"), (5, "B")), "list-3")
