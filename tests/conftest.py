@@ -35,3 +35,11 @@ def duck(sf_dir):
     for path in glob.glob(f"{sf_dir}/*.parquet"):
         con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
     return con
+
+
+@pytest.fixture
+def many_blocks(spark):
+    """Keep small blocks apart, so that tests on little data have several."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -18,6 +18,7 @@ def as_versions(df):
     return {(r["match_id"], r["file_hash"]): r["source_version"] for r in df.collect()}
 
 
+@pytest.mark.usefixtures("many_blocks")
 def test_versions_follow_first_arrivals_also_for_a_hot_match(spark):
     rng = random.Random(5)
     rows = []

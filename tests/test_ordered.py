@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pitchlake.operators.ordered import latest, numbered, rolling, running_totals
 
 
+pytestmark = pytest.mark.usefixtures("many_blocks")
+
+
 def skewed(spark, n=900, seed=7):
     rng = random.Random(seed)
     rows = []
@@ -117,3 +120,10 @@ def test_checkpoint_folder_is_that_of_the_session(monkeypatch):
         session.checkpoint_dir(Spark)
     Spark.conf = {"spark.checkpoint.dir": "hdfs:///shared"}
     assert session.checkpoint_dir(Spark) == "hdfs:///shared" == Spark.sparkContext.folder
+
+
+def test_merged_blocks_give_the_same(spark):
+    rows, df = skewed(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    out = running_totals(df, ["key"], ["at", "id"], {"total": F.col("value")})
+    assert {r["id"]: r["total"] for r in out.collect()} == cumulative(rows)
