@@ -3,13 +3,30 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import line_templates, packing, sharding
+from pitchlake.llm import decontaminate, jaccard_join, katz, line_templates, nearest, packing, page_text, personal_data, sharding, toxicity
 from pitchlake.llm.storage import table
 
 
+#: Scores from here on count as toxic.
+TOXIC_FROM = 0.3
+
+
+def _remainder(key: str, modulus: int) -> Column:
+    """crc32 of the id as text; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % modulus
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(documents, labels, learn=_remainder("doc_id", 4) != 2)
+    return scored.select(
+        "doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.best_fit_pack(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -18,6 +35,18 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"), held_out=_remainder("doc_id", 7) == 2)
+
+
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.shuffle_into_shards(table(spark, sf_dir, "documents"), "doc_id", "text", shards=8)
     return shards.select(
@@ -27,12 +56,39 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = page_text.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = F.array(*[F.lit(k) for k in personal_data.KINDS])
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+              for k, name in enumerate(personal_data.KINDS)]
+    return found.select(
+        "doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.similar_groups(documents, k=4, percent=85)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_templates.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", "text")
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op6_sharding, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_best_fit_packing, op3_decontamination, op4_katz_backoff, op5_nearest_neighbours, op6_sharding, op7_page_text,
+    op8_personal_data, op9_jaccard_join, op10_line_dedup,
+)}
 
 #: DuckDB SQL where SQL can express the operator and is fast enough on whole tables.
 ORACLE = {
