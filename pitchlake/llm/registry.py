@@ -14,16 +14,16 @@ from pitchlake.llm.storage import table
 TOXIC_FROM = 0.3
 
 
-def _remainder(key: str, modulus: int) -> Column:
+def remainder(key: str, modulus: int) -> Column:
     """crc32 of the id as text; a null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % modulus
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    scored = toxicity.score(documents, labels, learn=_remainder("doc_id", 4) != 2)
+    documents, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(documents, labels, learn=remainder("doc_id", 4) != 2)
     return scored.select(
-        "doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "score",
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score",
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
@@ -40,7 +40,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.score(table(spark, sf_dir, "documents"), held_out=_remainder("doc_id", 7) == 2)
+    return katz.score(table(spark, sf_dir, "documents"), held_out=remainder("doc_id", 7) == 2)
 
 
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

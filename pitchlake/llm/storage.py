@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,3 +29,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def gathered(rows: DataFrame, name: str, most: int = 1_000_000) -> DataFrame:
+    """``rows`` as a written table, to be broadcast if they are at most ``most`` (and narrow); beyond, Spark chooses the join."""
+    rows = stored(rows, name)
+    return F.broadcast(rows) if rows.count() <= most else rows

@@ -1,7 +1,8 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
 The lexicon is not fixed: words and word beginnings are taken from labelled training rows, where their share of toxic texts
-is higher than chance explains (a Chernoff bound, corrected for the number of terms). Features of a training row use the
+is higher than chance explains (a Chernoff bound against the number of terms, as a ratio: from 1 on a term is in the strong
+lexicon, from a half on its weak evidence is added up). Features of a training row use the
 lexicon of the other folds, so that the trees see it as they will see new texts. Trees are fitted on all folds but the
 first, the calibration on the first. Scoring reads every whole text.
 """
@@ -28,11 +29,13 @@ from pitchlake.llm.storage import stored
 TRAIN_ROWS = 40_000
 FOLDS = 4
 #: Word beginnings of these lengths are candidates for the lexicon, beside whole words.
-STEMS = range(3, 7)
+STEMS = range(3, 9)
 #: Words between a second-person word and a lexicon word that still count as near.
 NEAR = 5
+#: Least evidence of a term, as a share of what the strong lexicon asks for.
+WEAK = 0.5
 FEATURES = (
-    "word_density", "word_count", "stem_density", "stem_count", "second_person_near", "second_person_rate",
+    "word_density", "word_count", "stem_density", "stem_count", "evidence", "evidence_density", "second_person_near", "second_person_rate",
     "capitals", "shouted_words", "exclamations", "punctuation", "obfuscated", "hidden_words", "length",
 )
 #: Second-person words of the languages served.
@@ -40,20 +43,26 @@ SECOND_PERSON = frozenset(
     "you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch euer tú ti usted ustedes vosotros".split())
 _LEET = str.maketrans("013457@$!", "oieastasi")
 _WORD = re.compile(r"\w+")
+_CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]")
 _MARKED = re.compile(r"\w*[\d@$!*#%&_]+\w[\w@$!*#%&]*|\w+[*#$%&@]{2,}")
 
 
 @dataclass(frozen=True)
 class Lexicon:
-    words: frozenset
-    stems: frozenset
+    """Evidence by term."""
+
+    words: dict
+    stems: dict
 
     @property
     def heads(self) -> frozenset:
         return frozenset(s[: STEMS[0]] for s in self.stems)
 
-    def has_stem(self, word: str) -> bool:
-        return any(word[:n] in self.stems for n in STEMS)
+    def stems_of(self, word: str) -> dict:
+        return {word[:n]: self.stems[word[:n]] for n in STEMS if len(word) >= n and word[:n] in self.stems}
+
+    def strong(self, word: str) -> bool:
+        return max([self.words.get(word, 0), *self.stems_of(word).values()]) >= 1
 
 
 def features(text: str | None, lexicon: Lexicon, heads: frozenset) -> list[float]:
@@ -62,8 +71,19 @@ def features(text: str | None, lexicon: Lexicon, heads: frozenset) -> list[float
     words = _WORD.findall(text.lower())
     n = max(1, len(words))
     known = lexicon.words
-    hits = [i for i, w in enumerate(words) if w in known]
-    stems = [i for i, w in enumerate(words) if w[:3] in heads and lexicon.has_stem(w)]
+    hits, stems, evidence, weak = [], [], {}, 0
+    for i, w in enumerate(words):
+        if w in known or w[:3] in heads:
+            found = lexicon.stems_of(w)
+            if found:
+                evidence.update(found)
+                if max(found.values()) >= 1:
+                    stems.append(i)
+            if w in known:
+                evidence["w" + w] = known[w]
+                if known[w] >= 1:
+                    hits.append(i)
+            weak += bool(found) or w in known
     you = [i for i, w in enumerate(words) if w in SECOND_PERSON]
     near, toxic = 0, sorted({*hits, *stems})
     if toxic and you:
@@ -71,13 +91,14 @@ def features(text: str | None, lexicon: Lexicon, heads: frozenset) -> list[float
         spots = np.array([-10**9, *you, 10**9])
         near = int((np.minimum(np.abs(spots[at] - toxic), np.abs(spots[at + 1] - toxic)) <= NEAR).sum())
     marked = _MARKED.findall(text) if any(c in text for c in "0123456789@$!*#%&_") else []
-    plain = [re.sub(r"\W|_", "", m.lower().translate(_LEET)) for m in marked]
-    hidden = sum(1 for w in plain if w in known or (w[:3] in heads and lexicon.has_stem(w)))
+    hidden = sum(lexicon.strong(re.sub(r"\W|_", "", m.lower().translate(_LEET))) for m in marked)
     chars = max(1, len(text))
-    letters = [w for w in text.split() if len(w) > 2 and w.isupper()] if text != text.lower() else []
+    capitals = len(_CAPITAL.findall(text)) / chars
+    shouted = sum(len(w) > 2 and w.isupper() for w in text.split()) if capitals > 0.1 else 0
+    total = sum(math.sqrt(v) for v in evidence.values())
     return [
-        len(hits) / n, math.log1p(len(hits)), len(stems) / n, math.log1p(len(stems)), near / n, len(you) / n,
-        sum(map(str.isupper, text)) / chars, len(letters) / n, (text.count("!") + text.count("?")) / chars,
+        len(hits) / n, math.log1p(len(hits)), len(stems) / n, math.log1p(len(stems)), total / math.log(20 + n), weak / n,
+        near / n, len(you) / n, capitals, shouted / n, (text.count("!") + text.count("?")) / chars,
         (text.count(".") + text.count(",") + text.count(";")) / chars, len(marked) / n, hidden / n, math.log1p(len(words)),
     ]
 
@@ -114,8 +135,8 @@ def _lexicons(rows: DataFrame) -> list[Lexicon]:
           for f in range(FOLDS) for y in (0, 1)], n.alias("n"))
     pos = sum(F.col(f"n{f}1") for f in range(FOLDS))
     sizes = {(r["fold"], int(r["label"])): r["count"] for r in rows.groupBy("fold", "label").count().collect()}
-    # only terms of mostly toxic texts can be in a lexicon; there are few, as training rows are bounded
-    likely = counted.where((pos >= 3) & (pos * 2 >= F.col("n"))).orderBy(pos.desc(), "term").limit(20_000).toPandas()
+    # a lexicon's terms are frequent in toxic texts; training rows, and so these, are bounded
+    likely = counted.where((pos >= 3) & (pos * 5 >= F.col("n") * 2)).toPandas()
     terms = max(2, counted.where("n >= 3").count())
     out = []
     for without in [*range(FOLDS), None]:
@@ -126,8 +147,9 @@ def _lexicons(rows: DataFrame) -> list[Lexicon]:
         total = np.maximum(yes + no, 1)
         p = np.clip(yes / total, 1e-9, 1 - 1e-9)
         gain = total * (p * np.log(p / base) + (1 - p) * np.log((1 - p) / (1 - base)))
-        chosen = likely["term"].to_numpy()[(p > max(0.6, base)) & (gain >= math.log(terms))] if len(likely) else []
-        out.append(Lexicon(frozenset(t[1:] for t in chosen if t[0] == "w"), frozenset(t[1:] for t in chosen if t[0] == "s")))
+        ratio = np.where(p > base + 0.35 * (1 - base), gain / math.log(terms), 0.0)
+        chosen = [(t, float(x)) for t, x in zip(likely["term"], ratio) if x >= WEAK]
+        out.append(Lexicon({t[1:]: x for t, x in chosen if t[0] == "w"}, {t[1:]: x for t, x in chosen if t[0] == "s"}))
     return out
 
 
@@ -148,16 +170,18 @@ def _featured(rows: DataFrame, lexicons: list[Lexicon], kept: list[str], fold: b
 
 
 def score(documents: DataFrame, labels: DataFrame, learn: Column, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """(``doc_id``, ``score``) of every document; ``learn`` says of a ``doc_id`` whether its label may be used.
+    """All columns and the ``score`` of every document; ``learn`` says of a ``doc_id`` whether its label may be used.
 
     Null and empty texts get the score of a text without words. Repeated rows get repeated scores. Without labels, or with
-    labels of one kind only, every score is the share of toxic labels (0 without any). Other columns play no part.
+    labels of one kind only, every score is the share of toxic labels (0 without any). Other columns play no part; one
+    called ``score`` is replaced.
     """
+    documents = documents.drop("score")
     rows = stored(_training_rows(documents, labels, learn, train_rows), "training")
     kinds = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(kinds) < 2 or min(kinds.values()) < 2 * FOLDS:
         share = kinds.get(1.0, 0) / max(1, sum(kinds.values()))
-        return documents.select("doc_id", F.lit(float(share)).alias("score"))
+        return documents.withColumn("score", F.lit(float(share)))
     lexicons = _lexicons(rows)
     training = stored(_featured(rows, lexicons, ["label", "fold"], True), "features")
     trees = GBTClassifier(maxIter=24, maxDepth=3, stepSize=0.3, subsamplingRate=0.8, seed=5).fit(training.where("fold <> 0"))
@@ -169,7 +193,12 @@ def score(documents: DataFrame, labels: DataFrame, learn: Column, train_rows: in
     if held.agg(F.countDistinct("label")).first()[0] < 2:
         held = raw(training)
     calibration = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated").fit(held)
-    made = _featured(documents.select("doc_id", "text"), lexicons, ["doc_id"], False)
+    names = [f"_{i}" for i in range(len(documents.columns))]  # no clash with the models' columns
+    text = names[documents.columns.index("text")]
+    plain = documents.toDF(*names).withColumn("text", F.col(text)).drop(text)
+    made = _featured(plain, lexicons, plain.columns, False)
     scored = calibration.transform(raw(made))
     # the isotonic steps tie many scores; the trees' own order within a step is kept
-    return scored.select("doc_id", (F.col("calibrated") * 0.98 + F.col("raw") * 0.02).alias("score"))
+    ordered = F.col("calibrated") * 0.98 + F.col("raw") * 0.02
+    back = [F.col("text" if n == text else n).alias(c) for n, c in zip(names, documents.columns)]
+    return scored.select(*back, ordered.alias("score"))
