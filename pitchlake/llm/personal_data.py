@@ -2,7 +2,7 @@
 
 The fixed forms (mail and network addresses, card and phone numbers) give the seed entities. The two words before a seed are a
 lexical pattern; every token that looks like an identifier and follows some pattern is an instance of it. Spark scores
-this graph in rounds: a pattern is as good as its instances, and an instance as good as its best patterns say. Patterns
+this graph in rounds: a pattern is as good as its instances, and an instance as good as the best of its other patterns. Patterns
 that many different seeds support and that hardly ever precede anything else then find identifiers that no form describes.
 """
 
@@ -142,20 +142,24 @@ def good_patterns(seen: DataFrame, min_seeds: int = MIN_SEEDS, confidence: float
     edges = seen.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"))
     seeded = edges.groupBy("pattern").agg(F.count(F.when(F.col("kind") >= 0, 1)).alias("seeds")).where(F.col("seeds") >= min_seeds)
     edges = stored(edges.join(seeded.select("pattern"), "pattern"), "edges")
-    kinds = F.array(*[F.lit(k) for k in range(len(KINDS))])
-    # (instance, kind, score): a seed is sure of its own kind and of no other
-    scores = edges.select("instance", F.explode(kinds).alias("k"), F.when(F.col("kind") == F.col("k"), 1.0).otherwise(0.0).alias("score"))
-    scores = scores.groupBy("instance", "k").agg(F.max("score").alias("score"))
-    sure = edges.groupBy("instance").agg((F.max("kind") >= 0).alias("seed"))
-    for _ in range(rounds):
-        patterns = stored(
-            edges.join(scores, "instance").groupBy("pattern", "k").agg(
-                F.avg("score").alias("confidence"), F.count(F.when(F.col("kind") == F.col("k"), 1)).alias("seeds")), "patterns")
+    kinds = F.explode(F.array(*[F.lit(k) for k in range(len(KINDS))])).alias("k")
+    by_kind = edges.select("pattern", "instance", "kind", kinds)
+    scored = by_kind.withColumn("score", F.when(F.col("kind") == F.col("k"), 1.0).otherwise(0.0))
+    for turn in range(rounds):
+        patterns = stored(scored.groupBy("pattern", "k").agg(
+            F.avg("score").alias("confidence"), F.count(F.when(F.col("kind") == F.col("k"), 1)).alias("seeds")), "patterns")
+        if turn == rounds - 1:
+            break
         trusted = patterns.where((F.col("seeds") >= min_seeds) & (F.col("confidence") >= 0.5))
-        believed = edges.join(trusted.select("pattern", "k", "confidence"), "pattern").groupBy("instance", "k").agg(
-            F.max("confidence").alias("believed"))
-        scores = scores.join(believed, ["instance", "k"], "left").join(sure, "instance").select(
-            "instance", "k", F.when(F.col("seed"), F.col("score")).otherwise(F.coalesce("believed", F.lit(0.0))).alias("score"))
+        votes = edges.where("kind < 0").join(trusted.select("pattern", "k", "confidence"), "pattern")
+        # the best vote, and the best of another pattern: no pattern believes an instance because of itself
+        first = votes.groupBy("instance", "k").agg(F.max(F.struct("confidence", "pattern")).alias("first"))
+        believed = votes.join(first, ["instance", "k"]).groupBy("instance", "k", "first").agg(
+            F.max(F.when(F.col("pattern") != F.col("first.pattern"), F.col("confidence"))).alias("second"))
+        other = F.when(F.col("first.pattern") == F.col("pattern"), F.col("second")).otherwise(F.col("first.confidence"))
+        scored = by_kind.join(believed, ["instance", "k"], "left").select(
+            "pattern", "instance", "kind", "k",
+            F.when(F.col("kind") == F.col("k"), 1.0).when(F.col("kind") >= 0, 0.0).otherwise(F.coalesce(other, F.lit(0.0))).alias("score"))
     best = F.row_number().over(Window.partitionBy("pattern").orderBy(F.desc("confidence"), "k"))
     return patterns.where((F.col("seeds") >= min_seeds) & (F.col("confidence") >= confidence)).withColumn("best", best).where(
         "best = 1").select("pattern", F.col("k").alias("found_kind"), "confidence")
@@ -167,12 +171,14 @@ def personal_data(documents: DataFrame, text: str = "text", **limits: float) ->
     Offsets count code points. A null or empty text has no spans. Repeated rows each get their spans.
     """
     scanned = scan(documents, text)
-    scanned = stored(scanned.withColumn("_row", F.monotonically_increasing_id()), "spans")
+    others = [c for c in documents.columns if c not in (text, "base", "added", "_base", "_seen")]
+    # the document's own columns stay in a struct, where their names can't clash
+    doc = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("doc")
+    scanned = stored(scanned.select(doc, "_base", "_seen", F.monotonically_increasing_id().alias("_row")), "spans")
     seen = scanned.where(F.size("_seen") > 0).select("_row", F.inline("_seen"))
     patterns = good_patterns(seen.select("pattern", "instance", "kind"), **limits)
     added = seen.where("kind < 0").join(patterns, "pattern").groupBy("_row").agg(
         F.array_sort(F.collect_set(F.struct("start", F.col("found_kind").alias("kind"), "end"))).alias("added"))
-    others = [c for c in documents.columns if c not in (text, "base", "added")]
     empty = F.array().cast(f"array<{_SPAN}>")
     return scanned.join(added, "_row", "left").select(
-        *[F.col(f"`{c}`") for c in others], F.col("_base").alias("base"), F.coalesce("added", empty).alias("added"))
+        *[F.col(f"doc.`{c}`").alias(c) for c in others], F.col("_base").alias("base"), F.coalesce("added", empty).alias("added"))
