@@ -96,15 +96,17 @@ def drop_recurring_lines(
         lines.select("doc_key", "line_no", "template", salt).join(_salted(drops), ["template", "salt"])
         .groupBy("doc_key").agg(F.collect_set("line_no").alias("gone"))
     )
-    parts = F.split(F.col(text), "\n")
-    joined = documents.withColumn("_doc_key", _doc_key(documents, text)).join(
-        gone.withColumnRenamed("doc_key", "_doc_key"), "_doc_key", "left")
+    # the document's own columns stay in a struct, where their names can't clash
+    joined = documents.select(F.struct(*[F.col(f"`{c}`") for c in kept_columns]).alias("doc"), _doc_key(documents, text).alias("doc_key"))
+    joined = joined.join(gone, "doc_key", "left")
+    whole = F.col(f"doc.`{text}`")
+    parts = F.split(whole, "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
     # the outer transform binds the parts to a variable, so that they are split once and not for each kept line
     left = F.get(F.transform(F.array(parts), lambda p: F.transform(kept, lambda i: F.get(p, i))), F.lit(0))
-    rest = F.when(F.col("gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    rest = F.when(F.col("gone").isNull(), whole).otherwise(F.array_join(left, "\n"))
     return joined.select(
-        *[rest.alias(c) if c == text else F.col(f"`{c}`") for c in kept_columns],
-        F.when(F.col(text).isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
+        *[rest.alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in kept_columns],
+        F.when(whole.isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )

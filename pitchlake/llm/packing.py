@@ -135,7 +135,12 @@ def best_fit_pack(documents: DataFrame, ranks_path: str, pattern: str, capacity:
     table gives an empty table. Input columns called like the columns made here are replaced.
     """
     spark = documents.sparkSession
-    pieces = stored(tokenise(documents, ranks_path, pattern, capacity, text), "pieces")
+    pieces = tokenise(documents, ranks_path, pattern, capacity, text)
+    own = ["piece", "start", "length", "ids_crc32", "_group"]
+    others = [c for c in pieces.columns if c not in own]
+    # the document's own columns stay in a struct, where their names can't clash
+    pieces = pieces.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("doc"), *own)
+    pieces = stored(pieces, "pieces")
     counts = pieces.groupBy("length", "_group").count()
     lengths = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}  # at most capacity rows
     runs = pd.DataFrame(sweeps(lengths, capacity), columns=["length", "first", "n", "sequence", "offset"], dtype="int64")
@@ -143,12 +148,12 @@ def best_fit_pack(documents: DataFrame, ranks_path: str, pattern: str, capacity:
     runs = spark.createDataFrame(runs, schema) if len(runs) else spark.createDataFrame([], schema)
     earlier = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("length", "_group", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
-    tie = [c for c in ("doc_id", "piece") if c in pieces.columns]
-    number = F.row_number().over(Window.partitionBy("length", "_group").orderBy(*tie)) - 1
+    tie = [F.col("doc.doc_id")] if "doc_id" in others else []
+    number = F.row_number().over(Window.partitionBy("length", "_group").orderBy(*tie, "piece")) - 1
     ranked = pieces.withColumn("number", number).join(
         F.broadcast(before), ["length", "_group"]).withColumn("rank", F.col("number") + F.col("before"))
     here = (ranked["length"] == runs["length"]) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n"))
     return ranked.join(F.broadcast(runs), here).select(
-        *[ranked[f"`{c}`"] for c in pieces.columns if c != "_group"],
+        *[F.col(f"doc.`{c}`").alias(c) for c in others], "piece", "start", ranked["length"], "ids_crc32",
         (F.col("sequence") + F.col("rank") - F.col("first")).alias("sequence_id"), "offset",
     )

@@ -246,7 +246,8 @@ def fit(pages: DataFrame, html: str = "html", train_pages: int = TRAIN_PAGES) ->
                                 row[list(NAMED)] = 0
                             values.append(row.tolist())
                             labels.append(float(label))
-            yield pd.DataFrame({"values": values, "label": labels})
+            if labels:
+                yield pd.DataFrame({"values": values, "label": labels})
 
     sample = pages.where(F.col(html).isNotNull()).select(F.col(html).alias("html"))
     sample = sample.orderBy(F.xxhash64("html"), "html").limit(train_pages)
