@@ -48,7 +48,7 @@ def test_features():
     value = dict(zip(toxicity.FEATURES, toxicity.features("You IDIOT! m0rons, weak 1d1ot", lexicon, lexicon.heads)))
     assert len(value) == len(toxicity.FEATURES)
     assert value["word_density"] == 1 / 5 and value["second_person_near"] == 1 / 5 and value["hidden_words"] == 2 / 5
-    assert value["exclamations"] > 0 and value["capitals"] > 0.1 and value["shouted_words"] == 0
+    assert value["exclamations"] > 0 and value["capitals"] > 0.1 and value["shouted_words"] == 1 / 5
     assert toxicity.features(None, lexicon, lexicon.heads)[0] == toxicity.features("", lexicon, lexicon.heads)[0] == 0
     assert toxicity.features(None, lexicon, lexicon.heads) == toxicity.features(" ", lexicon, lexicon.heads)
 
