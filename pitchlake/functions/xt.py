@@ -69,9 +69,21 @@ def read_grid(spark: SparkSession, path: str, model_version: str = fv.XT_MODEL_V
 
 
 def grid_from_frame(long: DataFrame) -> list[list[float]]:
-    """The checked 96 cells as nested lists, to be used as a literal."""
+    """The 96 cells of one model version as nested lists, to be used as a literal.
+
+    Raises unless ``long`` holds exactly these cells, each once and with a value.
+    """
+    inside = F.col("row").between(0, fv.XT_ROWS - 1) & F.col("col").between(0, fv.XT_COLUMNS - 1)
+    complete = F.coalesce(inside & F.col("value").isNotNull(), F.lit(False))
+    seen = long.agg(
+        F.count("*").alias("rows"), F.count_if(complete).alias("complete"),
+        F.count_distinct(F.struct("row", "col")).alias("cells"), F.count_distinct("model_version").alias("versions"),
+    ).first()
+    wanted = fv.XT_ROWS * fv.XT_COLUMNS
+    if (seen["rows"], seen["complete"], seen["cells"], seen["versions"]) != (wanted, wanted, wanted, 1):
+        raise ValueError(f"Invalid xT grid: {wanted} cells of one model version are needed, got {seen.asDict()}.")
     grid = [[0.0] * fv.XT_COLUMNS for _ in range(fv.XT_ROWS)]
-    for cell in long.limit(fv.XT_ROWS * fv.XT_COLUMNS).collect():
+    for cell in long.collect():  # 96 rows, as just counted
         grid[cell["row"]][cell["col"]] = cell["value"]
     return grid
 

@@ -24,7 +24,9 @@ def range_blocks(df: DataFrame, order: list[str]) -> DataFrame:
     from sampling and must not change when a lost task is run again.
     """
     # At most spark.sql.shuffle.partitions blocks; adaptive execution merges small neighbours.
-    ranged = df.repartitionByRange(*order).withColumn("_block", F.spark_partition_id())
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_block", F.spark_partition_id())
+    # The number of a row in its block is the lower part of Spark's id.
+    ranged = ranged.withColumn("_nth_of_block", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
     return cut_lineage(ranged)
 
 
@@ -40,6 +42,9 @@ def running_totals(
     rows = range_blocks(named, keys + order) if block is None else named.withColumn("_block", block)
     # One struct as key: it compares NULLs as equal, and the join can use the window's partitioning.
     rows = rows.withColumn("_piece", F.struct(*keys, "_block"))
+    if block is not None:
+        # Totals and running sums share this one exchange, so the source is read once.
+        rows = rows.repartition("_piece")
     pieces = rows.groupBy("_piece").agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in totals])
     by_block = Window.partitionBy(*[f"_piece.{k}" for k in keys]).orderBy(F.col("_piece._block").asc_nulls_first())
     before = by_block.rowsBetween(Window.unboundedPreceding, -1)
@@ -69,9 +74,8 @@ def numbered(df: DataFrame, order: list[str], name: str = "position") -> DataFra
     # One row per block, so this window without keys is small.
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_block").orderBy(*order)
     return rows.join(F.broadcast(offsets), "_block").select(
-        *df.columns, (F.col("_offset") + F.row_number().over(within)).alias(name)
+        *df.columns, (F.col("_offset") + F.col("_nth_of_block") + 1).alias(name)
     )
 
 

@@ -85,9 +85,9 @@ class CommitStore:
 
     ``data/commit_seq=N`` is written, checked and listed by match in
     ``matches/commit_seq=N``; one row in ``published`` then makes commit N
-    visible. A commit that failed half way is not seen and is overwritten by
-    the next attempt. Matches that fail the check stay hidden, and their former
-    version stays current. One writer at a time.
+    visible. What is published never changes: repeating its key does nothing. A commit
+    that failed half way is not seen and is overwritten by the next attempt. Matches that
+    fail the check stay hidden, and their former version stays current. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -110,7 +110,7 @@ class CommitStore:
             "matches",
             "match_id long, file_hash string, source_version int, rows long, published boolean, commit_seq int",
         )
-        return only(rows, self.commits(), ["commit_seq"], settle=True)
+        return rows.where(self._visible())
 
     def commit(
         self, df: DataFrame, commit_key: str, check: Callable[[DataFrame], DataFrame] | None = None,
@@ -120,13 +120,12 @@ class CommitStore:
 
         ``check`` gets the written rows and returns violations by match.
         ``matches`` may list further matches that are replaced by nothing.
-        Repeating a ``commit_key`` rewrites its own commit.
+        A ``commit_key`` that is published already gives its number and changes nothing.
         """
-        state = self.commits().agg(
-            F.max("commit_seq").alias("last"),
-            F.max(F.when(F.col("commit_key") == commit_key, F.col("commit_seq"))).alias("own"),
-        ).first()
-        seq = state["own"] or (state["last"] or 0) + 1
+        own = self.published(commit_key)
+        if own is not None:
+            return own
+        seq = (self.commits().agg(F.max("commit_seq").alias("last")).first()["last"] or 0) + 1
         folder = f"commit_seq={seq}"
         df.write.mode("overwrite").parquet(f"{self.path}/data/{folder}")
         written = self.written(seq)
@@ -145,19 +144,29 @@ class CommitStore:
             bad = check(written).select("match_id").distinct().withColumn("bad", F.lit(True))
             listed = listed.join(bad, "match_id", "left").withColumn("published", F.col("bad").isNull()).drop("bad")
         listed.write.mode("overwrite").parquet(f"{self.path}/matches/{folder}")
-        if state["own"] is None:
-            row = [(seq, commit_key, datetime.now(timezone.utc))]
-            self.spark.createDataFrame(row, "commit_seq int, commit_key string, committed_at timestamp") \
-                .coalesce(1).write.mode("append").parquet(f"{self.path}/published")
+        row = [(seq, commit_key, datetime.now(timezone.utc))]
+        self.spark.createDataFrame(row, "commit_seq int, commit_key string, committed_at timestamp") \
+            .coalesce(1).write.mode("append").parquet(f"{self.path}/published")
         return seq
 
+    def published(self, commit_key: str) -> int | None:
+        """The commit of a key, if it is visible."""
+        return self.commits().where(F.col("commit_key") == commit_key).agg(F.max("commit_seq").alias("own")).first()["own"]
+
+    def _visible(self, as_of: int | None = None) -> Column:
+        """Commits to read, as a filter on the folders: one number per commit."""
+        commits = self.commits()
+        if as_of is not None:
+            commits = commits.where(F.col("commit_seq") <= as_of)
+        return F.col("commit_seq").isin([r["commit_seq"] for r in commits.select("commit_seq").collect()])
+
     def written(self, seq: int) -> DataFrame:
         """All rows of one commit, also those held back."""
         return self.spark.read.parquet(f"{self.path}/data/commit_seq={seq}")
 
     def read(self, as_of: int | None = None) -> DataFrame:
         """State after commit ``as_of``; earlier pins keep giving the same rows."""
-        data = only(self.spark.read.parquet(f"{self.path}/data"), self.commits(), ["commit_seq"], settle=True)
+        data = self.spark.read.parquet(f"{self.path}/data").where(self._visible(as_of))
         return pinned(data, self.match_commits(), as_of).drop("commit_seq")
 
 

@@ -164,45 +164,58 @@ def run_durations(runs: DataFrame) -> DataFrame:
     return runs.withColumn("duration_seconds", _seconds("started_at", "completed_at"))
 
 
-def run_outcomes(stage_records: DataFrame) -> DataFrame:
-    """One row per run: status, failed stage, error and duration, from its stages."""
-    failed = F.col("status") == fv.FAILED
+def _last_attempts(stage_records: DataFrame, *also: Column) -> DataFrame:
+    """One row per run and stage: its last attempt, by start and then by end."""
+    record = F.struct("status", "started_at", "completed_at", "error_type", "error_message")
+    return stage_records.groupBy("run_id", "match_id", "stage").agg(
+        F.max_by(record, F.struct("started_at", "completed_at")).alias("last"), *also)
 
-    def of_failed(column: str) -> Column:
-        return F.max(F.when(failed, F.col(column)))
 
-    runs = stage_records.groupBy("run_id", "match_id").agg(
-        F.min("started_at").alias("started_at"), F.max("completed_at").alias("completed_at"),
-        of_failed("stage").alias("failed_stage"), of_failed("error_type").alias("error_type"),
-        of_failed("error_message").alias("error_message"), F.count_if(failed).alias("failures"),
+def run_outcomes(stage_records: DataFrame) -> DataFrame:
+    """One row per run: status, failed stage, error and duration.
+
+    A stage counts by its last attempt. Of several failed stages the one that ended last is
+    reported, with its own error.
+    """
+    stages = _last_attempts(
+        stage_records, F.min("started_at").alias("first_started_at"), F.max("completed_at").alias("last_completed_at"))
+    failed = F.col("last.status") == fv.FAILED
+    problem = F.struct(F.col("last.completed_at"), "stage", F.col("last.error_type"), F.col("last.error_message"))
+    runs = stages.groupBy("run_id", "match_id").agg(
+        F.min("first_started_at").alias("started_at"), F.max("last_completed_at").alias("completed_at"),
+        F.max(F.when(failed, problem)).alias("problem"),
     )
-    status = F.when(F.col("failures") > 0, fv.FAILED).otherwise(fv.SUCCEEDED)
+    status = F.when(F.col("problem").isNotNull(), fv.FAILED).otherwise(fv.SUCCEEDED)
     return run_durations(runs.withColumn("status", status)).select(
-        "run_id", "match_id", "started_at", "status", "completed_at", "failed_stage", "error_type",
-        "error_message", "duration_seconds",
+        "run_id", "match_id", "started_at", "status", "completed_at", F.col("problem.stage").alias("failed_stage"),
+        "problem.error_type", "problem.error_message", "duration_seconds",
     )
 
 
 def stage_row_flow(stage_records: DataFrame) -> DataFrame:
-    """Add ``rows_in``: what the upstream stage of the same run gave out."""
-    upstream = F.create_map(*[F.lit(part) for pair in fv.UPSTREAM_STAGE.items() for part in pair])
-    given = stage_records.where("rows_out IS NOT NULL").groupBy(
-        "run_id", F.col("stage").alias("upstream")
-    ).agg(F.max("rows_out").alias("rows_in"))
-    rows = stage_records.withColumn("upstream", F.try_element_at(upstream, F.col("stage")))
-    return rows.join(given, ["run_id", "upstream"], "left").select(
-        "run_id", "match_id", "stage", "status", "rows_in", "rows_out"
-    )
+    """Add ``rows_in``: what the upstream stage of the same run gave out.
+
+    A run has some ten records, so a window over them needs one scan and no join.
+    """
+    run = Window.partitionBy("run_id")
+    given = F.lit(None).cast("long")
+    for stage, upstream in fv.UPSTREAM_STAGE.items():
+        of_upstream = F.max(F.when(F.col("stage") == upstream, F.col("rows_out"))).over(run)
+        given = F.when(F.col("stage") == stage, of_upstream).otherwise(given)
+    return stage_records.select("run_id", "match_id", "stage", "status", given.alias("rows_in"), "rows_out")
 
 
 def run_stage_matrix(stage_records: DataFrame) -> DataFrame:
-    """All stages of every run; those without a record were not run."""
-    stages = F.array(*[
-        F.struct(F.lit(n).alias("stage_order"), F.lit(s).alias("stage")) for n, s in enumerate(fv.STAGES, 1)
+    """All stages of every run, one row each: the last attempt, or NOT_RUN without a record."""
+    record = F.struct("status", "started_at", "completed_at")
+    attempt = F.struct("started_at", "completed_at")
+    runs = stage_records.groupBy("run_id", "match_id").agg(*[
+        F.max_by(record, F.when(F.col("stage") == stage, attempt)).alias(stage) for stage in fv.STAGES])
+    rows = F.array(*[
+        F.struct(F.lit(n).alias("stage_order"), F.lit(stage).alias("stage"), F.col(stage).alias("last"))
+        for n, stage in enumerate(fv.STAGES, 1)
     ])
-    runs = stage_records.select("run_id", "match_id").distinct().select("run_id", "match_id", F.inline(stages))
-    records = stage_records.select("run_id", "stage", "status", "started_at", "completed_at")
-    return runs.join(records, ["run_id", "stage"], "left").select(
-        "run_id", "match_id", "stage_order", "stage", F.coalesce("status", F.lit(fv.NOT_RUN)).alias("status"),
-        "started_at", "completed_at",
+    return runs.select("run_id", "match_id", F.inline(rows)).select(
+        "run_id", "match_id", "stage_order", "stage", F.coalesce("last.status", F.lit(fv.NOT_RUN)).alias("status"),
+        "last.started_at", "last.completed_at",
     )

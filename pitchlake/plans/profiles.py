@@ -36,10 +36,10 @@ def top_moves(silver: DataFrame, rows: int = 20) -> DataFrame:
 
 
 def player_xt_leaders(silver: DataFrame, rows: int = 15) -> DataFrame:
-    """Players by threat added. Ranked on the rounded sum, so that the order of additions has no say."""
+    """Players by threat added."""
     summed = silver.where(F.col("is_successful_move") & F.col("player_name").isNotNull()).groupBy(
         "player_name"
-    ).agg(F.round(F.sum("xt_added"), 8).alias("xt_added"))
+    ).agg(F.sum("xt_added").alias("xt_added"))
     return summed.orderBy(F.col("xt_added").desc_nulls_last(), "player_name").limit(rows)
 
 

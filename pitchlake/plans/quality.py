@@ -46,6 +46,12 @@ def silver_violations(silver: DataFrame) -> DataFrame:
     and task. Only the ids themselves are shuffled row by row, by match and
     event, which spreads even one huge match over all tasks.
     """
+    counted = silver.groupBy("match_id", "event_id").agg(F.count("*").alias("n_right"))
+    return silver_row_violations(silver).unionByName(duplicated_ids(counted))
+
+
+def silver_row_violations(silver: DataFrame) -> DataFrame:
+    """The rules that a row breaks by itself."""
     c = F.col
     rules = {
         "event_id_missing": c("event_id").isNull(),
@@ -59,12 +65,15 @@ def silver_violations(silver: DataFrame) -> DataFrame:
         "move_without_xt": c("is_successful_move")
         & (c("xt_start").isNull() | c("xt_end").isNull() | c("xt_added").isNull()),
     }
-    repeated = (
-        silver.where("event_id IS NOT NULL").groupBy("match_id", "event_id").agg(F.count("*").alias("rows"))
-        .where("rows > 1").groupBy("match_id").agg(F.sum(c("rows") - 1).alias("n"))
+    return checks.row_rules(silver, rules)
+
+
+def duplicated_ids(counted: DataFrame) -> DataFrame:
+    """Event ids that occur more than once, from ``n_right`` rows per match and id."""
+    return (
+        counted.where("event_id IS NOT NULL AND n_right > 1").groupBy("match_id").agg(F.sum(F.col("n_right") - 1).alias("n"))
         .select("match_id", F.lit("event_id_duplicated").alias("rule"), "n")
     )
-    return checks.row_rules(silver, rules).unionByName(repeated)
 
 
 def empty_batches(registered: DataFrame, silver: DataFrame) -> DataFrame:
@@ -75,7 +84,15 @@ def empty_batches(registered: DataFrame, silver: DataFrame) -> DataFrame:
 
 def reconcile_bronze_silver(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """Row counts and differing event ids per match."""
-    ids = key_counts(bronze, silver, ["match_id", "event_id"])
+    return reconciled_ids(compared_ids(bronze, silver))
+
+
+def compared_ids(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+    """Rows of each event id on both sides."""
+    return key_counts(bronze, silver, ["match_id", "event_id"])
+
+
+def reconciled_ids(ids: DataFrame) -> DataFrame:
     counted = ids.groupBy("match_id").agg(
         F.sum("n_left").alias("bronze_rows"), F.sum("n_right").alias("silver_rows"),
         F.count_if((F.col("n_left") > 0) & (F.col("n_right") == 0)).alias("missing_ids"),
@@ -183,6 +200,36 @@ def net_xt(intervals: DataFrame) -> DataFrame:
     return checks.row_rules(intervals, {"net_xt_differs": gap > NET_XT_TOLERANCE})
 
 
+def team_fact_violations(team: DataFrame, silver: DataFrame) -> DataFrame:
+    """All rules of the team fact, before it is published; ``silver``: the rows it was made from."""
+    out = checks.range_violation
+    differing = reconcile_gold_team(team, silver).groupBy("match_id").agg(F.count("*").alias("n"))
+    return checks.all_of(
+        gold_team_invariants(team),
+        checks.row_rules(team, {
+            "shots_accepted_range": out("shots", 0), "xg_accepted_range": out("xg", 0),
+            "pass_completion_pct_accepted_range": out("pass_completion_pct", 0, 100),
+        }),
+        checks.rows_per_match(team, 2, "not_two_teams"),
+        checks.unique(team, ["match_id", "team_id"], "team_unique"),
+        differing.select("match_id", F.lit("gold_silver_differ").alias("rule"), "n"),
+    )
+
+
+def interval_fact_violations(intervals: DataFrame) -> DataFrame:
+    """All rules of the interval fact, before it is published."""
+    out = checks.range_violation
+    return checks.all_of(
+        interval_boundaries(intervals), net_xt(intervals),
+        checks.row_rules(intervals, {
+            "positive_xt_accepted_range": out("positive_xt", 0),
+            "negative_xt_accepted_range": out("negative_xt", None, 0),
+        }),
+        checks.rows_per_match(intervals, 40, "not_forty_intervals"),
+        checks.unique(intervals, ["match_id", "team_id", "period", "interval_start", "is_stoppage_time"], "interval_unique"),
+    )
+
+
 def gold_ranges(team: DataFrame, intervals: DataFrame) -> DataFrame:
     out = checks.range_violation
     return checks.all_of(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pitchlake import fixed_values as fv
 from pitchlake.functions.intervals import match_minute
@@ -22,14 +22,14 @@ def _text(value: Column, decimals: int, suffix: str) -> Column:
 def match_summary(fact_gold_team: DataFrame) -> DataFrame:
     """Six metrics for both teams of a match, in alphabetical team order.
 
-    Matches without exactly two teams are left out and listed by
-    ``input_violations``.
+    A match with one team has no second values. One with more than two shows its first
+    and its last team; ``teams`` tells, and ``input_violations`` lists all such matches.
     """
     columns = [column for _, column, _, _ in fv.SUMMARY_METRICS]
     team = F.struct("team_name", *[F.col(c).cast("double").alias(c) for c in columns])
     pairs = fact_gold_team.groupBy("match_id").agg(
-        F.min(team).alias("a"), F.max(team).alias("b"), F.count("*").alias("n")
-    ).where("n = 2")
+        F.min(team).alias("a"), F.max(team).alias("last"), F.count("*").alias("teams")
+    ).withColumn("b", F.when(F.col("teams") > 1, F.col("last")))
     lines = F.array(*[
         F.struct(
             F.lit(order).alias("metric_order"), F.lit(label).alias("metric"),
@@ -40,7 +40,8 @@ def match_summary(fact_gold_team: DataFrame) -> DataFrame:
         for order, (label, column, decimals, suffix) in enumerate(fv.SUMMARY_METRICS, start=1)
     ])
     return pairs.select(
-        "match_id", F.col("a.team_name").alias("team_a"), F.col("b.team_name").alias("team_b"), F.inline(lines)
+        "match_id", F.col("a.team_name").alias("team_a"), F.col("b.team_name").alias("team_b"),
+        F.col("teams").cast("int").alias("teams"), F.inline(lines),
     )
 
 
@@ -105,15 +106,13 @@ def _display_order(label: Column) -> Column:
 
 
 def xt_momentum(fact_gold_intervals: DataFrame) -> DataFrame:
-    """Positive threat per interval in display order; the second team is negated."""
-    named = fact_gold_intervals.where(F.col("team_name").isNotNull())
-    teams = named.groupBy("match_id").agg(
-        F.min("team_name").alias("first_team"), F.max("team_name").alias("second_team")
-    ).where("first_team < second_team")
-    rank = F.when(F.col("team_name") == F.col("first_team"), 1).when(
-        F.col("team_name") == F.col("second_team"), 2
-    )
-    ranked = named.join(teams, "match_id").select(
+    """Positive threat per interval in display order; the second team is negated.
+
+    Teams are ranked by name within their match, however many there are; a window over the
+    some 40 rows of a match needs one scan and no join.
+    """
+    rank = F.dense_rank().over(Window.partitionBy("match_id").orderBy("team_name"))
+    ranked = fact_gold_intervals.where(F.col("team_name").isNotNull()).select(
         "match_id", "team_name", rank.alias("team_rank"), "interval_label",
         _display_order(F.col("interval_label")).alias("display_order"), "positive_xt",
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -9,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pitchlake import fixed_values as fv, schemas
 from pitchlake.operators import checks
-from pitchlake.operators.keyed import only, without
+from pitchlake.operators.keyed import only, settled, without
 from pitchlake.operators.ordered import latest
-from pitchlake.plans import bronze, gold, marts, quality, silver
+from pitchlake.plans import bronze, gold, marts, observability, quality, silver
 from pitchlake.plans.incremental import CommitStore, lineage_edges, new_matches, register_artifacts
 from pitchlake.session import cut_lineage
 from pitchlake.sources import logs, raw, tables
@@ -21,9 +22,9 @@ from pitchlake.sources.matches import to_dim_match
 class Warehouse:
     """Manifest, Bronze, violations and logs by run; Silver, Gold and the match dimension as commit stores.
 
-    ``ingest`` handles many artifacts in one job. Each of its steps overwrites
+    ``ingest`` handles many artifacts in one job. Each of its steps finds or overwrites
     what an interrupted run with the same key has left, so it can be repeated at
-    any point. Folders are per run, never per match.
+    any point; a finished key changes nothing. Folders are per run, never per match.
     """
 
     def __init__(
@@ -66,24 +67,76 @@ class Warehouse:
         }
         return logs.observe_stage(self.spark, self.path("logs/stage_runs"), stage, **fields)
 
+    def files(self) -> DataFrame:
+        """Every landed file that was looked at, also copies and files without a match."""
+        return self._keyed("files", "raw_uri string, match_id long, run_key string")
+
     def register(self, artifacts: DataFrame, key: str) -> tuple[DataFrame, int]:
-        """Add new artifacts to the manifest; returns their rows and number."""
+        """Add new artifacts to the manifest; returns all rows of ``key`` and their number.
+
+        What is registered keeps its version: a repeated key only adds files it has not seen.
+        Files without a match are set aside as violations.
+        """
         # The only step that has to hash all contents: done once, and cut off there.
         arrivals = cut_lineage(
             artifacts.select("match_id", "file_hash", "raw_uri", F.col("arrived_at").alias("arrival"))
         )
-        known = self.manifest().where(F.col("run_key") != key)
+        stray = arrivals.where("match_id IS NULL").select("raw_uri").distinct().join(
+            self.files().select("raw_uri").distinct(), "raw_uri", "left_anti"
+        ).agg(F.count("*").alias("n")).where("n > 0")
+        stray = stray.select(F.lit(None).cast("long").alias("match_id"), F.lit("no_match_id").alias("rule"), "n")
+        if not stray.isEmpty():
+            self._write(stray, "violations", f"{key}-files")
         rows = register_artifacts(
-            arrivals, known, self.provider, ingested_at=F.date_format("arrival", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"),
+            arrivals.where("match_id IS NOT NULL"), self.manifest(), self.provider,
+            ingested_at=F.date_format("arrival", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"),
             source_url=F.col("raw_uri"), raw_uri=F.col("raw_uri"),
         )
-        return self._write(rows.select(*schemas.MANIFEST.fieldNames()), "manifest", key)
+        fresh = cut_lineage(rows.select(*schemas.MANIFEST.fieldNames()))
+        tables.append_part(fresh, self.path("manifest"), key)
+        tables.append_part(arrivals.select("raw_uri", "match_id"), self.path("files"), key)
+        own = tables.read_part(self.spark, self.path("manifest"), key)
+        return own, own.count()
+
+    def ingest_folder(self, landing: str, key: str, attempt: int = 1) -> int | None:
+        """``ingest`` of the files below ``landing`` that no run has looked at, or that ``key`` left unfinished."""
+        seen = self.files().where(F.col("run_key") != key)
+        artifacts = raw.read_new_artifacts(self.spark, landing, seen)
+        return None if artifacts is None else self.ingest(artifacts, key, attempt)
 
     def ingest(self, artifacts: DataFrame, key: str, attempt: int = 1) -> int | None:
         """Take artifacts (as read by ``raw.read_artifacts``) through all layers.
 
-        Returns the Silver commit, or None if nothing was new.
+        Returns the Silver commit, or None if nothing was new. A key that is published in
+        every layer does nothing; one that was interrupted goes on where it stopped.
         """
+        if all(store.published(key) for store in (self.silver, self.gold_team, self.gold_intervals)):
+            return self.silver.published(key)
+        try:
+            seq = self._ingest(artifacts, key, attempt)
+        finally:
+            self._record_run(key)
+        return seq
+
+    def _ingest(self, artifacts: DataFrame, key: str, attempt: int) -> int | None:
+        seq = self.silver.published(key)
+        if seq is None:
+            seq = self._to_silver(artifacts, key, attempt)
+            if seq is None:
+                return None
+        listed = self.silver.match_commits().where(F.col("commit_seq") == seq)
+        accepted, held_back = listed.where("published"), listed.where("NOT published")
+        rows = without(self.silver.written(seq), held_back, ["match_id"], settle=True)
+        self._publish("GOLD_TEAM", self.gold_team, gold.fact_gold_team(rows), accepted, key, attempt,
+                      lambda facts: quality.team_fact_violations(facts, rows))
+        self._publish("GOLD_INTERVAL", self.gold_intervals, gold.fact_gold_intervals(rows), accepted, key, attempt,
+                      quality.interval_fact_violations)
+        registered = tables.read_part(self.spark, self.path("manifest"), key)
+        edges = lineage_edges("ingest", registered.select(F.col("raw_uri").alias("dataset")), self.silver.path, key)
+        self._write(edges, "lineage", key)
+        return seq
+
+    def _to_silver(self, artifacts: DataFrame, key: str, attempt: int) -> int | None:
         with self._stage("INGEST", key, attempt) as seen:
             registered, files = self.register(artifacts, key)
             seen["rows_out"] = files
@@ -102,9 +155,11 @@ class Warehouse:
         events = without(stored, without(registered, newest, version), version, settle=True)
         with self._stage("SILVER", key, attempt) as seen:
             def check(written: DataFrame) -> DataFrame:
+                # Ids are shuffled once, for what differs and for what is duplicated.
+                ids = quality.compared_ids(events, written)
                 found = checks.all_of(
-                    quality.silver_violations(written), quality.empty_batches(newest, written),
-                    quality.reconciliation_violations(quality.reconcile_bronze_silver(events, written)),
+                    quality.silver_row_violations(written), quality.duplicated_ids(ids), quality.empty_batches(newest, written),
+                    quality.reconciliation_violations(quality.reconciled_ids(ids)),
                     # Only files that gave no event are read again, which is none as a rule.
                     raw.unreadable(only(fresh, without(registered, stored, version), version, settle=True)),
                 )
@@ -113,24 +168,62 @@ class Warehouse:
             seq = self.silver.commit(
                 quality.require_contract(silver.to_silver(events, self.grid, self.model_version)), key, check=check
             )
-            listed = self.silver.match_commits().where(F.col("commit_seq") == seq)
-            accepted = listed.where("published")
+            accepted = self.silver.match_commits().where((F.col("commit_seq") == seq) & F.col("published"))
             seen["rows_out"] = accepted.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-        held_back = listed.where("NOT published")
-        rows = without(self.silver.written(seq), held_back, ["match_id"], settle=True)
-        self._publish("GOLD_TEAM", self.gold_team, gold.fact_gold_team(rows), accepted, key, attempt)
-        self._publish("GOLD_INTERVAL", self.gold_intervals, gold.fact_gold_intervals(rows), accepted, key, attempt)
-        edges = lineage_edges("ingest", registered.select(F.col("raw_uri").alias("dataset")), self.silver.path, key)
-        self._write(edges, "lineage", key)
         return seq
 
     def _publish(
-        self, stage: str, store: CommitStore, facts: DataFrame, matches: DataFrame, key: str, attempt: int
-    ) -> None:
+        self, stage: str, store: CommitStore, facts: DataFrame, matches: DataFrame, key: str, attempt: int,
+        rules: Callable[[DataFrame], DataFrame],
+    ) -> int:
+        """Commit facts; matches that break a rule of their layer are listed and stay hidden."""
+        def check(written: DataFrame) -> DataFrame:
+            return self._write(rules(written), "violations", f"{key}-{stage.lower()}")[0]
+
         with self._stage(stage, key, attempt) as seen:
-            seq = store.commit(facts, key, matches=matches)
-            counted = store.match_commits().where(F.col("commit_seq") == seq)
+            seq = store.commit(facts, key, check=check, matches=matches)
+            counted = store.match_commits().where((F.col("commit_seq") == seq) & F.col("published"))
             seen["rows_out"] = counted.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        return seq
+
+    def rebuild(self, matches: DataFrame, key: str) -> int:
+        """Compute both Gold facts of the given matches anew from Silver; returns the commit of the team fact."""
+        listed = settled(matches.select("match_id"))
+        rows = self.silver.read().join(listed, "match_id", "left_semi")
+        seq = self._publish("GOLD_TEAM", self.gold_team, gold.fact_gold_team(rows), listed, key, 1,
+                            lambda facts: quality.team_fact_violations(facts, rows))
+        self._publish("GOLD_INTERVAL", self.gold_intervals, gold.fact_gold_intervals(rows), listed, key, 1,
+                      quality.interval_fact_violations)
+        return seq
+
+    def stage_records(self) -> DataFrame:
+        """Stage attempts of all runs, as the run views read them."""
+        return self.stage_runs().select(F.col("airflow_run_id").alias("run_id"), *[
+            c for c in schemas.STAGE_RUN.fieldNames() if c not in ("airflow_run_id", "stage_run_id", "dag_id", "task_id")])
+
+    def _record_run(self, key: str) -> None:
+        """Log the outcome of a run so far, and its failed stages as task events."""
+        own = self.stage_records().where(F.col("run_id") == key)
+        logs.append_log(observability.run_outcomes(own), self.path("logs/pipeline_runs"), schemas.PIPELINE_RUN)
+        failed = own.where((F.col("status") == fv.FAILED)).select(
+            F.lit(fv.TASK_FAILED).alias("event_type"), F.col("completed_at").alias("occurred_at"), F.lit("warehouse").alias("dag_id"),
+            F.lower("stage").alias("task_id"), F.col("run_id").alias("airflow_run_id"), "match_id", "try_number",
+            F.col("error_type").alias("exception_type"), "error_message")
+        known = self.task_events().select("airflow_run_id", "task_id", "occurred_at")
+        logs.append_log(cut_lineage(failed.join(known, ["airflow_run_id", "task_id", "occurred_at"], "left_anti")),
+                        self.path("logs/task_events"), schemas.TASK_EVENT)
+
+    def pipeline_runs(self) -> DataFrame:
+        """The last outcome of every run."""
+        runs = logs.read_log(self.spark, self.path("logs/pipeline_runs"), schemas.PIPELINE_RUN)
+        return latest(runs, ["run_id"], F.col("completed_at").desc_nulls_last())
+
+    def run_stages(self) -> DataFrame:
+        """All stages of every run; those that were not reached are NOT_RUN."""
+        return observability.run_stage_matrix(self.stage_records())
+
+    def task_events(self) -> DataFrame:
+        return logs.read_log(self.spark, self.path("logs/task_events"), schemas.TASK_EVENT)
 
     def load_matches(self, matches: DataFrame, key: str) -> int:
         """Insert or update matches of the dimension from a nested match list."""

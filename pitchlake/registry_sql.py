@@ -37,7 +37,7 @@ ev AS (
     CASE WHEN t = 'purchase' AND e % 31 <> 0 THEN (e * 29 % 1000) / 1000.0::DOUBLE END AS shot_xg,
     CAST(1 AS INTEGER) AS source_version, sha256(CAST(1000 + m AS VARCHAR)) AS file_hash
   FROM ev
-), placed AS (
+), halved AS (
   SELECT *, 'Team ' || team_id AS team_name,
     raw_x / 120::DOUBLE * 105::DOUBLE AS start_x, raw_y / 80::DOUBLE * 68::DOUBLE AS start_y,
     raw_end_x / 120::DOUBLE * 105::DOUBLE AS end_x, raw_end_y / 80::DOUBLE * 68::DOUBLE AS end_y
@@ -113,42 +113,43 @@ def _team_fact(source: str) -> str:
 
 TEAM = SILVER + f", team AS ({_team_fact('silver')})"
 
+# The twenty slots of a match, numbered in display order: ten for each half, the tenth for stoppage time.
+SLOTS = ", ".join(f"({n}, '{label}')" for n, label in enumerate(fv.INTERVAL_ORDER))
 INTERVALS = SILVER + f""",
-timed AS (
-  SELECT *, CASE WHEN period = 1 THEN minute ELSE minute - 45 END AS period_minute,
-    (period = 1 AND minute >= 45) OR (period = 2 AND minute >= 90) AS is_stoppage_time
+slot_list(slot, interval_label) AS (VALUES {SLOTS}),
+slot_times AS (
+  SELECT slot, interval_label, CAST(1 + slot // 10 AS INTEGER) AS period, CAST(5 * (slot % 10) AS INTEGER) AS interval_start,
+    slot % 10 = 9 AS is_stoppage_time FROM slot_list
+), halved AS (
+  SELECT *, minute - 45 * (period - 1) AS period_minute,
+    10 * (period - 1) + least(9, (minute - 45 * (period - 1)) // 5) AS raw_slot
   FROM silver WHERE team_id IS NOT NULL AND period IN (1, 2)
-), assigned AS (
-  SELECT *, CASE WHEN is_stoppage_time THEN 45 ELSE CAST(trunc(period_minute / 5) AS INTEGER) * 5 END
-    AS interval_start FROM timed
-), agg AS (
-  SELECT match_id, team_id, period, interval_start, is_stoppage_time,
-    coalesce(sum(xt_added) FILTER (WHERE is_successful_move AND xt_added > 0), 0) AS positive_xt,
-    coalesce(sum(xt_added) FILTER (WHERE is_successful_move AND xt_added < 0), 0) AS negative_xt,
-    coalesce(sum(xt_added) FILTER (WHERE is_successful_move), 0) AS net_xt,
-    count(*) FILTER (WHERE is_successful_move) AS successful_moves,
-    count(*) FILTER (WHERE is_shot) AS shots,
-    coalesce(sum(coalesce(shot_xg, 0)) FILTER (WHERE is_shot), 0) AS xg
-  FROM assigned GROUP BY ALL
-), slots AS (
-  SELECT CAST(p AS INTEGER) AS period, CAST(s AS INTEGER) AS interval_start, s = 45 AS is_stoppage_time
-  FROM range(1, 3) periods(p), range(0, 50, 5) starts(s)
-), spine AS (
-  SELECT t.*, s.*,
-    CASE WHEN s.is_stoppage_time THEN CASE WHEN s.period = 1 THEN '45+' ELSE '90+' END
-         WHEN s.period = 1 THEN s.interval_start || '-' || (s.interval_start + 5)
-         ELSE (s.interval_start + 45) || '-' || (s.interval_start + 50) END AS interval_label,
-    '{fv.METRIC_VERSION}' AS metric_version
-  FROM (SELECT match_id, team_id, max(team_name) AS team_name, max(source_version) AS source_version,
-          max(file_hash) AS file_hash, max(xt_model_version) AS xt_model_version
-        FROM timed GROUP BY match_id, team_id) t CROSS JOIN slots s
+), slotted AS (
+  SELECT * EXCLUDE (raw_slot),
+    CASE WHEN period_minute < 0 THEN NULL ELSE CAST(raw_slot AS INTEGER) END AS slot,
+    coalesce(period_minute >= 45, false) AS late FROM halved
+), sums AS (
+  SELECT match_id, team_id, slot, list(CASE WHEN is_successful_move THEN xt_added END) AS threats,
+    count(*) FILTER (WHERE is_successful_move) AS successful_moves, list(CASE WHEN is_shot THEN coalesce(shot_xg, 0) END) AS xgs
+  FROM slotted GROUP BY match_id, team_id, slot
+), measured AS (
+  SELECT match_id, team_id, slot, successful_moves, len(list_filter(xgs, lambda v: v IS NOT NULL)) AS shots,
+    coalesce(list_sum(xgs), 0) AS xg, coalesce(list_sum(list_filter(threats, lambda v: v > 0)), 0) AS positive_xt,
+    coalesce(list_sum(list_filter(threats, lambda v: v < 0)), 0) AS negative_xt, coalesce(list_sum(threats), 0) AS net_xt
+  FROM sums
+), sides AS (
+  SELECT match_id, team_id, max(team_name) AS team_name, max(source_version) AS source_version, max(file_hash) AS file_hash,
+    max(xt_model_version) AS xt_model_version, '{fv.METRIC_VERSION}' AS metric_version
+  FROM halved GROUP BY match_id, team_id
 ), intervals AS (
-  SELECT l.match_id, l.team_id, l.team_name, l.period, l.interval_start, l.is_stoppage_time, l.interval_label,
-    coalesce(a.positive_xt, 0) AS positive_xt, coalesce(a.negative_xt, 0) AS negative_xt,
-    coalesce(a.net_xt, 0) AS net_xt, coalesce(a.successful_moves, 0) AS successful_moves,
-    coalesce(a.shots, 0) AS shots, coalesce(a.xg, 0) AS xg,
-    l.source_version, l.file_hash, l.xt_model_version, l.metric_version
-  FROM spine l LEFT JOIN agg a USING (match_id, team_id, period, interval_start, is_stoppage_time)
+  SELECT match_id, team_id, team_name, period, interval_start, is_stoppage_time, interval_label,
+    sum(positive_xt) AS positive_xt, sum(negative_xt) AS negative_xt, sum(net_xt) AS net_xt,
+    CAST(sum(successful_moves) AS BIGINT) AS successful_moves, CAST(sum(shots) AS BIGINT) AS shots, sum(xg) AS xg,
+    source_version, file_hash, xt_model_version, metric_version
+  FROM (
+    SELECT match_id, team_id, slot, positive_xt, negative_xt, net_xt, successful_moves, shots, xg FROM measured WHERE slot IS NOT NULL
+    UNION ALL SELECT match_id, team_id, slot, 0, 0, 0, 0, 0, 0 FROM sides, slot_list
+  ) JOIN sides USING (match_id, team_id) JOIN slot_times USING (slot) GROUP BY ALL
 )"""
 
 def _enriched(source: str = "team") -> str:
@@ -203,14 +204,21 @@ RECORDS = f"""
 stages(n, stage) AS (VALUES {STAGE_NAMES}),
 marked AS (
   SELECT *, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS reached, o_orderstatus = 'F' AS failed FROM orders
+), tried AS (
+  SELECT *, failed AND (n = reached OR (o_orderkey % 3 = 0 AND n = reached + 1)) AS stops, 0 AS early
+  FROM marked, stages WHERE NOT failed OR n <= reached OR (o_orderkey % 3 = 0 AND n = reached + 1)
+  UNION ALL
+  SELECT *, true, -30 FROM marked, stages
+  WHERE stage = 'SILVER' AND o_orderkey % 4 = 0 AND (NOT failed OR n <= reached OR (o_orderkey % 3 = 0 AND n = reached + 1))
 ), records AS (
-  SELECT 'run-' || o_orderkey AS run_id, o_orderkey % 50 AS match_id, CAST(n AS INTEGER) AS n, stage,
-    CASE WHEN failed AND n = reached THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
-    o_orderdate + 60 * n * INTERVAL 1 SECOND AS started_at,
-    o_orderdate + (60 * n + o_orderkey % 50 + n) * INTERVAL 1 SECOND AS completed_at,
-    CASE WHEN NOT (failed AND n = reached) AND stage <> 'REPORTS'
-      THEN CAST(floor(o_totalprice) AS BIGINT) % 5000 + n END AS rows_out
-  FROM marked, stages WHERE NOT failed OR n <= reached
+  SELECT 'run-' || o_orderkey AS run_id, o_orderkey % 50 AS match_id, CAST(n AS INTEGER) AS n, stage, early = 0 AS final,
+    CASE WHEN stops THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
+    o_orderdate + (60 * n + early) * INTERVAL 1 SECOND AS started_at,
+    o_orderdate + (60 * n + early + CASE WHEN early < 0 THEN 5 ELSE o_orderkey % 50 + n END) * INTERVAL 1 SECOND
+      AS completed_at,
+    CASE WHEN NOT stops AND stage <> 'REPORTS' THEN CAST(floor(o_totalprice) AS BIGINT) % 5000 + n END AS rows_out,
+    CASE WHEN stops THEN CASE WHEN n = reached THEN 'ValueError' ELSE 'KeyError' END END AS error_type
+  FROM tried
 )"""
 
 MANIFEST = """
@@ -405,9 +413,12 @@ ORACLE: dict[str, str] = {
         coalesce(sum(xt_added), 0) AS net_xt
       FROM silver WHERE team_id IS NOT NULL GROUP BY ALL""", "positive_xt negative_xt net_xt")),
     "interval_assign": sql(INTERVALS, """
-      SELECT match_id, event_id, period, minute, period_minute, is_stoppage_time, interval_start FROM assigned"""),
-    "interval_aggregates": sql(INTERVALS, rounded("SELECT * FROM agg", INTERVAL_DOUBLES)),
-    "interval_spine": sql(INTERVALS, "SELECT * FROM spine"),
+      SELECT match_id, event_id, period, minute, period_minute, late AS is_stoppage_time,
+        CASE WHEN late THEN 45 ELSE CAST(trunc(period_minute / 5) AS INTEGER) * 5 END AS interval_start FROM slotted"""),
+    "interval_aggregates": sql(INTERVALS, rounded("""
+      SELECT match_id, team_id, period, interval_start, is_stoppage_time, positive_xt, negative_xt, net_xt,
+        successful_moves, shots, xg FROM measured JOIN slot_times USING (slot)""", INTERVAL_DOUBLES)),
+    "interval_spine": sql(INTERVALS, "SELECT * EXCLUDE (slot) FROM sides, slot_times"),
     "interval_labels": sql(INTERVALS, """
       SELECT period, interval_start, is_stoppage_time, interval_label, count(*) AS rows,
         CAST(sum(successful_moves) AS BIGINT) AS successful_moves FROM intervals GROUP BY ALL"""),
@@ -435,7 +446,7 @@ ORACLE: dict[str, str] = {
     """, "start_x start_y end_x end_y xt_start xt_end xt_added")),
     "player_xt_leaders": sql(SILVER, """
       SELECT player_name, round(sum(xt_added), 8) AS xt_added FROM silver WHERE is_successful_move
-      GROUP BY ALL ORDER BY xt_added DESC NULLS LAST, player_name LIMIT 15"""),
+      GROUP BY ALL ORDER BY sum(xt_added) DESC NULLS LAST, player_name LIMIT 15"""),
     "player_progressive_leaders": sql(SILVER, """
       SELECT player_name, count(*) AS progressive_passes FROM silver WHERE is_progressive_pass
       GROUP BY ALL ORDER BY progressive_passes DESC, player_name LIMIT 10"""),
@@ -449,9 +460,12 @@ ORACLE: dict[str, str] = {
       SELECT match_id, team_name, period, median(start_x) AS median_start_x, median(start_x) < 60 AS suspicious
       FROM {_SHOTS} GROUP BY ALL""", "median_start_x")),
     "match_summary": sql(TEAM, rounded("""
-      SELECT match_id, team_a, team_b, metric_order, metric, value_a, value_b, text_a, text_b FROM (
-        SELECT a.match_id, a.team_name AS team_a, b.team_name AS team_b, s.*
-        FROM team a JOIN team b ON a.match_id = b.match_id AND a.team_name < b.team_name,
+      WITH kept AS (SELECT * FROM team WHERE (match_id - 1000) % 4 <> 3 OR team_id < 11),
+      ends AS (SELECT match_id, min(team_name) AS f, max(team_name) AS l, CAST(count(*) AS INTEGER) AS teams FROM kept GROUP BY match_id)
+      SELECT match_id, team_a, team_b, teams, metric_order, metric, value_a, value_b, text_a, text_b FROM (
+        SELECT a.match_id, a.team_name AS team_a, b.team_name AS team_b, e.teams, s.*
+        FROM ends e JOIN kept a ON a.match_id = e.match_id AND a.team_name = e.f
+        LEFT JOIN kept b ON b.match_id = e.match_id AND b.team_name = e.l AND e.teams > 1,
         LATERAL (
           SELECT 1 AS metric_order, 'Goals' AS metric, a.goals::DOUBLE AS value_a, b.goals::DOUBLE AS value_b,
             a.goals::VARCHAR AS text_a, b.goals::VARCHAR AS text_b
@@ -487,7 +501,7 @@ ORACLE: dict[str, str] = {
         CASE WHEN team_rank = 2 THEN 0 - positive_xt ELSE positive_xt END AS shown_xt
       FROM (SELECT *, CAST(dense_rank() OVER (PARTITION BY match_id ORDER BY team_name) AS INTEGER) AS team_rank,
           CAST(list_position({fv.INTERVAL_ORDER!r}, interval_label) - 1 AS INTEGER) AS display_order
-        FROM intervals)""", "positive_xt shown_xt")),
+        FROM intervals WHERE (match_id - 1000) % 4 <> 3 OR team_id < 11)""", "positive_xt shown_xt")),
     "dq_report_inputs": sql(INTERVALS + f""",
       kept_team AS (SELECT match_id, count(*) AS n FROM ({_team_fact('silver')})
         WHERE (match_id - 1000) % 4 <> 3 OR team_id < 11 GROUP BY match_id),
@@ -654,19 +668,23 @@ ORACLE: dict[str, str] = {
       FROM runs"""),
     "run_outcomes": sql(RECORDS, """
       SELECT run_id, match_id, min(started_at) AS started_at,
-        CASE WHEN count(*) FILTER (WHERE status = 'FAILED') > 0 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
-        max(completed_at) AS completed_at, max(CASE WHEN status = 'FAILED' THEN stage END) AS failed_stage,
-        max(CASE WHEN status = 'FAILED' THEN 'ValueError' END) AS error_type,
-        max(CASE WHEN status = 'FAILED' THEN stage || ' failed' END) AS error_message,
+        CASE WHEN bool_or(final AND status = 'FAILED') THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
+        max(completed_at) AS completed_at,
+        arg_max(stage, n) FILTER (WHERE final AND status = 'FAILED') AS failed_stage,
+        arg_max(error_type, n) FILTER (WHERE final AND status = 'FAILED') AS error_type,
+        arg_max(stage, n) FILTER (WHERE final AND status = 'FAILED') || ' failed' AS error_message,
         epoch(max(completed_at) - min(started_at))::DOUBLE AS duration_seconds
       FROM records GROUP BY run_id, match_id"""),
     "stage_row_flow": sql(RECORDS, """
-      SELECT r.run_id, r.match_id, r.stage, r.status, u.rows_out AS rows_in, r.rows_out FROM records r
-      LEFT JOIN records u ON u.run_id = r.run_id AND u.stage = CASE r.stage WHEN 'BRONZE' THEN 'INGEST'
-        WHEN 'SILVER' THEN 'BRONZE' WHEN 'GOLD_TEAM' THEN 'SILVER' WHEN 'GOLD_INTERVAL' THEN 'SILVER' END"""),
+      SELECT run_id, match_id, stage, status, CASE stage
+          WHEN 'BRONZE' THEN max(rows_out) FILTER (WHERE stage = 'INGEST') OVER run
+          WHEN 'SILVER' THEN max(rows_out) FILTER (WHERE stage = 'BRONZE') OVER run
+          WHEN 'GOLD_TEAM' THEN max(rows_out) FILTER (WHERE stage = 'SILVER') OVER run
+          WHEN 'GOLD_INTERVAL' THEN max(rows_out) FILTER (WHERE stage = 'SILVER') OVER run END AS rows_in, rows_out
+      FROM records WINDOW run AS (PARTITION BY run_id)"""),
     "run_stage_matrix": sql(RECORDS, """
       SELECT 'run-' || o_orderkey AS run_id, o_orderkey % 50 AS match_id, CAST(s.n AS INTEGER) AS stage_order,
         s.stage, coalesce(r.status, 'NOT_RUN') AS status, r.started_at, r.completed_at
       FROM orders CROSS JOIN stages s
-      LEFT JOIN records r ON r.run_id = 'run-' || o_orderkey AND r.stage = s.stage"""),
+      LEFT JOIN records r ON r.run_id = 'run-' || o_orderkey AND r.stage = s.stage AND r.final"""),
 }

@@ -193,7 +193,8 @@ def pipeline_stage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recorded stages of pipeline runs, one run per order.
 
     A run of status F stops at the stage given by its priority; later stages
-    have no record.
+    have no record, but in every third of them the next stage fails as well. Every
+    fourth run needed a second attempt for Silver.
     """
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate",
@@ -204,16 +205,21 @@ def pipeline_stage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
     rows = orders.select("*", F.explode(stages).alias("s")).select("*", "s.n", "s.stage")
     failed = F.col("o_orderstatus") == "F"
-    status = F.when(failed & (F.col("n") == F.col("reached")), fv.FAILED).otherwise(fv.SUCCEEDED)
-    started = F.expr("timestampadd(SECOND, 60 * n, o_orderdate)")
-    return rows.where(~failed | (F.col("n") <= F.col("reached"))).select(
+    both = failed & (F.col("o_orderkey") % 3 == 0)
+    attempts = F.when((F.col("stage") == "SILVER") & (F.col("o_orderkey") % 4 == 0), F.array(F.lit(-30), F.lit(0)))
+    rows = rows.withColumn("early", F.explode(F.coalesce(attempts, F.array(F.lit(0)))))
+    stops = failed & ((F.col("n") == F.col("reached")) | (both & (F.col("n") == F.col("reached") + 1)))
+    status = F.when(stops | (F.col("early") < 0), fv.FAILED).otherwise(fv.SUCCEEDED)
+    error = F.when(F.col("n") == F.col("reached"), "ValueError").otherwise("KeyError")
+    started = F.expr("timestampadd(SECOND, 60 * n + early, o_orderdate)")
+    return rows.where(~failed | (F.col("n") <= F.col("reached") + both.cast("int"))).select(
         F.concat(F.lit("run-"), F.col("o_orderkey").cast("string")).alias("run_id"),
         (F.col("o_orderkey") % 50).alias("match_id"), "stage", status.alias("status"),
         started.alias("started_at"),
-        F.expr("timestampadd(SECOND, o_orderkey % 50 + n, timestampadd(SECOND, 60 * n, o_orderdate))")
+        F.expr("timestampadd(SECOND, if(early < 0, 5, o_orderkey % 50 + n), timestampadd(SECOND, 60 * n + early, o_orderdate))")
         .alias("completed_at"),
         F.when((status == fv.SUCCEEDED) & (F.col("stage") != "REPORTS"),
                F.floor("o_totalprice") % 5000 + F.col("n")).alias("rows_out"),
-        F.when(status == fv.FAILED, F.lit("ValueError")).alias("error_type"),
+        F.when(status == fv.FAILED, error).alias("error_type"),
         F.when(status == fv.FAILED, F.concat(F.col("stage"), F.lit(" failed"))).alias("error_message"),
     )

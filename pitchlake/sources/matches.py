@@ -7,11 +7,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pitchlake import schemas
 
 
+#: Fields of a match without which the dimension can't be built.
+REQUIRED = ["match_id", "match_date", "competition", "season", "home_team", "away_team"]
+
+
 def read_match_list(spark: SparkSession, path: str) -> DataFrame:
     """A landed JSON array of nested matches; it must not be empty."""
     matches = spark.read.option("multiLine", True).schema(schemas.MATCH).json(path)
     if matches.isEmpty():
         raise ValueError(f"No matches were found in {path}.")
+    # With a given schema a field that is nowhere in the file would silently be NULL.
+    given = spark.read.option("multiLine", True).json(path)
+    require_columns(given, REQUIRED, path)
     return matches
 
 

@@ -13,18 +13,30 @@ LINEAGE_COLUMNS = schemas.LINEAGE.fieldNames()
 def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
     """Landed files below ``path``: (match_id, file_hash, raw_uri, arrived_at, content).
 
-    ``match_id`` is taken from a ``match_id=M`` folder. A file is the unit of
-    delivery (one match), so it is read as one row and hashed as a whole.
+    ``match_id`` is taken from a ``match_id=M`` folder; it is NULL for files elsewhere. A file
+    is the unit of delivery (one match), so it is read as one row and hashed as a whole.
     """
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
     return describe_artifacts(files)
 
 
+def read_new_artifacts(spark: SparkSession, path: str, seen: DataFrame) -> DataFrame | None:
+    """Landed files whose ``raw_uri`` is not in ``seen``, or None. No other file is opened.
+
+    The folder is listed without contents. The new paths are then handed to the reader, as Spark's own listing hands
+    them to it; a very large backlog is best taken in by the stream.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).load(path)
+    fresh = listed.select(F.col("path").alias("raw_uri")).join(seen.select("raw_uri").distinct(), "raw_uri", "left_anti")
+    paths = [r["raw_uri"] for r in fresh.collect()]
+    return describe_artifacts(spark.read.text(paths, wholetext=True)) if paths else None
+
+
 def describe_artifacts(files: DataFrame) -> DataFrame:
     """Shared by the batch and the streaming reader of landed files."""
     uri = F.col("_metadata.file_path")
     return files.select(
-        F.regexp_extract(uri, r"match_id=(\d+)", 1).cast("long").alias("match_id"),
+        F.regexp_extract(uri, r"match_id=(\d+)", 1).try_cast("long").alias("match_id"),
         fingerprint(F.col("value")).alias("file_hash"),
         uri.alias("raw_uri"),
         F.col("_metadata.file_modification_time").alias("arrived_at"),

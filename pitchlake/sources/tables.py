@@ -17,6 +17,11 @@ def write_part(df: DataFrame, path: str, key: str) -> int:
     return seen.get["rows"]
 
 
+def append_part(df: DataFrame, path: str, key: str) -> None:
+    """Add rows to one run's part; what is there stays."""
+    df.write.mode("append").parquet(f"{path}/run_key={key}")
+
+
 def read_part(spark: SparkSession, path: str, key: str) -> DataFrame:
     """One run's part; other parts are not even listed."""
     return spark.read.parquet(f"{path}/run_key={key}")

@@ -24,11 +24,13 @@ def start_ingest(
 ) -> StreamingQuery:
     """Take in everything landed so far, then stop.
 
-    A batch that is run again after a failure has the same key, so it replaces
-    its own Silver commit and Gold matches instead of adding to them.
+    The key of a batch holds the identity that the stream keeps in its checkpoint: a batch that
+    is run again after a failure goes on with its own work, and another stream, or one whose checkpoint
+    was lost, has keys of its own.
     """
     def take_in(batch: DataFrame, batch_id: int) -> None:
-        warehouse.ingest(batch, f"stream-{batch_id}")
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        warehouse.ingest(batch, f"stream-{stream}-{batch_id}")
 
     return (
         landed_files(warehouse.spark, landing, files_per_batch).writeStream

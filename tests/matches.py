@@ -1,31 +1,31 @@
-"""Two small matches. Values and goldens are those of FIXTURES.md."""
+"""Two invented matches, and what is needed to land them."""
 
 import json
 
-ARSENAL, BORO = (1, "Arsenal"), (47, "Middlesbrough")
+NORTH, LAKE = (11, "Northgate"), (12, "Lakeside")
 MOCK_GRID = [[column * 0.01 for column in range(12)] for _ in range(8)]
-MATCH_ID = 3749358
+MATCH_ID = 4711
 
+# Moves run along the middle line, so that distances to the goal can be read off: 105 - 0.875 x.
 # index, period, minute, second, type, team, player, location, end location, outcome, xg
 EVENTS = [
-    (1, 1, 0, 0, "Half Start", ARSENAL, None, None, None, None, None),
-    (2, 1, 0, 1, "Pass", ARSENAL, "Thierry Henry", [61.0, 40.0], [75.0, 42.0], None, None),
-    (3, 1, 0, 2, "Ball Receipt*", ARSENAL, "Patrick Vieira", [75.0, 42.0], None, None, None),
-    (4, 1, 0, 2, "Carry", ARSENAL, "Patrick Vieira", [75.0, 42.0], [82.0, 40.0], None, None),
-    (5, 1, 0, 3, "Pass", ARSENAL, "Patrick Vieira", [82.0, 40.0], [105.0, 38.0], None, None),
-    (6, 1, 0, 4, "Ball Receipt*", ARSENAL, "Thierry Henry", [105.0, 38.0], None, None, None),
-    (7, 1, 0, 5, "Shot", ARSENAL, "Thierry Henry", [105.0, 38.0], [120.0, 40.2, 0.5], "Goal", 0.35),
-    (8, 1, 0, 5, "Goal Keeper", BORO, "Mark Schwarzer", [1.0, 40.0], None, None, None),
-    (9, 1, 15, 10, "Pass", BORO, "Franck Queudrue", [30.0, 20.0], [40.0, 25.0], "Incomplete", None),
-    (10, 1, 15, 10, "Ball Receipt*", BORO, "Boudewijn Zenden", [38.0, 24.0], None, None, None),
-    (11, 1, 37, 22, "Shot", ARSENAL, "Thierry Henry", [108.0, 40.0], [120.0, 42.6, 0.1], "Goal", 0.7835),
-    (12, 1, 45, 30, "Pass", ARSENAL, "Patrick Vieira", [50.0, 40.0], [55.0, 20.0], None, None),
-    (13, 1, 47, 0, "Half End", ARSENAL, None, None, None, None, None),
-    (14, 2, 45, 0, "Half Start", BORO, None, None, None, None, None),
-    (15, 2, 50, 0, "Pass", BORO, "George Boateng", [60.0, 40.0], [80.0, 40.0], None, None),
-    (16, 2, 56, 11, "Shot", ARSENAL, "Robert Pirès", [102.0, 30.0], [120.0, 37.0, 0.2], "Saved", 0.24),
-    (17, 2, 90, 15, "Pass", ARSENAL, "Patrick Vieira", [70.0, 50.0], [85.0, 45.0], None, None),
-    (18, 2, 93, 0, "Half End", ARSENAL, None, None, None, None, None),
+    (1, 1, 0, 0, "Half Start", NORTH, None, None, None, None, None),
+    (2, 1, 3, 12, "Pass", NORTH, "Åsa Lind", [42.0, 40.0], [64.0, 40.0], None, None),
+    (3, 1, 3, 14, "Ball Receipt*", NORTH, "Jörg Maas", [64.0, 40.0], None, None, None),
+    (4, 1, 3, 15, "Carry", NORTH, "Jörg Maas", [64.0, 40.0], [72.0, 40.0], None, None),
+    (5, 1, 8, 40, "Pass", LAKE, "Tomás Vidal", [24.0, 40.0], [48.0, 40.0], "Incomplete", None),
+    (6, 1, 21, 5, "Shot", NORTH, "Åsa Lind", [104.0, 40.0], [120.0, 41.0, 1.2], "Saved", 0.15),
+    (7, 1, 21, 6, "Goal Keeper", LAKE, "Ben Okafor", [2.0, 40.0], None, None, None),
+    (8, 1, 33, 30, "Carry", LAKE, "Tomás Vidal", [56.0, 40.0], [48.0, 40.0], None, None),
+    (9, 1, 46, 20, "Pass", NORTH, "Jörg Maas", [72.0, 40.0], [96.0, 40.0], None, None),
+    (10, 1, 48, 0, "Half End", NORTH, None, None, None, None, None),
+    (11, 2, 45, 0, "Half Start", LAKE, None, None, None, None, None),
+    (12, 2, 52, 10, "Pass", LAKE, "Ben Okafor", [48.0, 40.0], [72.0, 40.0], None, None),
+    (13, 2, 58, 45, "Shot", LAKE, "Tomás Vidal", [108.0, 40.0], [120.0, 40.0, 0.3], "Goal", 0.4),
+    (14, 2, 70, 0, "Pass", LAKE, "Ben Okafor", [88.0, 40.0], [82.0, 40.0], None, None),
+    (15, 2, 80, 30, "Shot", NORTH, "Åsa Lind", [96.0, 40.0], [120.0, 44.0, 2.9], "Off T", 0.05),
+    (16, 2, 91, 5, "Pass", NORTH, "Åsa Lind", [64.0, 40.0], [88.0, 40.0], None, None),
+    (17, 2, 94, 0, "Half End", NORTH, None, None, None, None, None),
 ]
 
 
@@ -42,7 +42,7 @@ def event(row):
         out["player"] = {"id": sum(map(ord, player)), "name": player}
     if location:
         out["location"] = location
-    if index in (2, 5):
+    if index in (2, 9):
         out["related_events"] = [f"event-{index - 1}", f"event-{index + 1}"]
     detail = {}
     if end:
@@ -71,36 +71,36 @@ def land(folder, match_id=MATCH_ID, content=None, name="events.json"):
     return str(folder)
 
 
-# The relational match: index, period, minute, type, team, completed, progressive, moved, xt added, outcome, xg
+# A match as Silver rows: index, period, minute, type, team, completed, progressive, moved, xt added, outcome, xg
 SERVED = [
-    (1, 1, 3, "Pass", 1, True, False, True, 0.01, None, None),
-    (2, 1, 8, "Pass", 1, True, True, True, 0.08, None, None),
-    (3, 1, 10, "Pass", 1, False, False, False, None, "Incomplete", None),
-    (4, 1, 22, "Carry", 1, False, False, True, 0.04, None, None),
-    (5, 1, 22, "Carry", 1, False, False, True, -0.02, None, None),
-    (6, 1, 31, "Shot", 1, False, False, False, None, "Saved", 0.12),
-    (7, 1, 45, "Pass", 1, True, False, True, 0.01, None, None),
-    (8, 2, 67, "Shot", 1, False, False, False, None, "Goal", 0.35),
-    (9, 1, 5, "Pass", 2, True, False, True, 0.02, None, None),
-    (10, 1, 18, "Pass", 2, False, False, False, None, "Out", None),
-    (11, 2, 50, "Carry", 2, False, False, True, -0.01, None, None),
-    (12, 2, 88, "Shot", 2, False, False, False, None, "Off T", 0.08),
-    (13, 2, 91, "Pass", 2, True, False, True, 0.01, None, None),
+    (1, 1, 2, "Pass", 21, True, True, True, 0.05, None, None),
+    (2, 1, 7, "Carry", 21, False, False, True, -0.03, None, None),
+    (3, 1, 14, "Pass", 21, False, False, False, None, "Out", None),
+    (4, 1, 14, "Pass", 21, True, False, True, 0.02, None, None),
+    (5, 1, 28, "Shot", 21, False, False, False, None, "Goal", 0.42),
+    (6, 1, 47, "Carry", 21, False, False, True, 0.01, None, None),
+    (7, 2, 60, "Shot", 21, False, False, False, None, "Blocked", 0.07),
+    (8, 2, 74, "Shot", 21, False, False, False, None, "Off T", 0.11),
+    (9, 1, 4, "Pass", 22, True, False, True, 0.03, None, None),
+    (10, 1, 11, "Carry", 22, False, False, True, 0.04, None, None),
+    (11, 2, 49, "Pass", 22, False, False, False, None, "Incomplete", None),
+    (12, 2, 83, "Pass", 22, True, True, True, 0.06, None, None),
+    (13, 2, 92, "Carry", 22, False, False, True, -0.02, None, None),
 ]
 
 
-def served(spark, schema, match_id=1001):
+def served(spark, schema, match_id=2002):
     rows = []
     for index, period, minute, kind, team, completed, progressive, moved, added, outcome, xg in SERVED:
         values = dict.fromkeys(schema.fieldNames())
         values.update(
             match_id=match_id, event_id=f"e{index}", event_index=index, period=period, minute=minute, second=0,
-            event_type=kind, team_id=team, team_name={1: "Arsenal", 2: "Chelsea"}[team], outcome=outcome,
+            event_type=kind, team_id=team, team_name={21: "Foundry", 22: "Meadow"}[team], outcome=outcome,
             shot_xg=xg, is_pass=kind == "Pass", is_carry=kind == "Carry", is_shot=kind == "Shot",
             is_completed_pass=completed, is_progressive_pass=progressive, is_successful_move=moved,
-            progress_ratio=0.35 if progressive else 0.1, start_x=50.0, start_y=30.0,
-            xt_start=0.1 if moved else None, xt_end=0.1 + added if moved else None, xt_added=added,
-            xt_model_version="1.0", source_version=1, file_hash="ci-fixture",
+            progress_ratio=0.4 if progressive else 0.2, start_x=40.0, start_y=20.0,
+            xt_start=0.2 if moved else None, xt_end=0.2 + added if moved else None, xt_added=added,
+            xt_model_version="1.0", source_version=1, file_hash="a1b2c3",
         )
         rows.append(tuple(values[n] for n in schema.fieldNames()))
     return spark.createDataFrame(rows, schema)

@@ -100,3 +100,16 @@ def test_json_list_matches_python(spark):
 def test_trim_to_null(spark):
     df = spark.createDataFrame([(" Team 1 ",), ("   ",), (None,)], "t string")
     assert [r[0] for r in df.select(text.trim_to_null(F.col("t"))).collect()] == ["Team 1", None, None]
+
+
+def test_only_one_complete_grid_is_taken(spark):
+    cells = [("v", r, c, 0.5) for r in range(8) for c in range(12)]
+
+    def frame(rows):
+        return spark.createDataFrame(rows, xt.GRID_SCHEMA)
+
+    assert xt.grid_from_frame(frame(cells)) == [[0.5] * 12] * 8
+    other = [("w", *cell[1:]) for cell in cells]
+    for rows in (cells[1:], cells + [("v", 8, 0, 0.5)], cells + other, cells[1:] + cells[1:2], cells[1:] + [("v", 0, 0, None)]):
+        with pytest.raises(ValueError, match="96 cells"):
+            xt.grid_from_frame(frame(rows))

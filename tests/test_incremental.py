@@ -80,6 +80,21 @@ def test_commits_replace_matches_and_pins_stay(spark, store):
     assert store.commits().count() == 2
 
 
+def test_a_published_key_changes_nothing(spark, store):
+    store.commit(events(spark, 1), "a")
+    store.commit(events(spark, 1, version=2), "b")
+    before = (state(store), state(store, as_of=1), store.commits().collect())
+    assert store.commit(events(spark, 1, 2, version=7), "a") == 1
+    assert (state(store), state(store, as_of=1), store.commits().collect()) == before
+
+
+def test_reads_only_the_folders_of_visible_commits(spark, store):
+    store.commit(events(spark, 1), "a")
+    store.commit(events(spark, 2), "b")
+    text = store.read(as_of=1)._jdf.queryExecution().executedPlan().toString()
+    assert "commit_seq" in text.split("PartitionFilters: [")[1].split("]")[0].replace("isnotnull(commit_seq", "")
+
+
 def test_unpublished_data_is_not_seen(spark, store):
     store.commit(events(spark, 1), "a")
     # As left behind by a commit that failed after writing its data.
@@ -119,10 +134,10 @@ def test_discovery_and_scope(spark):
 
 def test_rebuild_changes_only_touched_matches_and_leaves_no_stale_team(spark):
     old = gold.fact_gold_team(events(spark, 1, 2))
-    revised = events(spark, 1, 2, version=2).where("NOT (match_id = 2 AND team_id = 2)")
+    revised = events(spark, 1, 2, version=2).where("NOT (match_id = 2 AND team_id = 22)")
     out = incremental.rebuild_gold_team(old, revised, incremental.match_ids(spark, [2]))
     assert {(r["match_id"], r["team_id"], r["source_version"]) for r in out.collect()} == {
-        (1, 1, 1), (1, 2, 1), (2, 1, 2)}
+        (1, 21, 1), (1, 22, 1), (2, 21, 2)}
 
 
 def test_backfill_list(spark):
@@ -130,3 +145,12 @@ def test_backfill_list(spark):
     assert (team.count(), intervals.count()) == (4, 80)
     with pytest.raises(ValueError, match="empty"):
         incremental.match_ids(spark, [])
+
+
+def test_large_key_sets_take_the_other_way(spark, store, monkeypatch):
+    from pitchlake.operators import keyed
+    monkeypatch.setattr(keyed, "BROADCAST_KEYS", 0)
+    store.commit(events(spark, 1, 2), "a")
+    store.commit(events(spark, 2, 3, version=2).where("event_index > 3"), "b")
+    assert state(store) == {(1, 1): 13, (2, 2): 10, (3, 2): 10}
+    assert state(store, as_of=1) == {(1, 1): 13, (2, 1): 13}

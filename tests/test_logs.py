@@ -119,6 +119,9 @@ def test_match_list(spark, tmp_path):
     assert dim.columns == schemas.DIM_MATCH.fieldNames()
     row = dim.first()
     assert (row["match_id"], str(row["match_date"]), row["stadium"], row["referee"]) == (1, "2024-04-23", "X", None)
+    (tmp_path / "part.json").write_text('[{"match_id": 1, "match_date": "2024-04-23", "home_team": {"home_team_id": 1}}]')
+    with pytest.raises(ValueError, match="away_team.*competition.*season"):
+        match_source.read_match_list(spark, str(tmp_path / "part.json"))
     (tmp_path / "empty.json").write_text("[]")
     with pytest.raises(ValueError, match="No matches"):
         match_source.read_match_list(spark, str(tmp_path / "empty.json"))
@@ -157,3 +160,28 @@ def test_run_outcomes_are_kept_as_pipeline_runs(spark, tmp_path):
     assert flow["ok", "GOLD_TEAM"] == flow["ok", "GOLD_INTERVAL"] == 12 and flow["ok", "INGEST"] is None
     assert flow["bad", "BRONZE"] == 7 and flow["ok", "REPORTS"] is None
     assert latest(records, ["run_id"], F.col("started_at").desc()).count() == 2
+
+
+def test_retried_and_repeatedly_failing_stages(spark):
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+    def row(run, stage, status, start, error=None, message=None, rows=None):
+        begun = at + timedelta(minutes=start)
+        return (run, 1, stage, status, begun, begun + timedelta(seconds=20), rows, error, message)
+
+    records = spark.createDataFrame([
+        row("mended", "BRONZE", "FAILED", 0, "ValueError", "once"), row("mended", "BRONZE", "SUCCEEDED", 1, rows=5),
+        row("mended", "SILVER", "SUCCEEDED", 2, rows=4),
+        row("broken", "SILVER", "FAILED", 0, "ValueError", "a silver"), row("broken", "GOLD_TEAM", "FAILED", 1, "KeyError", "z gold"),
+    ], "run_id string, match_id long, stage string, status string, started_at timestamp, completed_at timestamp,"
+       " rows_out long, error_type string, error_message string")
+    runs = {r["run_id"]: r for r in observability.run_outcomes(records).collect()}
+    assert (runs["mended"]["status"], runs["mended"]["failed_stage"], runs["mended"]["duration_seconds"]) == ("SUCCEEDED", None, 140.0)
+    broken = runs["broken"]
+    assert (broken["failed_stage"], broken["error_type"], broken["error_message"]) == ("GOLD_TEAM", "KeyError", "z gold")
+    matrix = observability.run_stage_matrix(records).collect()
+    assert len(matrix) == 12 == len({(r["run_id"], r["stage"]) for r in matrix})
+    assert {(r["stage"], r["status"]) for r in matrix if r["run_id"] == "mended" and r["status"] != "NOT_RUN"} == {
+        ("BRONZE", "SUCCEEDED"), ("SILVER", "SUCCEEDED")}
+    flow = [(r["run_id"], r["stage"], r["rows_in"]) for r in observability.stage_row_flow(records).collect()]
+    assert len(flow) == 5 and ("mended", "SILVER", 5) in flow

@@ -21,10 +21,10 @@ MUTATIONS = {  # rule: event of match 2, column, new value
     "event_type_missing": (1, "event_type", None),
     "start_x_out_of_range": (1, "start_x", 105.1),
     "start_y_out_of_range": (1, "start_y", -0.1),
-    "shot_xg_out_of_range": (6, "shot_xg", 1.01),
-    "completed_not_pass": (4, "is_completed_pass", True),
+    "shot_xg_out_of_range": (5, "shot_xg", 1.01),
+    "completed_not_pass": (6, "is_completed_pass", True),
     "progressive_not_completed": (3, "is_progressive_pass", True),
-    "progressive_below_threshold": (2, "progress_ratio", 0.24),
+    "progressive_below_threshold": (1, "progress_ratio", 0.24),
     "move_without_xt": (1, "xt_end", None),
 }
 
@@ -85,7 +85,7 @@ def test_reconciliation_sees_both_sides(good):
 def test_gold_reconciles_with_silver_and_gaps_show(good):
     team = gold.fact_gold_team(good)
     assert quality.reconcile_gold_team(team, good).collect() == []
-    assert quality.reconcile_gold_team(team.where("team_id = 1"), good).count() == 2
+    assert quality.reconcile_gold_team(team.where("team_id = 21"), good).count() == 2
     off = team.withColumn("xg", F.col("xg") + F.when(F.col("match_id") == 1, 1e-5).otherwise(1e-7))
     assert {r["match_id"] for r in quality.reconcile_gold_team(off, good).collect()} == {1}
 
@@ -93,11 +93,11 @@ def test_gold_reconciles_with_silver_and_gaps_show(good):
 def test_gold_rules_hold_on_good_data(spark, good):
     team, intervals = gold.fact_gold_team(good), gold.fact_gold_intervals(good)
     dim = spark.createDataFrame([
-        (m, None, None, 2, "League", 281, "2023/2024", 1, 1, "Arsenal", 2, "Chelsea", None, None) for m in (1, 2)
+        (m, None, None, 2, "League", 281, "2023/2024", 1, 21, "Foundry", 22, "Meadow", None, None) for m in (1, 2)
     ], schemas.DIM_MATCH).withColumn("match_date", F.lit("2024-04-23").cast("date"))
     enriched = marts.team_match_enriched(team, dim)
     assert {(r["team_name"], r["venue"], r["opponent"]) for r in enriched.collect()} == {
-        ("Arsenal", "Home", "Chelsea"), ("Chelsea", "Away", "Arsenal")}
+        ("Foundry", "Home", "Meadow"), ("Meadow", "Away", "Foundry")}
     for found in (
         quality.gold_team_invariants(team), quality.interval_boundaries(intervals), quality.net_xt(intervals),
         quality.gold_ranges(team, intervals), quality.gold_not_null(team, intervals, enriched),
@@ -106,10 +106,10 @@ def test_gold_rules_hold_on_good_data(spark, good):
         checks.accepted_values(enriched, "venue", ["Home", "Away"]),
     ):
         assert found.collect() == []
-    summary = marts.team_season_summary(enriched, "Arsenal", "2023/2024").collect()
-    assert [(r["matches"], r["goals"], r["shots"]) for r in summary] == [(2, 2, 4)]
-    assert marts.match_by_match(enriched, "Arsenal", "none").count() == 0
-    venue = marts.team_home_away_summary(enriched, "Chelsea", "2023/2024").collect()
+    summary = marts.team_season_summary(enriched, "Foundry", "2023/2024").collect()
+    assert [(r["matches"], r["goals"], r["shots"]) for r in summary] == [(2, 2, 6)]
+    assert marts.match_by_match(enriched, "Foundry", "none").count() == 0
+    venue = marts.team_home_away_summary(enriched, "Meadow", "2023/2024").collect()
     assert [(r["venue"], r["matches"], r["goals_per_match"]) for r in venue] == [("Away", 2, 0.0)]
 
 

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as entry_point
-from pitchlake import registry, schemas
+from pitchlake import registry, registry_sql, schemas
 from pitchlake.plans import quality, reports, silver
 from pitchlake.sources import driver_tables as tables
 from tests import matches
@@ -15,7 +15,7 @@ TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
     "date": "DATE", "timestamp_ntz": "TIMESTAMP",
 }
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLE = registry.QUERIES, registry_sql.ORACLE
 
 
 def test_every_query_has_sql():
@@ -60,6 +60,31 @@ def test_events_are_read_once_and_combined_by_hash(spark, sf_dir, name):
     assert re.findall(r"(\w+Aggregate)\(", text)[-1] == "HashAggregate"
 
 
+@pytest.fixture
+def no_spread(monkeypatch):
+    """Large tables are not spread over the cores after the scan; plans are judged without that."""
+    monkeypatch.setattr(tables, "_spread", lambda df, key: df)
+
+
+def test_momentum_reads_once(spark, sf_dir, no_spread):
+    text = plan(QUERIES["xt_momentum"](spark, sf_dir))
+    assert text.count("FileScan") == 1 and "Join" not in text
+
+
+def test_timeline_shares_one_exchange(spark, sf_dir, no_spread):
+    df = QUERIES["xg_timeline"](spark, sf_dir)
+    df.collect()
+    text = plan(df)
+    final = text[:text.index("== Initial Plan ==")] if "== Initial Plan ==" in text else text
+    assert final.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name", ["run_stage_matrix", "stage_row_flow", "run_outcomes"])
+def test_run_views_read_once(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert text.count("FileScan") == 1 and "Join" not in text
+
+
 def test_row_rules_shuffle_one_row_per_match(spark, sf_dir):
     text = plan(quality.silver_violations(registry._silver(spark, sf_dir)))
     assert set(re.findall(r"(\w+Aggregate)\(", text)) == {"HashAggregate"}
@@ -74,12 +99,12 @@ def test_report_read_is_pruned_and_pushed_down(spark, tmp_path):
     path = str(tmp_path / "silver")
     matches.served(spark, schemas.SILVER).write.parquet(path)
     spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
-    text = plan(reports.report_input(spark.read.parquet(path), "silver", 1001))
+    text = plan(reports.report_input(spark.read.parquet(path), "silver", 2002))
     spark.conf.unset("spark.sql.maxMetadataStringLength")
-    assert "PushedFilters: [IsNotNull(match_id), EqualTo(match_id,1001)]" in text
+    assert "PushedFilters: [IsNotNull(match_id), EqualTo(match_id,2002)]" in text
     schema = re.search(r"ReadSchema: struct<(.*?)>", text).group(1)
     assert {c.split(":")[0] for c in schema.split(",")} == set(reports.REPORT_COLUMNS["silver"])
-    assert reports.report_input(spark.read.parquet(path), "silver", 1001).count() == 13
+    assert reports.report_input(spark.read.parquet(path), "silver", 2002).count() == 13
 
 
 def test_adapter_makes_no_cross_match_arrays(spark, sf_dir):

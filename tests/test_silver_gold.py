@@ -29,26 +29,27 @@ def test_bronze_has_its_columns_and_keeps_payload(bronze_df):
     assert bronze_df.columns == schemas.BRONZE.fieldNames()
     assert [f.dataType for f in bronze_df.schema] == [f.dataType for f in schemas.BRONZE]
     rows = {r["event_index"]: r for r in bronze_df.collect()}
-    assert len(rows) == 18
-    assert json.loads(rows[16]["event_payload_json"]) == matches.event(matches.EVENTS[15])
-    assert rows[16]["player_name"] == "Robert Pirès"
+    assert len(rows) == 17
+    assert json.loads(rows[13]["event_payload_json"]) == matches.event(matches.EVENTS[12])
+    assert rows[13]["player_name"] == "Tomás Vidal"
     assert rows[1]["player_id"] is None and rows[1]["location_x_raw"] is None
     assert rows[2]["related_events_json"] == '["event-1", "event-3"]'
     assert rows[12]["related_events_json"] == "null"
-    assert rows[17]["timestamp"] == "00:90:15.000"
-
-
-GOLDEN = {  # index: gain, ratio, progressive, xt added (mock), xt added (real grid)
-    2: (12.213319, 0.236578, False, 0.01, 0.00307542),
-    4: (6.161681, 0.156341, False, 0.01, 0.00388079),
-    5: (20.015363, 0.601966, True, 0.02, 0.08419953),
-    7: (13.064637, 0.987155, False, None, None),
-    9: (9.412341, 0.116831, False, None, None),
-    11: (8.29, 0.789524, False, None, None),
-    12: (1.888686, 0.030836, False, 0.0, -0.0005547),
-    15: (17.5, 0.333333, True, 0.02, 0.00695621),
-    16: (15.347276, 0.85752, False, None, None),
-    17: (13.649574, 0.306264, True, 0.01, 0.00450017),
+    assert rows[16]["timestamp"] == "00:91:05.000"
+
+
+GOLDEN = {  # index: gain, ratio, progressive, columns of the grid from and to (the middle line is in row 4)
+    2: (19.25, 19.25 / 68.25, True, (4, 6)),
+    4: (7.0, 1 / 7, False, (6, 7)),
+    5: (21.0, 0.25, False, None),
+    6: (13.15, 13.15 / 14, False, None),
+    8: (-7.0, -0.125, False, (5, 4)),
+    9: (21.0, 0.5, True, (7, 9)),
+    12: (21.0, 1 / 3, True, (4, 7)),
+    13: (10.5, 1.0, False, None),
+    14: (-5.25, -0.1875, False, (8, 8)),
+    15: (17.6, 17.6 / 21, False, None),
+    16: (21.0, 3 / 7, True, (6, 8)),
 }
 
 
@@ -57,17 +58,18 @@ def test_silver_golden(bronze_df, mock, grid):
     df = mock if grid == "mock" else silver.to_silver(bronze_df)
     assert df.columns == schemas.SILVER.fieldNames() and quality.contract_errors(df.schema) == []
     rows = {r["event_index"]: r for r in df.collect()}
-    assert len(rows) == 18 and len({r["event_id"] for r in rows.values()}) == 18
-    assert sum(r["is_progressive_pass"] for r in rows.values()) == 3
+    assert len(rows) == 17 and len({r["event_id"] for r in rows.values()}) == 17
+    assert sum(r["is_progressive_pass"] for r in rows.values()) == 4
+    values = (matches.MOCK_GRID if grid == "mock" else fv.XT_GRID)[4]
     for index, row in rows.items():
-        gain, ratio, progressive, *added = GOLDEN.get(index, (None, None, False, None, None))
+        gain, ratio, progressive, move = GOLDEN.get(index, (None, None, False, None))
         assert row["progress_toward_goal_m"] == (gain if gain is None else pytest.approx(gain, abs=1e-6))
         assert row["progress_ratio"] == (ratio if ratio is None else pytest.approx(ratio, abs=1e-6))
         assert row["is_progressive_pass"] == progressive
-        expected = added[0] if grid == "mock" else added[1]
+        expected = None if move is None else values[move[1]] - values[move[0]]
         assert row["xt_added"] == (expected if expected is None else pytest.approx(expected, abs=1e-9))
-    assert (rows[2]["start_x"], rows[2]["start_y"]) == (53.375, 34.0)
-    assert rows[7]["end_y"] == pytest.approx(34.17)
+    assert (rows[2]["start_x"], rows[2]["start_y"]) == (36.75, 34.0)
+    assert rows[6]["end_y"] == pytest.approx(34.85)
 
 
 def test_one_pass_and_two_step_silver_agree(spark, bronze_df, mock, tmp_path):
@@ -92,24 +94,27 @@ def test_no_violations_and_reconciled(bronze_df, mock):
 
 def test_team_golden(mock):
     rows = {r["team_name"]: r for r in gold.fact_gold_team(mock).collect()}
-    a, b = rows["Arsenal"], rows["Middlesbrough"]
-    assert (a["shots"], a["goals"], a["attempted_passes"], a["completed_passes"]) == (3, 2, 4, 4)
-    assert (a["progressive_passes"], a["carries"], a["pass_completion_pct"]) == (2, 1, 100.0)
-    assert a["xg"] == pytest.approx(1.3735)
-    assert (b["shots"], b["goals"], b["xg"], b["attempted_passes"], b["completed_passes"]) == (0, 0, None, 2, 1)
-    assert (b["progressive_passes"], b["carries"], b["pass_completion_pct"]) == (1, 0, 50.0)
+    n, k = rows["Northgate"], rows["Lakeside"]
+    assert (n["shots"], n["goals"], n["attempted_passes"], n["completed_passes"]) == (2, 0, 3, 3)
+    assert (n["progressive_passes"], n["carries"], n["pass_completion_pct"]) == (3, 1, 100.0)
+    assert n["xg"] == pytest.approx(0.2)
+    assert (k["shots"], k["goals"], k["xg"], k["attempted_passes"], k["completed_passes"]) == (1, 1, 0.4, 3, 2)
+    assert (k["progressive_passes"], k["carries"]) == (1, 1)
+    assert k["pass_completion_pct"] == pytest.approx(200 / 3)
 
 
 def test_interval_golden(mock):
-    expected = {
-        ("Arsenal", 1, "0-5"): (0.04, 0, 3, 1, 0.35),
-        ("Arsenal", 1, "35-40"): (0, 0, 0, 1, 0.7835),
-        ("Arsenal", 1, "45+"): (0, 0, 1, 0, 0),
-        ("Arsenal", 2, "55-60"): (0, 0, 0, 1, 0.24),
-        ("Arsenal", 2, "90+"): (0.01, 0, 1, 0, 0),
-        ("Middlesbrough", 2, "50-55"): (0.02, 0, 1, 0, 0),
-    }
-    check_intervals(mock, expected)
+    check_intervals(mock, {
+        ("Northgate", 1, "0-5"): (0.03, 0, 2, 0, 0),
+        ("Northgate", 1, "20-25"): (0, 0, 0, 1, 0.15),
+        ("Northgate", 1, "45+"): (0.02, 0, 1, 0, 0),
+        ("Northgate", 2, "80-85"): (0, 0, 0, 1, 0.05),
+        ("Northgate", 2, "90+"): (0.02, 0, 1, 0, 0),
+        ("Lakeside", 1, "30-35"): (0, -0.01, 1, 0, 0),
+        ("Lakeside", 2, "50-55"): (0.03, 0, 1, 0, 0),
+        ("Lakeside", 2, "55-60"): (0, 0, 0, 1, 0.4),
+        ("Lakeside", 2, "70-75"): (0, 0, 1, 0, 0),
+    })
 
 
 def check_intervals(silver_df, expected):
@@ -127,36 +132,36 @@ def check_intervals(silver_df, expected):
 def test_served_match_golden(spark):
     events = matches.served(spark, schemas.SILVER)
     team = {r["team_name"]: r for r in gold.fact_gold_team(events).collect()}
-    a, c = team["Arsenal"], team["Chelsea"]
-    assert (a["shots"], a["goals"], a["attempted_passes"], a["completed_passes"]) == (2, 1, 4, 3)
-    assert (a["progressive_passes"], a["carries"], a["pass_completion_pct"]) == (1, 2, 75.0)
-    assert a["xg"] == pytest.approx(0.47)
-    assert (c["shots"], c["goals"], c["attempted_passes"], c["completed_passes"]) == (1, 0, 3, 2)
-    assert (c["progressive_passes"], c["carries"]) == (0, 1)
-    assert c["pass_completion_pct"] == pytest.approx(66.6667, abs=1e-4)
+    f, m = team["Foundry"], team["Meadow"]
+    assert (f["shots"], f["goals"], f["attempted_passes"], f["completed_passes"]) == (3, 1, 3, 2)
+    assert (f["progressive_passes"], f["carries"]) == (1, 2)
+    assert f["pass_completion_pct"] == pytest.approx(200 / 3) and f["xg"] == pytest.approx(0.6)
+    assert (m["shots"], m["goals"], m["xg"], m["attempted_passes"], m["completed_passes"]) == (0, 0, None, 3, 2)
+    assert (m["progressive_passes"], m["carries"]) == (1, 2)
     check_intervals(events, {
-        ("Arsenal", 1, "0-5"): (0.01, 0, 1, 0, 0),
-        ("Arsenal", 1, "5-10"): (0.08, 0, 1, 0, 0),
-        ("Arsenal", 1, "20-25"): (0.04, -0.02, 2, 0, 0),
-        ("Arsenal", 1, "30-35"): (0, 0, 0, 1, 0.12),
-        ("Arsenal", 1, "45+"): (0.01, 0, 1, 0, 0),
-        ("Arsenal", 2, "65-70"): (0, 0, 0, 1, 0.35),
-        ("Chelsea", 1, "5-10"): (0.02, 0, 1, 0, 0),
-        ("Chelsea", 2, "50-55"): (0, -0.01, 1, 0, 0),
-        ("Chelsea", 2, "85-90"): (0, 0, 0, 1, 0.08),
-        ("Chelsea", 2, "90+"): (0.01, 0, 1, 0, 0),
+        ("Foundry", 1, "0-5"): (0.05, 0, 1, 0, 0),
+        ("Foundry", 1, "5-10"): (0, -0.03, 1, 0, 0),
+        ("Foundry", 1, "10-15"): (0.02, 0, 1, 0, 0),
+        ("Foundry", 1, "25-30"): (0, 0, 0, 1, 0.42),
+        ("Foundry", 1, "45+"): (0.01, 0, 1, 0, 0),
+        ("Foundry", 2, "60-65"): (0, 0, 0, 1, 0.07),
+        ("Foundry", 2, "70-75"): (0, 0, 0, 1, 0.11),
+        ("Meadow", 1, "0-5"): (0.03, 0, 1, 0, 0),
+        ("Meadow", 1, "10-15"): (0.04, 0, 1, 0, 0),
+        ("Meadow", 2, "80-85"): (0.06, 0, 1, 0, 0),
+        ("Meadow", 2, "90+"): (0, -0.02, 1, 0, 0),
     })
 
 
 def test_teams_with_varying_names_stay_one_row(spark):
     """Group-first-then-max must not split a team whose name changed within a match."""
     events = matches.served(spark, schemas.SILVER).withColumn(
-        "team_name", F.when((F.col("team_id") == 1) & (F.col("event_index") == 2), "Arsenal FC")
+        "team_name", F.when((F.col("team_id") == 21) & (F.col("event_index") == 2), "Foundry FC")
         .otherwise(F.col("team_name")))
-    team = gold.fact_gold_team(events).where("team_id = 1").collect()
-    assert len(team) == 1 and team[0]["team_name"] == "Arsenal FC" and team[0]["attempted_passes"] == 4
-    intervals = gold.fact_gold_intervals(events).where("team_id = 1").collect()
-    assert len(intervals) == 20 and sum(r["successful_moves"] for r in intervals) == 5
+    team = gold.fact_gold_team(events).where("team_id = 21").collect()
+    assert len(team) == 1 and team[0]["team_name"] == "Foundry FC" and team[0]["attempted_passes"] == 3
+    intervals = gold.fact_gold_intervals(events).where("team_id = 21").collect()
+    assert len(intervals) == 20 and sum(r["successful_moves"] for r in intervals) == 4
 
 
 def test_slots_off_the_spine_are_left_out_but_the_team_is_kept(spark):
@@ -168,9 +173,9 @@ def test_slots_off_the_spine_are_left_out_but_the_team_is_kept(spark):
 
 
 def test_xg_timeline_golden(mock):
-    rows = reports.xg_timeline(mock).where("team_name = 'Arsenal'").orderBy("event_index").collect()
+    rows = reports.xg_timeline(mock).where("team_name = 'Northgate'").orderBy("event_index").collect()
     got = [(r["match_minute"], r["cumulative_xg"]) for r in rows]
-    wanted = [(0, 0), (5 / 60, 0.35), (37 + 22 / 60, 1.1335), (56 + 11 / 60, 1.3735)]
+    wanted = [(0, 0), (21 + 5 / 60, 0.15), (80.5, 0.2)]
     assert len(got) == len(wanted)
     for point, golden in zip(got, wanted):
         assert point == pytest.approx(golden)
@@ -178,28 +183,41 @@ def test_xg_timeline_golden(mock):
 
 def test_shot_map(mock):
     points = {r["event_id"]: r for r in reports.shot_map_points(mock).collect()}
-    assert points["event-7"]["is_goal"] and points["event-7"]["marker_size"] == pytest.approx(480)
-    assert not points["event-16"]["is_goal"]
-    totals = reports.shot_map_totals(mock).collect()
-    assert [(r["team_name"], r["shots"], r["goals"]) for r in totals] == [("Arsenal", 3, 2)]
-    assert totals[0]["total_xg"] == pytest.approx(1.3735)
+    assert points["event-13"]["is_goal"] and points["event-13"]["marker_size"] == pytest.approx(540)
+    assert not points["event-6"]["is_goal"]
+    totals = {r["team_name"]: (r["shots"], r["goals"], r["total_xg"]) for r in reports.shot_map_totals(mock).collect()}
+    assert totals == {"Northgate": (2, 0, pytest.approx(0.2)), "Lakeside": (1, 1, pytest.approx(0.4))}
 
 
 def test_match_summary_and_momentum(mock):
     lines = {r["metric"]: r for r in reports.match_summary(gold.fact_gold_team(mock)).collect()}
-    assert len(lines) == 6
-    assert (lines["xG"]["team_a"], lines["xG"]["text_a"], lines["xG"]["text_b"]) == ("Arsenal", "1.37", None)
-    assert (lines["Pass completion"]["text_a"], lines["Pass completion"]["text_b"]) == ("100.0%", "50.0%")
-    assert (lines["Goals"]["text_a"], lines["Goals"]["text_b"]) == ("2", "0")
+    assert len(lines) == 6 and all(r["teams"] == 2 for r in lines.values())
+    assert (lines["xG"]["team_a"], lines["xG"]["text_a"], lines["xG"]["text_b"]) == ("Lakeside", "0.40", "0.20")
+    assert (lines["Pass completion"]["text_a"], lines["Pass completion"]["text_b"]) == ("66.7%", "100.0%")
+    assert (lines["Goals"]["text_a"], lines["Goals"]["text_b"]) == ("1", "0")
     bars = reports.xt_momentum(gold.fact_gold_intervals(mock)).collect()
     assert len(bars) == 40
     shown = {(r["team_rank"], r["interval_label"]): r["shown_xt"] for r in bars}
-    assert shown[(1, "0-5")] == pytest.approx(0.04) and shown[(2, "50-55")] == pytest.approx(-0.02)
+    assert shown[(2, "0-5")] == pytest.approx(-0.03) and shown[(1, "50-55")] == pytest.approx(0.03)
     assert {r["display_order"] for r in bars} == set(range(20))
 
 
+def test_reports_of_matches_without_two_teams(spark, mock):
+    team, intervals = gold.fact_gold_team(mock), gold.fact_gold_intervals(mock)
+    one = reports.match_summary(team.where("team_name = 'Northgate'")).collect()
+    assert len(one) == 6 and all((r["team_a"], r["team_b"], r["value_b"], r["teams"]) == ("Northgate", None, None, 1) for r in one)
+    bars = reports.xt_momentum(intervals.where("team_name = 'Northgate'")).collect()
+    assert len(bars) == 20 and {r["team_rank"] for r in bars} == {1}
+    third = lambda df: df.unionByName(df.where("team_name = 'Northgate'").withColumns(
+        {"team_id": F.lit(13).cast("long"), "team_name": F.lit("Middling")}))
+    three = reports.match_summary(third(team)).collect()
+    assert len(three) == 6 and all((r["team_a"], r["team_b"], r["teams"]) == ("Lakeside", "Northgate", 3) for r in three)
+    ranks = {(r["team_name"], r["team_rank"]) for r in reports.xt_momentum(third(intervals)).collect()}
+    assert ranks == {("Lakeside", 1), ("Middling", 2), ("Northgate", 3)}
+
+
 def test_report_inputs_of_a_one_sided_match(mock):
-    team = gold.fact_gold_team(mock).where("team_name = 'Arsenal'")
+    team = gold.fact_gold_team(mock).where("team_name = 'Northgate'")
     intervals = gold.fact_gold_intervals(mock).where("interval_label <> '0-5'")
     found = {r["rule"]: r["n"] for r in reports.input_violations(team, intervals, mock.where("NOT is_shot")).collect()}
     assert found == {"not_two_teams": 1, "missing_intervals": 2, "no_shots": 1}

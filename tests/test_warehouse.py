@@ -2,7 +2,10 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from pitchlake import schemas
+from pitchlake.plans.incremental import match_ids
 from pitchlake.plans.warehouse import Warehouse
 from pitchlake.sources import raw
 from pitchlake.streaming.ingest import start_ingest
@@ -36,7 +39,7 @@ def test_batch_ingest(spark, places):
     matches.land(landing, 4, name="copy.json")
 
     assert warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-1") == 1
-    assert silver_state(warehouse) == {(1, 1): 18, (4, 1): 18}
+    assert silver_state(warehouse) == {(1, 1): 17, (4, 1): 17}
     assert {(r["match_id"], r["rule"]) for r in warehouse.violations().collect()} == {
         (2, "start_x_out_of_range"), (3, "artifact_unreadable"), (3, "empty_batch")}
     assert warehouse.manifest().count() == 4
@@ -46,11 +49,11 @@ def test_batch_ingest(spark, places):
     assert warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-2") is None
     matches.land(landing, 2)
     assert warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-3") == 2
-    assert silver_state(warehouse) == {(1, 1): 18, (2, 2): 18, (4, 1): 18}
+    assert silver_state(warehouse) == {(1, 1): 17, (2, 2): 17, (4, 1): 17}
     assert warehouse.gold_team.read().count() == 6
 
     runs = {(r["airflow_run_id"], r["stage"]): r for r in warehouse.stage_runs().collect()}
-    assert (runs["day-1", "BRONZE"]["rows_out"], runs["day-1", "SILVER"]["rows_out"]) == (54, 36)
+    assert (runs["day-1", "BRONZE"]["rows_out"], runs["day-1", "SILVER"]["rows_out"]) == (51, 34)
     assert runs["day-3", "GOLD_TEAM"]["rows_out"] == 2
     assert ("day-2", "BRONZE") not in runs and runs["day-2", "INGEST"]["rows_out"] == 0
     assert all(r["status"] == "SUCCEEDED" for r in runs.values())
@@ -79,7 +82,7 @@ def test_stream_takes_each_file_once(spark, places, tmp_path):
     for match in (1, 2, 3):
         matches.land(landing, match)
     run()
-    assert silver_state(warehouse) == {(1, 1): 18, (2, 1): 18, (3, 1): 18}
+    assert silver_state(warehouse) == {(1, 1): 17, (2, 1): 17, (3, 1): 17}
     commits = warehouse.silver.commits().count()
     run()
     assert warehouse.silver.commits().count() == commits
@@ -87,14 +90,108 @@ def test_stream_takes_each_file_once(spark, places, tmp_path):
     revised = matches.events()[:-1]
     matches.land(landing, 2, content=matches.text(revised), name="events_v2.json")
     run()
-    assert silver_state(warehouse) == {(1, 1): 18, (2, 2): 17, (3, 1): 18}
+    assert silver_state(warehouse) == {(1, 1): 17, (2, 2): 16, (3, 1): 17}
     versions = {(r["match_id"], r["source_version"]) for r in warehouse.gold_team.read().collect()}
     assert versions == {(1, 1), (2, 2), (3, 1)}
 
 
+def test_an_old_key_repeated_later_changes_nothing(spark, places):
+    landing, warehouse = places
+    matches.land(landing, 1)
+    first = raw.read_artifacts(spark, str(landing))
+    warehouse.ingest(first, "day-1")
+    matches.land(landing, 1, content=matches.text(matches.events()[:-1]), name="events_v2.json")
+    warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-2")
+
+    def everything():
+        return (sorted(map(str, warehouse.manifest().collect())), silver_state(warehouse),
+                warehouse.silver.read(as_of=1).count(), warehouse.gold_team.commits().count())
+
+    before = everything()
+    assert warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-1", attempt=2) == 1
+    for file in landing.rglob("*.json"):
+        file.write_text("[]", encoding="utf-8")  # the landing folder no longer holds what was taken in
+    assert warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-1", attempt=3) == 1
+    assert everything() == before
+
+
+def test_an_interrupted_key_keeps_its_versions(spark, places, monkeypatch):
+    landing, warehouse = places
+    matches.land(landing, 1)
+    artifacts = raw.read_artifacts(spark, str(landing))
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse.gold_team, "commit", lambda *a, **b: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            warehouse.ingest(artifacts, "day-1")
+    run = warehouse.pipeline_runs().first()
+    assert (run["status"], run["failed_stage"], run["error_type"]) == ("FAILED", "GOLD_TEAM", "ZeroDivisionError")
+    stages = {r["stage"]: r["status"] for r in warehouse.run_stages().collect()}
+    assert stages["SILVER"] == "SUCCEEDED" and stages["GOLD_TEAM"] == "FAILED" and stages["GOLD_INTERVAL"] == "NOT_RUN"
+    assert [r["task_id"] for r in warehouse.task_events().collect()] == ["gold_team"]
+    manifest = warehouse.manifest().collect()
+    assert warehouse.ingest(artifacts, "day-1", attempt=2) == 1
+    assert warehouse.manifest().collect() == manifest and warehouse.gold_team.read().count() == 2
+    assert warehouse.pipeline_runs().first()["status"] == "SUCCEEDED" and warehouse.task_events().count() == 1
+
+
+def test_a_stray_file_stops_nothing(spark, places):
+    landing, warehouse = places
+    matches.land(landing, 1)
+    (landing / "readme.json").write_text("[]", encoding="utf-8")
+    assert warehouse.ingest_folder(str(landing), "day-1") == 1
+    assert {(r["match_id"], r["rule"]) for r in warehouse.violations().collect()} == {(None, "no_match_id")}
+    assert warehouse.ingest_folder(str(landing), "day-2") is None
+    assert warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-3") is None
+    assert warehouse.violations().count() == 1 and silver_state(warehouse) == {(1, 1): 17}
+
+
+def test_a_folder_is_read_once(spark, places):
+    landing, warehouse = places
+    matches.land(landing, 1)
+    matches.land(landing, 1, name="copy.json")
+    warehouse.ingest_folder(str(landing), "day-1")
+    assert raw.read_new_artifacts(spark, str(landing), warehouse.files()) is None
+    matches.land(landing, 2)
+    fresh = raw.read_new_artifacts(spark, str(landing), warehouse.files())
+    assert [r["match_id"] for r in fresh.collect()] == [2] and len(fresh.inputFiles()) == 1
+    assert warehouse.ingest_folder(str(landing), "day-2") == 2 and silver_state(warehouse) == {(1, 1): 17, (2, 1): 17}
+
+
+def test_two_streams_do_not_share_keys(spark, places, tmp_path):
+    landing, warehouse = places
+    other = tmp_path / "other"
+    other.mkdir()
+    matches.land(landing, 1)
+    matches.land(other, 2)
+    for folder, checkpoint in ((landing, "a"), (other, "b"), (landing, "lost and begun again")):
+        query = start_ingest(warehouse, str(folder), str(tmp_path / checkpoint))
+        query.awaitTermination(120)
+        assert query.exception() is None
+        if folder == landing:
+            assert (1, 1) in silver_state(warehouse)
+    assert silver_state(warehouse) == {(1, 1): 17, (2, 1): 17} and warehouse.manifest().count() == 2
+
+
+def test_broken_facts_stay_hidden_and_rebuild_repairs(spark, places, monkeypatch):
+    from pitchlake.plans import gold
+    landing, warehouse = places
+    matches.land(landing, 1)
+    matches.land(landing, 2)
+    right = gold.fact_gold_team
+    with monkeypatch.context() as patch:
+        wrong = F.when(F.col("match_id") == 2, F.col("shots") + 5).otherwise(F.col("shots"))
+        patch.setattr(gold, "fact_gold_team", lambda rows: right(rows).withColumn("shots", wrong))
+        warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-1")
+    assert {r["match_id"] for r in warehouse.gold_team.read().collect()} == {1}
+    assert {r["match_id"] for r in warehouse.gold_intervals.read().collect()} == {1, 2}
+    assert {(r["match_id"], r["rule"]) for r in warehouse.violations().collect()} == {(2, "gold_silver_differ")}
+    warehouse.rebuild(match_ids(spark, [2]), "repair-1")
+    assert sorted((r["match_id"], r["shots"]) for r in warehouse.gold_team.read().collect()) == [(1, 1), (1, 2), (2, 1), (2, 2)]
+
+
 def nested(spark, *rows):
     return spark.createDataFrame([
-        (i, "2024-04-23", "20:00:00.000", 1, (2, "League"), (281, "2023/2024"), (1, "Arsenal"), (47, "Middlesbrough"),
+        (i, "2024-04-23", "20:00:00.000", 1, (2, "League"), (281, "2023/2024"), (11, "Northgate"), (12, "Lakeside"),
          None, (referee,)) for i, referee in rows
     ], schemas.MATCH)
 
@@ -115,6 +212,6 @@ def test_match_dimension_discovery_and_references(spark, places):
     assert {tuple(r) for r in warehouse.reference_problems().collect()} == {
         (2, "missing_from_fact"), (3, "missing_from_fact"), (9, "unknown_in_fact")}
     enriched = {(r["team_name"], r["venue"], r["opponent"]) for r in warehouse.team_match_enriched().collect()}
-    assert enriched == {("Arsenal", "Home", "Middlesbrough"), ("Middlesbrough", "Away", "Arsenal")}
+    assert enriched == {("Northgate", "Home", "Lakeside"), ("Lakeside", "Away", "Northgate")}
     with pytest.raises(ValueError, match="duplicated"):
         warehouse.load_matches(nested(spark, (5, "A"), (5, "B")), "list-3")
