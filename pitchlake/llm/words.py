@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: Rows that operators hash at once, of the batches that Spark hands them.
+ROWS = 500
 #: Bytes hashed at once; longer columns and texts are cut between words.
 CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
