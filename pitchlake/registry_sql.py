@@ -37,7 +37,7 @@ ev AS (
     CASE WHEN t = 'purchase' AND e % 31 <> 0 THEN (e * 29 % 1000) / 1000.0::DOUBLE END AS shot_xg,
     CAST(1 AS INTEGER) AS source_version, sha256(CAST(1000 + m AS VARCHAR)) AS file_hash
   FROM ev
-), halved AS (
+), placed AS (
   SELECT *, 'Team ' || team_id AS team_name,
     raw_x / 120::DOUBLE * 105::DOUBLE AS start_x, raw_y / 80::DOUBLE * 68::DOUBLE AS start_y,
     raw_end_x / 120::DOUBLE * 105::DOUBLE AS end_x, raw_end_y / 80::DOUBLE * 68::DOUBLE AS end_y
@@ -132,7 +132,7 @@ slot_times AS (
   SELECT match_id, team_id, slot, list(CASE WHEN is_successful_move THEN xt_added END) AS threats,
     count(*) FILTER (WHERE is_successful_move) AS successful_moves, list(CASE WHEN is_shot THEN coalesce(shot_xg, 0) END) AS xgs
   FROM slotted GROUP BY match_id, team_id, slot
-), measured AS (
+), tallied AS (
   SELECT match_id, team_id, slot, successful_moves, len(list_filter(xgs, lambda v: v IS NOT NULL)) AS shots,
     coalesce(list_sum(xgs), 0) AS xg, coalesce(list_sum(list_filter(threats, lambda v: v > 0)), 0) AS positive_xt,
     coalesce(list_sum(list_filter(threats, lambda v: v < 0)), 0) AS negative_xt, coalesce(list_sum(threats), 0) AS net_xt
@@ -147,7 +147,7 @@ slot_times AS (
     CAST(sum(successful_moves) AS BIGINT) AS successful_moves, CAST(sum(shots) AS BIGINT) AS shots, sum(xg) AS xg,
     source_version, file_hash, xt_model_version, metric_version
   FROM (
-    SELECT match_id, team_id, slot, positive_xt, negative_xt, net_xt, successful_moves, shots, xg FROM measured WHERE slot IS NOT NULL
+    SELECT match_id, team_id, slot, positive_xt, negative_xt, net_xt, successful_moves, shots, xg FROM tallied WHERE slot IS NOT NULL
     UNION ALL SELECT match_id, team_id, slot, 0, 0, 0, 0, 0, 0 FROM sides, slot_list
   ) JOIN sides USING (match_id, team_id) JOIN slot_times USING (slot) GROUP BY ALL
 )"""
@@ -417,7 +417,7 @@ ORACLE: dict[str, str] = {
         CASE WHEN late THEN 45 ELSE CAST(trunc(period_minute / 5) AS INTEGER) * 5 END AS interval_start FROM slotted"""),
     "interval_aggregates": sql(INTERVALS, rounded("""
       SELECT match_id, team_id, period, interval_start, is_stoppage_time, positive_xt, negative_xt, net_xt,
-        successful_moves, shots, xg FROM measured JOIN slot_times USING (slot)""", INTERVAL_DOUBLES)),
+        successful_moves, shots, xg FROM tallied JOIN slot_times USING (slot)""", INTERVAL_DOUBLES)),
     "interval_spine": sql(INTERVALS, "SELECT * EXCLUDE (slot) FROM sides, slot_times"),
     "interval_labels": sql(INTERVALS, """
       SELECT period, interval_start, is_stoppage_time, interval_label, count(*) AS rows,
