@@ -309,18 +309,15 @@ def score(documents: DataFrame, held_out: Column, key: str = "doc_id", text: str
             sizes, held = (np.array([x[n] for x in row["docs"]], dtype=t) for n, t in (("n", np.int64), ("held", bool)))
             coded = _Coded(row["codes"], sizes, held, answers, word_buckets, pair_buckets)
             level = sorted((x for x in answers if x["level"] == 2), key=lambda x: x["bucket"])
-            count = np.concatenate([_unpack(x["a"], np.uint32) for x in level]).astype(np.int64)
-            context, at = np.zeros((len(count), DISCOUNTED + 2)), 0
-            for x in level:
-                n = int(np.searchsorted(coded.bucket, x["bucket"], "right")) - at
+            p, at = np.empty(len(coded.pairs)), 0
+            for x in level:  # one bucket of contexts after the other
+                here = slice(at, at := int(np.searchsorted(coded.bucket, x["bucket"], "right")))
                 values = _unpack(x["b"], np.uint64)
                 m = len(values) // (DISCOUNTED + 2)
                 sums = np.column_stack((values[:m].view(np.float64), values[m:].reshape(DISCOUNTED + 1, m).T.astype(np.float64)))
-                _, of = np.unique(coded.pairs[at : at + n] >> np.uint64(32), return_inverse=True)
-                context[at : at + n] = sums[of]
-                at += n
-            p = np.empty(len(count))
-            p[coded.order] = pair_probability(count, context, unigrams.p(coded.words), d)
+                _, of = np.unique(coded.pairs[here] >> np.uint64(32), return_inverse=True)
+                count = _unpack(x["a"], np.uint32).astype(np.int64)
+                p[coded.order[here]] = pair_probability(count, sums[of], unigrams.p(coded.words[here]), d)
             base = np.log10((coded.count + 1) / (unigrams.tokens + unigrams.types + 1))
             out.append((np.add.reduceat(np.log10(p)[coded.pair], coded.starts), np.add.reduceat(base, coded.starts),
                         np.add.reduceat((coded.count > 0).astype(np.int64), coded.starts), sizes, held))
