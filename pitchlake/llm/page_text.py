@@ -249,8 +249,10 @@ def fit(pages: DataFrame, html: str = "html", train_pages: int = TRAIN_PAGES) ->
             if labels:
                 yield pd.DataFrame({"values": values, "label": labels})
 
-    sample = pages.where(F.col(html).isNotNull()).select(F.col(html).alias("html"))
-    sample = sample.orderBy(F.xxhash64("html"), "html").limit(train_pages)
+    sample = pages.where(F.col(html).isNotNull()).select(F.col(html).alias("html"), F.xxhash64(html).alias("hash"))
+    # the hashes alone are ranked; only the chosen pages are moved, each content once
+    last = sample.select("hash").distinct().orderBy("hash").limit(train_pages).agg(F.max("hash")).first()[0]
+    sample = sample.where(F.col("hash") <= F.lit(last)).groupBy("hash").agg(F.first("html").alias("html"))
     training = stored(sample.repartition(12).mapInPandas(rows, "values array<double>, label double"), "nodes")
     if training.select("label").distinct().count() < 2:
         return None
