@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.llm.components import components
-from pitchlake.llm.storage import stored
+from pitchlake.llm.storage import gathered, stored
 from pitchlake.llm.words import ROWS, mix, shingles, word_hashes
 
 #: A token is frequent from this document frequency on.
@@ -339,9 +339,15 @@ def similar_groups(documents: DataFrame, key: str = "doc_id", text: str = "text"
 
 
 def keep_one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents whose key is the smallest of their component; of repeated keys one row stays."""
-    groups = similar_groups(documents, key, text, k, percent)
-    first = groups.where(F.col(key).eqNullSafe(F.col("component_id"))).select(key).distinct()
-    kept = documents.alias("d").join(first.alias("f"), F.col(f"d.{key}").eqNullSafe(F.col(f"f.{key}")), "left_semi")
-    return kept.dropDuplicates([key])
+    """The documents whose key is the smallest of their component; of a repeated key one row stays.
 
+    Documents without a key stay. The documents themselves are moved only if keys repeat, or if very many are dropped.
+    """
+    groups = similar_groups(documents, key, text, k, percent).where(F.col(key).isNotNull())
+    keys = stored(groups.groupBy(key).agg(
+        F.max(F.col(key) == F.col("component_id")).alias("first"), F.count("*").alias("rows")), "groups")
+    kept = documents.join(gathered(keys.where("NOT first").select(key), "dropped"), key, "left_anti").select(*documents.columns)
+    if keys.where("rows > 1").isEmpty():
+        return kept
+    known = F.col(key).isNotNull()
+    return kept.where(known).dropDuplicates([key]).unionByName(kept.where(~known))
