@@ -25,7 +25,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops boilerplate lines, and documents that hold nothing else. Documents without any text stay."""
-    kept = line_templates.drop_recurring_lines(docs)
+    kept = line_templates.drop_recurring_lines(docs, copies_vote_once=True)
     blank = F.trim(F.regexp_replace("text", r"\s+", " ")) == ""
     return _as_documents(kept.where((F.col("n_dropped") == 0) | ~blank), docs.columns)
 

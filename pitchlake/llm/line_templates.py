@@ -7,6 +7,9 @@ leading and the last tokens. Lines that end in the same leaf share a template.
 A template that recurs in ``min_docs`` documents is dropped from all of them, unless it only recurs because whole
 documents were copied: where most of the text around it recurs too, its documents are copies of each other, and choosing
 one of those is the business of document de-duplication. So the lines of copied documents stay, and boilerplate goes.
+
+With ``copies_vote_once``, that is decided by document instead of by template: a document whose other text mostly recurs is a copy,
+all copies with the same longest recurring line count as one document, and all others count each for itself.
 """
 
 from __future__ import annotations
@@ -78,8 +81,26 @@ def boilerplate(lines: DataFrame, min_docs: int, copied_percent: int = COPIED_PE
     )
 
 
+def voted(lines: DataFrame, min_docs: int, copied_percent: int = COPIED_PERCENT) -> DataFrame:
+    """The templates to drop if copies vote once. ``lines``: as :func:`templates` gives them."""
+    per_doc = lines.groupBy("template", "doc_key").agg(F.sum("n_tokens").alias("tokens"))
+    recurring = per_doc.groupBy("template").agg(F.count("*").alias("docs")).where("docs >= 2").select("template")
+    salt = F.pmod(F.col("doc_key.a"), F.lit(SALTS)).cast("int").alias("salt")
+    known = per_doc.select("*", salt).join(_salted(recurring), ["template", "salt"])
+    share = known.groupBy("doc_key").agg(
+        F.sum("tokens").alias("recurring_tokens"), F.max(F.struct("tokens", "template.a", "template.b")).alias("longest"))
+    total = lines.groupBy("doc_key").agg(F.sum("n_tokens").alias("all_tokens"))
+    rest, others = F.col("all_tokens") - F.col("tokens"), F.col("recurring_tokens") - F.col("tokens")
+    # a document that is nothing but the line is a copy too
+    copy = (others * 100 > rest * copied_percent) | (rest == 0)
+    one = F.when(copy, F.struct("longest.a", "longest.b")).otherwise(F.col("doc_key"))
+    votes = known.join(share.join(total, "doc_key"), "doc_key").select("template", copy.alias("copy"), one.alias("vote")).distinct()
+    return votes.groupBy("template").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select("template")
+
+
 def drop_recurring_lines(
-    documents: DataFrame, text: str = "text", min_docs: int = 10, copied_percent: int = COPIED_PERCENT
+    documents: DataFrame, text: str = "text", min_docs: int = 10, copied_percent: int = COPIED_PERCENT,
+    copies_vote_once: bool = False,
 ) -> DataFrame:
     """``documents`` with their boilerplate lines removed, and the columns ``n_lines`` and ``n_dropped``.
 
@@ -90,7 +111,7 @@ def drop_recurring_lines(
     kept_columns = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
     documents = documents.select(*[F.col(f"`{c}`") for c in kept_columns])
     lines = stored(templates(documents, text), "lines")
-    drops = boilerplate(lines, min_docs, copied_percent)
+    drops = (voted if copies_vote_once else boilerplate)(lines, min_docs, copied_percent)
     salt = F.pmod(F.col("doc_key.a"), F.lit(SALTS)).cast("int").alias("salt")
     gone = (
         lines.select("doc_key", "line_no", "template", salt).join(_salted(drops), ["template", "salt"])

@@ -1,3 +1,4 @@
+import corpus_pipeline
 from tests.llm.cases import AWKWARD, awkward, empty, with_clashes
 
 from pitchlake.llm import line_templates, registry
@@ -63,3 +64,14 @@ def test_many_lines(spark):
     assert found[0] == ("keep this line of one document", 20_001, 20_000)
 
 
+def test_a_large_copy_group_does_not_rescue_boilerplate(spark, tmp_path):
+    line = "subscribe to our letter for more of this"
+    unrelated = [f"{own(i)}\n{line}\n{own(i + 300)} more" for i in range(40)]
+    copies = [f"{own(700)}\nfirst line of a copied text\nsecond line of it\n{line}"] * 80
+    near = [f"{own(800)}\nthird line of another text\nfourth line of it\nchanged{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(30)]
+    texts = unrelated + copies + near
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()}
+    assert all(line not in t for t in found.values())
+    assert found == {i: "\n".join(x for x in t.split("\n") if x != line) for i, t in enumerate(texts)}
