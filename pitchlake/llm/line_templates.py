@@ -9,7 +9,8 @@ documents were copied: where most of the text around it recurs too, its document
 one of those is the business of document de-duplication. So the lines of copied documents stay, and boilerplate goes.
 
 With ``copies_vote_once``, that is decided by document instead of by template: a document whose other text mostly recurs is a copy,
-all copies with the same longest recurring line count as one document, and all others count each for itself.
+all copies with the same longest recurring line count as one document, and all others count each for itself. Then a line of more
+than ``LONG`` tokens is dropped if it is in two documents already, as it does not recur by chance.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pitchlake.llm.storage import stored
 LEADING, LAST = 8, 4
 #: A recurring template is boilerplate if at most this share (percent, by tokens) of its documents' text recurs.
 COPIED_PERCENT = 60
+#: A line of more tokens is a passage, which recurs from two documents on, if at most so many of its compared tokens are variable.
+LONG, VARIABLE = 50, 4
 #: Salt for joins on templates: a line of a third of all documents is spread over so many tasks.
 SALTS = 16
 
@@ -33,7 +36,8 @@ def _generalised(tokens: Column) -> Column:
 
 
 def templates(documents: DataFrame, text: str = "text") -> DataFrame:
-    """One row per non-blank line: ``doc_key``, ``line_no`` (from 0), ``n_tokens``, ``template`` (a 128-bit hash).
+    """One row per non-blank line: ``doc_key``, ``line_no`` (from 0), ``n_tokens``, ``template`` (a 128-bit hash),
+    ``passage`` (a long line with few variable fields).
 
     Fields are separated by spaces, tabs or carriage returns; lines by line feeds only.
     """
@@ -50,8 +54,9 @@ def templates(documents: DataFrame, text: str = "text") -> DataFrame:
         F.when(F.col("n_tokens") > LEADING, _generalised(
             F.call_function("substring_index", F.col("line"), F.lit(" "), -F.least(F.lit(LAST), F.col("n_tokens") - LEADING)))),
     )
+    passage = (F.col("n_tokens") > LONG) & (F.size(F.split(leaf, r"<\*>")) - 1 <= VARIABLE)
     return parsed.select("doc_key", "line_no", "n_tokens", F.struct(
-        F.xxhash64(leaf).alias("a"), F.hash(F.lit(7), leaf).alias("b")).alias("template"))
+        F.xxhash64(leaf).alias("a"), F.hash(F.lit(7), leaf).alias("b")).alias("template"), passage.alias("passage"))
 
 
 def _doc_key(documents: DataFrame, text: str) -> Column:
@@ -83,7 +88,7 @@ def boilerplate(lines: DataFrame, min_docs: int, copied_percent: int = COPIED_PE
 
 def voted(lines: DataFrame, min_docs: int, copied_percent: int = COPIED_PERCENT) -> DataFrame:
     """The templates to drop if copies vote once. ``lines``: as :func:`templates` gives them."""
-    per_doc = lines.groupBy("template", "doc_key").agg(F.sum("n_tokens").alias("tokens"))
+    per_doc = lines.groupBy("template", "doc_key").agg(F.sum("n_tokens").alias("tokens"), F.max("passage").alias("passage"))
     recurring = per_doc.groupBy("template").agg(F.count("*").alias("docs")).where("docs >= 2").select("template")
     salt = F.pmod(F.col("doc_key.a"), F.lit(SALTS)).cast("int").alias("salt")
     known = per_doc.select("*", salt).join(_salted(recurring), ["template", "salt"])
@@ -94,8 +99,10 @@ def voted(lines: DataFrame, min_docs: int, copied_percent: int = COPIED_PERCENT)
     # a document that is nothing but the line is a copy too
     copy = (others * 100 > rest * copied_percent) | (rest == 0)
     one = F.when(copy, F.struct("longest.a", "longest.b")).otherwise(F.col("doc_key"))
-    votes = known.join(share.join(total, "doc_key"), "doc_key").select("template", copy.alias("copy"), one.alias("vote")).distinct()
-    return votes.groupBy("template").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select("template")
+    votes = known.join(share.join(total, "doc_key"), "doc_key").select("template", "passage", copy.alias("copy"), one.alias("vote")).distinct()
+    needed = F.when(F.col("passage"), F.least(F.lit(2), F.lit(min_docs))).otherwise(min_docs)
+    return votes.groupBy("template").agg(F.count("*").alias("docs"), F.max("passage").alias("passage")).where(
+        F.col("docs") >= needed).select("template")
 
 
 def drop_recurring_lines(
@@ -110,7 +117,8 @@ def drop_recurring_lines(
     """
     kept_columns = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
     documents = documents.select(*[F.col(f"`{c}`") for c in kept_columns])
-    lines = stored(templates(documents, text), "lines")
+    lines = templates(documents, text)
+    lines = stored(lines if copies_vote_once else lines.drop("passage"), "lines")
     drops = (voted if copies_vote_once else boilerplate)(lines, min_docs, copied_percent)
     salt = F.pmod(F.col("doc_key.a"), F.lit(SALTS)).cast("int").alias("salt")
     gone = (

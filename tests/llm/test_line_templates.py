@@ -75,3 +75,13 @@ def test_a_large_copy_group_does_not_rescue_boilerplate(spark, tmp_path):
     found = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()}
     assert all(line not in t for t in found.values())
     assert found == {i: "\n".join(x for x in t.split("\n") if x != line) for i, t in enumerate(texts)}
+
+
+def test_passages_of_two_documents_go(spark, tmp_path):
+    passage, numbers = " ".join(f"pass{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(55)), " ".join(map(str, range(60)))
+    texts = [f"{own(i)}\n{line}\n{own(i + 300)} more" for i, line in enumerate([passage, passage, numbers, numbers + "9", "a short line"])]
+    texts += [texts[-1].replace("document", "record"), *["\n".join(f"{own(900 + k)} {passage}x" for k in range(3))] * 5]
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()}
+    assert found == {i: t.replace(f"\n{passage}\n", "\n") for i, t in enumerate(texts)}
