@@ -32,15 +32,17 @@ from pitchlake.llm.storage import stored
 #: Numbering groups for each length, which bound the rows that one task numbers.
 GROUPS = 64
 END_ID = 2
+#: Special tokens of ``byte_bpe_50k``, which its tokenizer finds in texts by default.
+SPECIAL = {"<|endoftext|>": 50256}
 
 
-def load_encoding(ranks_path: str, pattern: str):
-    """A byte-level BPE by its ranks. Strings of special tokens are ordinary text."""
+def load_encoding(ranks_path: str, pattern: str, special: dict[str, int] | None = None):
+    """A byte-level BPE by its ranks, with the ids of ``special`` tokens. Strings of any other special tokens are ordinary text."""
     import tiktoken
 
     with open(ranks_path, "rb") as file:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special or {})
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -49,7 +51,7 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((start, capacity) for start in range(first, n, capacity))]
 
 
-def tokenise(documents: DataFrame, ranks_path: str, pattern: str, capacity: int, text: str = "text") -> DataFrame:
+def tokenise(documents: DataFrame, ranks_path: str, pattern: str, capacity: int, text: str = "text", special: dict[str, int] | None = None) -> DataFrame:
     """One row per piece: the other columns of the document, ``piece``, ``start``, ``length``, ``ids_crc32``, ``_group``."""
     made = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset", "_group")
     others = [c for c in documents.columns if c != text and c not in made]
@@ -58,11 +60,11 @@ def tokenise(documents: DataFrame, ranks_path: str, pattern: str, capacity: int,
     out = out.add("_group", "integer")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, turn = load_encoding(ranks_path, pattern), 0
+        encoding, turn = load_encoding(ranks_path, pattern, special), 0
         for batch in batches:
             rows, piece, starts, lengths, crcs = [], [], [], [], []
             for row, value in enumerate(batch.column(batch.num_columns - 1)):
-                ids = np.array([*encoding.encode_ordinary(value.as_py() or ""), END_ID], dtype="<u4")
+                ids = np.array([*encoding.encode(value.as_py() or "", allowed_special="all"), END_ID], dtype="<u4")
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):
                     rows.append(row)
                     piece.append(k)
@@ -128,14 +130,17 @@ def sweeps(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, i
     return runs
 
 
-def best_fit_pack(documents: DataFrame, ranks_path: str, pattern: str, capacity: int = 1024, text: str = "text") -> DataFrame:
+def best_fit_pack(
+    documents: DataFrame, ranks_path: str, pattern: str, capacity: int = 1024, text: str = "text",
+    special: dict[str, int] | None = None,
+) -> DataFrame:
     """One row per piece with its ``sequence_id`` and ``offset``; the other columns of the documents are kept.
 
     A null or empty text is one piece that holds the end token only. Repeated rows are packed each for itself. An empty
     table gives an empty table. Input columns called like the columns made here are replaced.
     """
     spark = documents.sparkSession
-    pieces = tokenise(documents, ranks_path, pattern, capacity, text)
+    pieces = tokenise(documents, ranks_path, pattern, capacity, text, special)
     own = ["piece", "start", "length", "ids_crc32", "_group"]
     others = [c for c in pieces.columns if c not in own]
     # the document's own columns stay in a struct, where their names can't clash

@@ -30,7 +30,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.best_fit_pack(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
-        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, special=packing.SPECIAL,
     )
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 

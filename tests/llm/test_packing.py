@@ -95,3 +95,14 @@ def test_awkward_rows(spark):
 def test_unknown_vocabulary():
     with pytest.raises(FileNotFoundError):
         packing.load_encoding("/nowhere", PATTERN)
+
+
+def test_the_query_agrees_with_the_default_tokenizer(spark, tmp_path):
+    texts = ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> <|endoftext|>\n", "<|endoftext |> <|im_start|> plain", "x" * 3000]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found = {(r["doc_id"], r["piece"]): r for r in registry.op2_best_fit_packing(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 2], dtype="<u4")
+        assert found[i, 0]["ids_crc32"] == zlib.crc32(ids[: found[i, 0]["length"]].tobytes())
+        assert sum(r["length"] for (d, _), r in found.items() if d == i) == len(ids)
