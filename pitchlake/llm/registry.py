@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, jaccard_join, katz, line_templates, nearest, packing, page_text, personal_data, sharding, toxicity
-from pitchlake.llm.storage import table
+from pitchlake.llm import (
+    decontaminate, fill_middle, jaccard_join, katz, line_templates, nearest, packing, page_text, personal_data, sharding, token_counts, toxicity,
+)
+from pitchlake.llm.storage import fresh_folder, table
 
 
 #: Scores from here on count as toxic.
@@ -87,9 +89,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a new cache for each call, so that every distinct text is encoded: the cold case."""
+    documents = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(documents, public_tokenizers.path("byte_bpe_50k.json"), fresh_folder(spark, "token-counts"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"), with_output=True)
+    columns = ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256"]
+    return fill_middle.restore(made, keep=columns, with_text=False)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_best_fit_packing, op3_decontamination, op4_katz_backoff, op5_nearest_neighbours, op6_sharding, op7_page_text,
-    op8_personal_data, op9_jaccard_join, op10_line_dedup,
+    op8_personal_data, op9_jaccard_join, op10_line_dedup, op12_token_counts, op13_fill_in_middle,
 )}
 
 #: DuckDB SQL where SQL can express the operator and is fast enough on whole tables.
@@ -116,5 +130,23 @@ n AS (SELECT doc_id, count(*) AS k FROM gone GROUP BY doc_id)
 SELECT p.doc_id, coalesce(len(p.p), 0) AS n_lines, coalesce(n.k, 0) AS n_dropped,
        CASE WHEN p.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text
 FROM parts p LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+""",
+    "op13_fill_in_middle": """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents),
+h AS (SELECT doc_id, t, ('0x' || d[1:8])::BIGINT AS h1, ('0x' || d[9:16])::BIGINT AS h2, ('0x' || d[17:24])::BIGINT AS h3,
+      ('0x' || d[25:32])::BIGINT AS h4, string_split(t, chr(10)) AS p FROM texts),
+u AS (SELECT *, len(p) - CASE WHEN p[len(p)] = '' THEN 1 ELSE 0 END AS n FROM h),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+      CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+           WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+c AS (SELECT *, CASE WHEN a = 0 THEN '' WHEN a = n THEN t ELSE array_to_string(p[1:a], chr(10)) || chr(10) END AS upto_a,
+      CASE WHEN b = 0 THEN '' WHEN b = n THEN t ELSE array_to_string(p[1:b], chr(10)) || chr(10) END AS upto_b FROM f),
+s AS (SELECT *, upto_a AS prefix, substr(upto_b, length(upto_a) + 1) AS middle, substr(t, length(upto_b) + 1) AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s
 """,
 }
