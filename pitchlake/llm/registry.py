@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.llm import (
-    decontaminate, fill_middle, jaccard_join, katz, line_templates, nearest, packing, page_text, personal_data, sharding, token_counts, toxicity,
+    decontaminate, fill_middle, hard_negatives, jaccard_join, katz, line_templates, nearest, packing, page_text, personal_data, sharding,
+    token_counts, toxicity,
 )
 from pitchlake.llm.storage import fresh_folder, table
 
@@ -89,6 +90,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, seventh = table(spark, sf_dir, "embeddings"), F.col("vec_id") % 7 == 0
+    vectors = vectors.withColumn("label", F.when(seventh, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a new cache for each call, so that every distinct text is encoded: the cold case."""
     documents = table(spark, sf_dir, "documents")
@@ -103,7 +110,7 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_best_fit_packing, op3_decontamination, op4_katz_backoff, op5_nearest_neighbours, op6_sharding, op7_page_text,
-    op8_personal_data, op9_jaccard_join, op10_line_dedup, op12_token_counts, op13_fill_in_middle,
+    op8_personal_data, op9_jaccard_join, op10_line_dedup, op11_hard_negatives, op12_token_counts, op13_fill_in_middle,
 )}
 
 #: DuckDB SQL where SQL can express the operator and is fast enough on whole tables.
@@ -130,6 +137,21 @@ n AS (SELECT doc_id, count(*) AS k FROM gone GROUP BY doc_id)
 SELECT p.doc_id, coalesce(len(p.p), 0) AS n_lines, coalesce(n.k, 0) AS n_dropped,
        CASE WHEN p.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text
 FROM parts p LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+""",
+    "op11_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (SELECT p.*, s.other_id AS negative_id, s.score AS negative_score,
+      row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other_id)::INTEGER AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+        AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """,
     "op13_fill_in_middle": """
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents),
