@@ -59,7 +59,7 @@ def test_only_distinct_misses_are_encoded(spark, cache, monkeypatch):
     assert asked == [1] and stored_rows(spark, cache).count() == known + 1
 
 
-@pytest.mark.parametrize("most", [0, 500_000])
+@pytest.mark.parametrize("most", [0, 100_000])
 def test_both_ways_to_the_texts(spark, cache, monkeypatch, most, sf_dir):
     monkeypatch.setattr(token_counts, "BROADCAST_MISSES", most)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
