@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from pitchlake import schemas
 from pitchlake.functions.text import json_list
@@ -52,6 +52,27 @@ def _flat(paths: dict[str, str]) -> list[Column]:
     ]
 
 
+def _group(match_id: Column) -> Column:
+    return F.pmod(F.xxhash64(match_id), F.lit(64)).cast("int")
+
+
+def repeated_ids(artifacts: DataFrame, seen: Observation) -> DataFrame:
+    """``artifacts``, of which ``seen`` notes in passing whether one holds an event id twice.
+
+    All events of a file are in one row, so this needs no shuffle. The note is a mask with a bit per group of matches.
+    """
+    ids = F.from_json("content", "array<struct<id string>>")["id"]
+    twice = F.size(F.array_distinct(ids)) < F.size(ids)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), _group(F.col("match_id")))
+    return artifacts.observe(seen, F.bit_or(F.when(twice, bit).otherwise(F.lit(0).cast("long"))).alias("mask"))
+
+
+def matches_with_repeats(matches: DataFrame, seen: Observation) -> DataFrame:
+    """The matches (``match_id``) whose files may hold an event id twice; a few others may be among them."""
+    mask = F.lit(seen.get["mask"] or 0).cast("long")
+    return matches.where(F.call_function("shiftrightunsigned", mask, _group(F.col("match_id"))).bitwiseAND(1) == 1)
+
+
 def to_bronze(artifacts: DataFrame) -> DataFrame:
     """Artifacts with lineage columns and ``content`` to the Bronze table."""
     parsed = raw.events_with_payload(artifacts.select(*raw.LINEAGE_COLUMNS, "content"))

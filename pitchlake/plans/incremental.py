@@ -1,11 +1,7 @@
-"""Incremental work: artifact registration, versioned commits, selective rebuilds."""
+"""Incremental work: artifact registration, work discovery, selective rebuilds."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import datetime, timezone
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pitchlake import fixed_values as fv, schemas
@@ -58,118 +54,6 @@ def register_artifacts(
     )
 
 
-# -- versioned datasets -----------------------------------------------------------
-
-def hidden(match_commits: DataFrame) -> DataFrame:
-    """(match, commit) pairs not to be read: replaced later, or held back by a check."""
-    newest = match_commits.where("published").groupBy("match_id").agg(F.max("commit_seq").alias("newest"))
-    return match_commits.join(newest, "match_id", "left").where(
-        F.coalesce(~F.col("published") | (F.col("commit_seq") < F.col("newest")), F.lit(True))
-    ).select("match_id", "commit_seq")
-
-
-def pinned(data: DataFrame, match_commits: DataFrame, as_of: int | None = None) -> DataFrame:
-    """State after commit ``as_of`` (by default the last one).
-
-    Only hidden matches are looked up. They are few next to the data, so they
-    are counted first and normally broadcast: the data are not shuffled.
-    """
-    if as_of is not None:
-        data = data.where(F.col("commit_seq") <= as_of)
-        match_commits = match_commits.where(F.col("commit_seq") <= as_of)
-    return without(data, hidden(match_commits), ["match_id", "commit_seq"], settle=True)
-
-
-class CommitStore:
-    """A dataset whose matches are replaced by appending commits.
-
-    ``data/commit_seq=N`` is written, checked and listed by match in
-    ``matches/commit_seq=N``; one row in ``published`` then makes commit N
-    visible. What is published never changes: repeating its key does nothing. A commit
-    that failed half way is not seen and is overwritten by the next attempt. Matches that
-    fail the check stay hidden, and their former version stays current. One writer at a time.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def _read(self, part: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
-
-    def commits(self) -> DataFrame:
-        return self._read("published", "commit_seq int, commit_key string, committed_at timestamp")
-
-    def match_commits(self) -> DataFrame:
-        rows = self._read(
-            "matches",
-            "match_id long, file_hash string, source_version int, rows long, published boolean, commit_seq int",
-        )
-        return rows.where(self._visible())
-
-    def commit(
-        self, df: DataFrame, commit_key: str, check: Callable[[DataFrame], DataFrame] | None = None,
-        matches: DataFrame | None = None,
-    ) -> int:
-        """Publish new contents for the matches in ``df``; returns the commit number.
-
-        ``check`` gets the written rows and returns violations by match.
-        ``matches`` may list further matches that are replaced by nothing.
-        A ``commit_key`` that is published already gives its number and changes nothing.
-        """
-        own = self.published(commit_key)
-        if own is not None:
-            return own
-        seq = (self.commits().agg(F.max("commit_seq").alias("last")).first()["last"] or 0) + 1
-        folder = f"commit_seq={seq}"
-        df.write.mode("overwrite").parquet(f"{self.path}/data/{folder}")
-        written = self.written(seq)
-        # Datasets without sources, such as the match dimension, have no version or hash.
-        for name, kind in (("file_hash", "string"), ("source_version", "int")):
-            if name not in written.columns:
-                written = written.withColumn(name, F.lit(None).cast(kind))
-        listed = written.groupBy("match_id", "file_hash").agg(
-            F.max("source_version").alias("source_version"), F.count("*").alias("rows")
-        )
-        if matches is not None:
-            listed = matches.select("match_id").distinct().join(listed, "match_id", "left")
-        if check is None:
-            listed = listed.withColumn("published", F.lit(True))
-        else:
-            bad = check(written).select("match_id").distinct().withColumn("bad", F.lit(True))
-            listed = listed.join(bad, "match_id", "left").withColumn("published", F.col("bad").isNull()).drop("bad")
-        listed.write.mode("overwrite").parquet(f"{self.path}/matches/{folder}")
-        row = [(seq, commit_key, datetime.now(timezone.utc))]
-        self.spark.createDataFrame(row, "commit_seq int, commit_key string, committed_at timestamp") \
-            .coalesce(1).write.mode("append").parquet(f"{self.path}/published")
-        return seq
-
-    def published(self, commit_key: str) -> int | None:
-        """The commit of a key, if it is visible."""
-        return self.commits().where(F.col("commit_key") == commit_key).agg(F.max("commit_seq").alias("own")).first()["own"]
-
-    def _visible(self, as_of: int | None = None) -> Column:
-        """Commits to read, as a filter on the folders: one number per commit."""
-        commits = self.commits()
-        if as_of is not None:
-            commits = commits.where(F.col("commit_seq") <= as_of)
-        return F.col("commit_seq").isin([r["commit_seq"] for r in commits.select("commit_seq").collect()])
-
-    def written(self, seq: int) -> DataFrame:
-        """All rows of one commit, also those held back."""
-        return self.spark.read.parquet(f"{self.path}/data/commit_seq={seq}")
-
-    def read(self, as_of: int | None = None) -> DataFrame:
-        """State after commit ``as_of``; earlier pins keep giving the same rows."""
-        data = self.spark.read.parquet(f"{self.path}/data").where(self._visible(as_of))
-        return pinned(data, self.match_commits(), as_of).drop("commit_seq")
-
-
 # -- work discovery and rebuilds ----------------------------------------------------
 
 def new_matches(dim_match: DataFrame, ingested: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from pitchlake import fixed_values as fv, schemas
 from pitchlake.operators import checks
-from pitchlake.operators.keyed import key_counts, without
+from pitchlake.operators.keyed import key_counts, settled, without
+from pitchlake.session import cut_lineage
 
 # Tolerances of the numeric comparisons.
 XG_TOLERANCE = 1e-6
@@ -84,7 +85,51 @@ def empty_batches(registered: DataFrame, silver: DataFrame) -> DataFrame:
 
 def reconcile_bronze_silver(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """Row counts and differing event ids per match."""
-    return reconciled_ids(compared_ids(bronze, silver))
+    agreeing, ids = compared_matches(bronze, silver)
+    return agreeing if ids is None else agreeing.unionByName(reconciled_ids(ids))
+
+
+def set_prints(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+    """Rows per match on both sides, and whether the event ids are the ``same``, by prints that do not depend on order.
+
+    A print is made of sums and exclusive ors of two 64-bit hashes of each id. Bronze counts for, Silver against; equal ids,
+    each as often on both sides, cancel out. Rows are added up in the map tasks, so that only sums per match are shuffled.
+    """
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        hashes = [F.xxhash64("event_id").alias("h"), F.xxhash64(F.lit(1), "event_id").alias("g")]
+        return df.select("match_id", F.lit(sign).alias("sign"), *hashes)
+
+    halves = [half for h in ("h", "g") for half in (F.col(h).bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32))]
+    both = side(bronze, 1).unionByName(side(silver, -1)).groupBy("match_id").agg(
+        F.count_if(F.col("sign") > 0).alias("bronze_rows"), F.count_if(F.col("sign") < 0).alias("silver_rows"),
+        *[F.sum(F.col("sign") * half).alias(f"s{k}") for k, half in enumerate(halves)],
+        *[F.bit_xor(h).alias(f"x{k}") for k, h in enumerate(("h", "g"))],
+    )
+    cancelled = F.col("bronze_rows") == F.col("silver_rows")
+    for name in ("s0", "s1", "s2", "s3", "x0", "x1"):
+        cancelled &= F.col(name) == 0
+    return both.select("match_id", "bronze_rows", "silver_rows", cancelled.alias("same"))
+
+
+def compared_matches(
+    bronze: DataFrame, silver: DataFrame, suspects: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Two levels: reconciled rows of the matches whose prints agree, and rows of each event id of all others.
+
+    Event ids are shuffled for matches that differ, and for ``suspects`` (``match_id``), if there are any.
+    """
+    prints = cut_lineage(set_prints(bronze, silver))
+    others = prints.where("NOT same").select("match_id")
+    if suspects is not None:
+        others = others.unionByName(suspects.select("match_id")).distinct()
+    others = settled(others.withColumnRenamed("match_id", "other_id"))
+    listed = F.col("match_id").eqNullSafe(F.col("other_id"))
+    none = F.lit(0).cast("long")
+    agreeing = prints.join(others, listed, "left_anti").select(
+        "match_id", "bronze_rows", "silver_rows", none.alias("missing_ids"), none.alias("unexpected_ids"), F.lit(True).alias("reconciled"))
+    if others.isEmpty():
+        return agreeing, None
+    return agreeing, compared_ids(*(df.join(others, listed, "left_semi") for df in (bronze, silver)))
 
 
 def compared_ids(bronze: DataFrame, silver: DataFrame) -> DataFrame:

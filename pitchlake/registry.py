@@ -16,7 +16,7 @@ from pitchlake.functions.text import artifact_key
 from pitchlake.operators import checks
 from pitchlake.operators.keyed import replace_by_key, upsert
 from pitchlake.plans import (
-    bronze, gold, incremental, marts, observability, profiles, quality, reports, silver,
+    bronze, commits, gold, incremental, marts, observability, profiles, quality, reports, silver,
 )
 from pitchlake.session import cut_lineage
 from pitchlake.sources import driver_tables as tables, raw
@@ -570,18 +570,18 @@ def _commits(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     data = events.withColumn("commit_seq", F.lit(1)).unionByName(
         _revised(events, _late_season(), "Pressure", 2).withColumn("commit_seq", F.lit(2))
     ).unionByName(_revised(events, every_third, "Ball Receipt*", 3).withColumn("commit_seq", F.lit(3)))
-    commits = F.array(
+    versions = F.array(
         F.struct(F.lit(1).alias("commit_seq"), F.lit(True).alias("published")),
         F.when(_late_season(), F.struct(F.lit(2).alias("commit_seq"), F.lit(True).alias("published"))),
         F.when(every_third, F.struct(F.lit(3).alias("commit_seq"), (_match_no() % 2 != 0).alias("published"))),
     )
-    listed = tables.match_manifest(spark, sf).select("match_id", F.explode(commits).alias("c"))
+    listed = tables.match_manifest(spark, sf).select("match_id", F.explode(versions).alias("c"))
     return data, listed.where("c IS NOT NULL").select("match_id", "c.*")
 
 
 def _state(spark: SparkSession, sf: str, as_of: int | None) -> DataFrame:
-    data, commits = _commits(spark, sf)
-    return rounded(incremental.pinned(data, commits, as_of).select(
+    data, match_commits = _commits(spark, sf)
+    return rounded(commits.pinned(data, match_commits, as_of).select(
         "match_id", "commit_seq", "source_version", "event_id", "start_x", "xt_added"))
 
 

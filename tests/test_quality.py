@@ -82,6 +82,42 @@ def test_reconciliation_sees_both_sides(good):
     assert [(r["match_id"], r["n"]) for r in bad] == [(2, 2)]
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_prints_shuffle_sums_and_no_ids(good):
+    exchanges = [line for line in plan(quality.set_prints(good, good)).splitlines() if "Exchange" in line]
+    assert len(exchanges) == 1 and "hashpartitioning(match_id" in exchanges[0] and "event_id" not in exchanges[0]
+    agreeing, ids = quality.compared_matches(good, good)
+    assert ids is None and all(r["reconciled"] for r in agreeing.collect()) and agreeing.count() == 2
+
+
+def test_prints_do_not_depend_on_order_but_on_number(spark):
+    def ids(*values, match_id=1):
+        return spark.createDataFrame([(match_id, v) for v in values], "match_id long, event_id string")
+
+    def same(left, right):
+        return [r["same"] for r in quality.set_prints(left, right).collect()] == [True]
+
+    assert same(ids("a", "b", None), ids(None, "b", "a")) and same(ids("a", "a", "b"), ids("b", "a", "a"))
+    # what exclusive ors alone, or sets alone, would not see
+    assert not same(ids("a", "a", "b"), ids("b", "c", "c")) and not same(ids("a", "a", "b"), ids("a", "b", "b"))
+    assert not same(ids("a"), ids("a", "a", "a")) and not same(ids("a"), ids(None)) and not same(ids("a"), ids("a", match_id=2))
+
+
+def test_levels_give_the_rows_of_the_exact_comparison(good, spark):
+    stored = good.where("NOT (match_id = 2 AND event_index < 3)").unionByName(good.where("match_id = 2 AND event_index = 5"))
+    extra = good.limit(3).withColumn("match_id", F.lit(None).cast("long"))
+    both = good.unionByName(extra), stored.unionByName(extra.withColumn("event_id", F.concat("event_id", F.lit("x"))))
+    expected = quality.reconciled_ids(quality.compared_ids(*both))
+    found = quality.reconcile_bronze_silver(*both)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.select(found.columns).collect())) and found.count() == 3
+    suspects = spark.createDataFrame([(1,)], "match_id long")
+    _, ids = quality.compared_matches(good, good, suspects)
+    assert {r["match_id"] for r in ids.collect()} == {1}
+
+
 def test_gold_reconciles_with_silver_and_gaps_show(good):
     team = gold.fact_gold_team(good)
     assert quality.reconcile_gold_team(team, good).collect() == []

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitchlake import schemas
+from pitchlake.plans.commits import CommitConflict
 from pitchlake.plans.incremental import match_ids
 from pitchlake.plans.warehouse import Warehouse
 from pitchlake.sources import raw
@@ -134,6 +135,68 @@ def test_an_interrupted_key_keeps_its_versions(spark, places, monkeypatch):
     assert warehouse.pipeline_runs().first()["status"] == "SUCCEEDED" and warehouse.task_events().count() == 1
 
 
+def test_an_event_id_twice_in_a_file_holds_its_match_back(spark, places):
+    landing, warehouse = places
+    rows = matches.events()
+    matches.land(landing, 1)
+    matches.land(landing, 2, content=matches.text([*rows, {**rows[3], "index": 99}]))
+    warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-1")
+    assert silver_state(warehouse) == {(1, 1): 17}
+    assert {(r["match_id"], r["rule"], r["n"]) for r in warehouse.violations().collect()} == {(2, "event_id_duplicated", 1)}
+
+
+def test_facts_of_an_older_version_do_not_replace_newer_ones(spark, places, monkeypatch):
+    """Two ingests of one match: the first is held up between Silver and Gold until the second has finished."""
+    landing, warehouse = places
+    matches.land(landing, 1)
+    matches.land(landing, 2)
+    first = raw.read_artifacts(spark, str(landing))
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse, "_publish_gold", lambda *a, **b: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            warehouse.ingest(first, "slow")
+    matches.land(landing, 1, content=matches.text(matches.events()[:-1]), name="events_v2.json")
+    warehouse.ingest(raw.read_artifacts(spark, str(landing)), "fast")
+    assert {(r["match_id"], r["source_version"]) for r in warehouse.gold_team.read().collect()} == {(1, 2)}
+    warehouse.ingest(first, "slow", attempt=2)
+    assert {(r["match_id"], r["source_version"]) for r in warehouse.gold_team.read().collect()} == {(1, 2), (2, 1)}
+
+
+def test_a_newer_version_during_publishing_is_a_conflict(spark, places, monkeypatch):
+    landing, warehouse = places
+    matches.land(landing, 1)
+    first, publish = raw.read_artifacts(spark, str(landing)), warehouse._publish_gold
+
+    def late(*args, **options):
+        monkeypatch.setattr(warehouse, "_publish_gold", publish)
+        matches.land(landing, 1, content=matches.text(matches.events()[:-1]), name="events_v2.json")
+        other = Warehouse(spark, warehouse.root, grid=matches.MOCK_GRID)
+        other.ingest(raw.read_artifacts(spark, str(landing)), "fast")
+        return publish(*args, **options)
+
+    monkeypatch.setattr(warehouse, "_publish_gold", late)
+    with pytest.raises(CommitConflict):
+        warehouse.ingest(first, "slow")
+    assert {r["source_version"] for r in warehouse.gold_team.read().collect()} == {2}
+    assert warehouse.ingest(first, "slow", attempt=2) == 1
+    assert {r["source_version"] for r in warehouse.gold_team.read().collect()} == {2}
+
+
+def test_maintenance_changes_nothing(spark, places):
+    landing, warehouse = places
+    for day in range(1, 4):
+        matches.land(landing, day)
+        warehouse.ingest_folder(str(landing), f"day-{day}")
+    before = silver_state(warehouse), sorted(map(str, warehouse.gold_team.read().collect())), warehouse.silver.read(as_of=2).count()
+    warehouse.maintain()
+    assert len({f.rsplit("/", 2)[1] for f in warehouse.silver.read().inputFiles()}) == 1
+    assert (silver_state(warehouse), sorted(map(str, warehouse.gold_team.read().collect())), warehouse.silver.read(as_of=2).count()) == before
+    warehouse.rebuild(match_ids(spark, [2]), "again")
+    assert sorted(map(str, warehouse.gold_team.read().collect())) == before[1]
+    warehouse.maintain(keep_days=0)
+    assert silver_state(warehouse) == before[0] and warehouse.ingest_folder(str(landing), "day-9") is None
+
+
 def test_a_stray_file_stops_nothing(spark, places):
     landing, warehouse = places
     matches.land(landing, 1)
