@@ -85,17 +85,12 @@ class CommitStore:
 
     def _entries(self, kind: str, numbers: list[int]) -> list[dict[str, Any]]:
         """Log files in order: one small record for each commit since the last base."""
-        if not numbers:
-            return []
-        paths = [f"{self.path}/log/{kind}-{n:020d}.json" for n in numbers]
-        schema = "commit_seq int, commit_key string, committed_at timestamp, part string, parts array<string>"
-        rows = self.spark.read.schema(schema).json(paths).collect()
-        return sorted((r.asDict() for r in rows), key=lambda r: r["commit_seq"])
+        return [json.loads(claims.text(self.spark, f"{self.path}/log/{kind}-{n:020d}.json")) for n in numbers]
 
     def _claim(self, kind: str, number: int, **record: Any) -> bool:
         now = datetime.now(timezone.utc).isoformat()
-        text = json.dumps({"commit_seq": number, "committed_at": now, **record})
-        return claims.claim(self.spark, f"{self.path}/log", f"{kind}-{number:020d}.json", text)
+        content = json.dumps({"commit_seq": number, "committed_at": now, **record})
+        return claims.claim(self.spark, f"{self.path}/log", f"{kind}-{number:020d}.json", content)
 
     def last(self) -> int:
         commits, bases = self._numbers()
@@ -135,14 +130,20 @@ class CommitStore:
     def commits(self) -> DataFrame:
         """Every commit, also those whose rows are no longer kept."""
         base, entries = self._since_base()
-        rows = self.spark.createDataFrame([tuple(e[c] for c in _names(KEYS)) for e in entries], KEYS)
+        rows = self.spark.createDataFrame(
+            [(e["commit_seq"], e["commit_key"], datetime.fromisoformat(e["committed_at"])) for e in entries], KEYS)
         if base is not None:
             rows = self.spark.read.schema(KEYS).parquet(f"{self.path}/keys/{base['part']}").unionByName(rows)
         return rows
 
     def published(self, commit_key: str) -> int | None:
         """The commit of a key, if it is visible."""
-        return self.commits().where(F.col("commit_key") == commit_key).agg(F.max("commit_seq").alias("own")).first()["own"]
+        base, entries = self._since_base()
+        own = [e["commit_seq"] for e in entries if e["commit_key"] == commit_key]
+        if own or base is None:
+            return max(own, default=None)
+        folded = self.spark.read.schema(KEYS).parquet(f"{self.path}/keys/{base['part']}")
+        return folded.where(F.col("commit_key") == commit_key).agg(F.max("commit_seq").alias("own")).first()["own"]
 
     def match_commits(self, as_of: int | None = None) -> DataFrame:
         """Matches by commit since the last base; before it, those that the base still reads."""

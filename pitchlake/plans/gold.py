@@ -16,38 +16,36 @@ INTERVAL_KEYS = ["match_id", "team_id", "period", "interval_start", "is_stoppage
 TEXTS = ["team_name", "file_hash", "xt_model_version"]
 
 
+COUNTED = ["shots", "goals", "xg", "attempted_passes", "completed_passes", "progressive_passes", "carries"]
+COUNTS = [f"{how} AS {name}" for name, how in zip(COUNTED, [
+    "count_if(is_shot)", f"count_if(is_shot AND outcome = '{fv.GOAL}')", "sum(coalesce(shot_xg, 0D)) FILTER (WHERE is_shot)",
+    "count_if(is_pass)", "count_if(is_completed_pass)", "count_if(is_progressive_pass)", "count_if(is_carry)"])]
+
+
 def fact_gold_team(silver: DataFrame) -> DataFrame:
     """One row per team and match. All periods count; xg is NULL without shots."""
     texts = ["team_name", "file_hash"]
-    counts = [
-        "shots", "goals", "xg", "attempted_passes", "completed_passes", "progressive_passes", "carries",
-    ]
-    counted = (
-        silver.where("team_id IS NOT NULL")
-        .groupBy(*TEAM_KEYS, *texts).agg(
-            F.expr("count_if(is_shot) AS shots"),
-            F.expr(f"count_if(is_shot AND outcome = '{fv.GOAL}') AS goals"),
-            F.expr("sum(coalesce(shot_xg, 0D)) FILTER (WHERE is_shot) AS xg"),
-            F.expr("count_if(is_pass) AS attempted_passes"),
-            F.expr("count_if(is_completed_pass) AS completed_passes"),
-            F.expr("count_if(is_progressive_pass) AS progressive_passes"),
-            F.expr("count_if(is_carry) AS carries"),
-            F.expr("max(source_version) AS source_version"),
-        )
-        .groupBy(*TEAM_KEYS).agg(
-            *[F.expr(f"sum({name}) AS {name}") for name in counts],
-            *[F.expr(f"max({name}) AS {name}") for name in ["source_version", *texts]],
-        )
+    return teams_from(
+        silver.where("team_id IS NOT NULL").groupBy(*TEAM_KEYS, *texts)
+        .agg(*[F.expr(e) for e in [*COUNTS, "max(source_version) AS source_version"]]))
+
+
+def teams_from(parts: DataFrame) -> DataFrame:
+    """The team fact from counted parts of each team and match."""
+    texts = ["team_name", "file_hash"]
+    counted = parts.groupBy(*TEAM_KEYS).agg(
+        *[F.expr(f"sum({name}) AS {name}") for name in COUNTED],
+        *[F.expr(f"max({name}) AS {name}") for name in ["source_version", *texts]],
     )
     return counted.selectExpr(
-        *TEAM_KEYS, "team_name", *counts,
+        *TEAM_KEYS, "team_name", *COUNTED,
         "CASE WHEN attempted_passes > 0 THEN 100D * completed_passes / attempted_passes END AS pass_completion_pct",
         "source_version", "file_hash", f"'{fv.METRIC_VERSION}' AS metric_version",
     )
 
 
 # Threat gained, lost and net over successful moves; zero if there were none.
-_THREAT = [
+THREAT = [
     "coalesce(sum(xt_added) FILTER (WHERE is_successful_move AND xt_added > 0), 0D) AS positive_xt",
     "coalesce(sum(xt_added) FILTER (WHERE is_successful_move AND xt_added < 0), 0D) AS negative_xt",
     "coalesce(sum(xt_added) FILTER (WHERE is_successful_move), 0D) AS net_xt",
@@ -56,7 +54,7 @@ _THREAT = [
 
 def team_match_xt(silver: DataFrame) -> DataFrame:
     """Threat created, given away and net, per team and match (all periods)."""
-    return silver.where("team_id IS NOT NULL").groupBy(*TEAM_KEYS).agg(*[F.expr(e) for e in _THREAT])
+    return silver.where("team_id IS NOT NULL").groupBy(*TEAM_KEYS).agg(*[F.expr(e) for e in THREAT])
 
 
 def assign_intervals(silver: DataFrame) -> DataFrame:
@@ -77,7 +75,7 @@ MEASURES = ["positive_xt", "negative_xt", "net_xt", "successful_moves", "shots",
 def interval_aggregates(silver: DataFrame, *grouped_on: str) -> DataFrame:
     """Measures per interval that has events, optionally split by further columns."""
     return assign_intervals(silver).groupBy(*INTERVAL_KEYS, *grouped_on).agg(
-        *[F.expr(e) for e in _THREAT],
+        *[F.expr(e) for e in THREAT],
         F.expr("count_if(is_successful_move) AS successful_moves"),
         F.expr("count_if(is_shot) AS shots"),
         F.expr("coalesce(sum(coalesce(shot_xg, 0D)) FILTER (WHERE is_shot), 0D) AS xg"),
@@ -123,11 +121,16 @@ def fact_gold_intervals(silver: DataFrame) -> DataFrame:
     moved by team, summed to at most 20 slots, kept in a small map, and laid
     out over the full spine; no join and no second shuffle by slot is needed.
     """
+    return intervals_from(interval_aggregates(silver, *TEXTS))
+
+
+def intervals_from(parts: DataFrame) -> DataFrame:
+    """The interval fact from measured parts of each slot that has events."""
     attributes = [*TEXTS, "source_version"]
     slot = F.struct("period", "interval_start", "is_stoppage_time")
     on_spine = F.array_contains(_slots(), slot)
     slots = (
-        interval_aggregates(silver, *TEXTS).repartition(*TEAM_KEYS)
+        parts.repartition(*TEAM_KEYS)
         .groupBy(*INTERVAL_KEYS).agg(
             *[F.sum(name).alias(name) for name in MEASURES], *[F.max(name).alias(name) for name in attributes]
         )

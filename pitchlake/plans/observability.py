@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pitchlake import fixed_values as fv
@@ -164,32 +166,64 @@ def run_durations(runs: DataFrame) -> DataFrame:
     return runs.withColumn("duration_seconds", _seconds("started_at", "completed_at"))
 
 
-def _last_attempts(stage_records: DataFrame, *also: Column) -> DataFrame:
-    """One row per run and stage: its last attempt, by start and then by end."""
-    record = F.struct("status", "started_at", "completed_at", "error_type", "error_message")
-    return stage_records.groupBy("run_id", "match_id", "stage").agg(
-        F.max_by(record, F.struct("started_at", "completed_at")).alias("last"), *also)
+#: Statuses of an attempt, by their digit in a packed one; the first stands for a missing status.
+ATTEMPT_STATUSES = [None, fv.SUCCEEDED, fv.FAILED]
+#: Shifts any timestamp's microseconds to at most 18 digits that are not negative.
+_EPOCH = 10**17
+
+
+def _digits(time: str) -> Column:
+    return F.coalesce(F.unix_micros(F.col(time).cast("timestamp")) + F.lit(_EPOCH), F.lit(0)).cast("decimal(38,0)")
+
+
+def _packed(status: str = "status") -> Column:
+    """Start, end and status of an attempt as one decimal number, in that order.
+
+    Its maximum is the last attempt. A number is reduced by hash inside the map tasks; a maximum by struct or text would make Spark
+    sort all records first.
+    """
+    code = F.when(F.col(status).isNull(), 0)
+    for n, name in enumerate(ATTEMPT_STATUSES[1:], 1):
+        code = code.when(F.col(status) == name, n)
+    code = code.otherwise(F.raise_error(F.concat(F.lit("unknown status: "), F.col(status))))
+    number = _digits("started_at") * F.lit(Decimal(10**19))
+    return (number.cast("decimal(38,0)") + (_digits("completed_at") * 10 + code).cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
+def _unpacked(packed: Column) -> Column:
+    """Struct of ``status``, ``started_at`` and ``completed_at``; NULL where nothing was packed."""
+    base = F.lit(Decimal(10**19))
+    rest = (packed % base).cast("decimal(19,0)")
+
+    def time(digits: Column) -> Column:
+        return F.when(digits > 0, F.timestamp_micros(digits.cast("long") - F.lit(_EPOCH)))
+
+    names = F.array(*[F.lit(s).cast("string") for s in ATTEMPT_STATUSES])
+    return F.when(packed.isNotNull(), F.struct(
+        F.get(names, (rest % 10).cast("int")).alias("status"),
+        time(F.call_function("div", packed, base)).alias("started_at"), time(F.call_function("div", rest, F.lit(10))).alias("completed_at")))
 
 
 def run_outcomes(stage_records: DataFrame) -> DataFrame:
     """One row per run: status, failed stage, error and duration.
 
     A stage counts by its last attempt. Of several failed stages the one that ended last is
-    reported, with its own error.
+    reported, with its own error. A run has some ten records; they meet once, and are ordered there.
     """
-    stages = _last_attempts(
-        stage_records, F.min("started_at").alias("first_started_at"), F.max("completed_at").alias("last_completed_at"))
-    failed = F.col("last.status") == fv.FAILED
-    problem = F.struct(F.col("last.completed_at"), "stage", F.col("last.error_type"), F.col("last.error_message"))
-    runs = stages.groupBy("run_id", "match_id").agg(
-        F.min("first_started_at").alias("started_at"), F.max("last_completed_at").alias("completed_at"),
-        F.max(F.when(failed, problem)).alias("problem"),
-    )
-    status = F.when(F.col("problem").isNotNull(), fv.FAILED).otherwise(fv.SUCCEEDED)
-    return run_durations(runs.withColumn("status", status)).select(
-        "run_id", "match_id", "started_at", "status", "completed_at", F.col("problem.stage").alias("failed_stage"),
-        "problem.error_type", "problem.error_message", "duration_seconds",
-    )
+    run = ["run_id", "match_id"]
+    whole = Window.partitionBy(*run)
+    records = stage_records.repartition(*run).select(
+        *run, "stage", "status", "started_at", "completed_at", "error_type", "error_message",
+        F.min("started_at").over(whole).alias("first_started_at"), F.max("completed_at").over(whole).alias("last_completed_at"))
+    stages = latest(records, [*run, "stage"], F.col("started_at").desc_nulls_last(), F.col("completed_at").desc_nulls_last())
+    failed = F.coalesce(F.col("status") == fv.FAILED, F.lit(False))
+    runs = latest(stages.withColumn("_failed", failed), run,
+                  F.col("_failed").desc(), F.col("completed_at").desc_nulls_last(), F.col("stage").desc())
+    return run_durations(runs.select(
+        *run, F.col("first_started_at").alias("started_at"), F.when(F.col("_failed"), fv.FAILED).otherwise(fv.SUCCEEDED).alias("status"),
+        F.col("last_completed_at").alias("completed_at"),
+        *[F.when(F.col("_failed"), F.col(c)).alias(name) for c, name in (
+            ("stage", "failed_stage"), ("error_type", "error_type"), ("error_message", "error_message"))]))
 
 
 def stage_row_flow(stage_records: DataFrame) -> DataFrame:
@@ -207,15 +241,15 @@ def stage_row_flow(stage_records: DataFrame) -> DataFrame:
 
 def run_stage_matrix(stage_records: DataFrame) -> DataFrame:
     """All stages of every run, one row each: the last attempt, or NOT_RUN without a record."""
-    record = F.struct("status", "started_at", "completed_at")
-    attempt = F.struct("started_at", "completed_at")
-    runs = stage_records.groupBy("run_id", "match_id").agg(*[
-        F.max_by(record, F.when(F.col("stage") == stage, attempt)).alias(stage) for stage in fv.STAGES])
+    attempts = stage_records.withColumn("_packed", _packed())
+    runs = attempts.groupBy("run_id", "match_id").agg(*[
+        F.max(F.when(F.col("stage") == stage, F.col("_packed"))).alias(stage) for stage in fv.STAGES])
     rows = F.array(*[
-        F.struct(F.lit(n).alias("stage_order"), F.lit(stage).alias("stage"), F.col(stage).alias("last"))
+        F.struct(F.lit(n).alias("stage_order"), F.lit(stage).alias("stage"), F.col(stage).alias("packed"))
         for n, stage in enumerate(fv.STAGES, 1)
     ])
-    return runs.select("run_id", "match_id", F.inline(rows)).select(
+    last = runs.select("run_id", "match_id", F.inline(rows)).withColumn("last", _unpacked(F.col("packed")))
+    return last.select(
         "run_id", "match_id", "stage_order", "stage", F.coalesce("last.status", F.lit(fv.NOT_RUN)).alias("status"),
-        "last.started_at", "last.completed_at",
+        *[F.col(f"last.{c}").cast(stage_records.schema[c].dataType).alias(c) for c in ("started_at", "completed_at")],
     )

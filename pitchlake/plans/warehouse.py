@@ -12,7 +12,7 @@ from pitchlake import fixed_values as fv, schemas
 from pitchlake.operators import checks
 from pitchlake.operators.keyed import only, settled, without
 from pitchlake.operators.ordered import latest
-from pitchlake.plans import bronze, gold, marts, observability, quality, silver
+from pitchlake.plans import bronze, marts, observability, partials, quality, silver
 from pitchlake.plans.commits import CommitStore
 from pitchlake.plans.incremental import lineage_edges, new_matches, register_artifacts
 from pitchlake.session import cut_lineage
@@ -35,6 +35,7 @@ class Warehouse:
         self.spark, self.root = spark, root.rstrip("/")
         self.grid, self.provider, self.model_version = grid, provider, model_version
         self.silver = CommitStore(spark, self.path("silver"))
+        self.gold_parts = CommitStore(spark, self.path("gold_parts"))
         self.gold_team = CommitStore(spark, self.path("gold_team"))
         self.gold_intervals = CommitStore(spark, self.path("gold_intervals"))
         self.dim_match = CommitStore(spark, self.path("dim_match"))
@@ -177,17 +178,27 @@ class Warehouse:
             seen["rows_out"] = accepted.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
         return seq
 
-    def _gold_states(self) -> tuple[int, int]:
-        return self.gold_team.last(), self.gold_intervals.last()
+    def _gold_states(self) -> tuple[int, int, int]:
+        return self.gold_parts.last(), self.gold_team.last(), self.gold_intervals.last()
 
-    def _publish_gold(self, rows: DataFrame, matches: DataFrame, key: str, attempt: int, seen: tuple[int, int]) -> int:
-        """Both facts of the given matches from their Silver ``rows``; returns the commit of the team fact."""
-        seq = self._publish("GOLD_TEAM", self.gold_team, gold.fact_gold_team(rows), matches, key, attempt,
-                            lambda facts: quality.team_fact_violations(facts, rows), seen[0])
-        self._publish("GOLD_INTERVAL", self.gold_intervals, gold.fact_gold_intervals(rows), matches, key, attempt,
-                      quality.interval_fact_violations, seen[1])
+    def _publish_gold(self, rows: DataFrame, matches: DataFrame, key: str, attempt: int, seen: tuple[int, int, int]) -> int:
+        """Both facts of the given matches from their Silver ``rows``, which are scanned once and kept as sums.
+
+        Returns the commit of the team fact.
+        """
+        own = self.gold_parts.commit(partials.partial_facts(rows), key, matches=matches, based_on=seen[0])
+        parts = self.gold_parts.written(own)
+        seq = self._publish("GOLD_TEAM", self.gold_team, partials.team_facts(parts), matches, key, attempt,
+                            lambda facts: quality.team_fact_violations(facts, rows), seen[1])
+        self._publish("GOLD_INTERVAL", self.gold_intervals, partials.interval_facts(parts), matches, key, attempt,
+                      quality.interval_fact_violations, seen[2])
         return seq
 
+    def merged_facts(self, as_of: int | None = None, matches: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        """Both facts put together from the kept sums, also of an earlier state; checks of the facts are not applied."""
+        parts = self.gold_parts.read(as_of, matches)
+        return partials.team_facts(parts), partials.interval_facts(parts)
+
     def _publish(
         self, stage: str, store: CommitStore, facts: DataFrame, matches: DataFrame, key: str, attempt: int,
         rules: Callable[[DataFrame], DataFrame], based_on: int,
@@ -208,11 +219,11 @@ class Warehouse:
         return self._publish_gold(self.silver.read(matches=listed), listed, key, 1, seen)
 
     def maintain(self, keep_days: float = 7, **options: Any) -> None:
-        """Fold the commits of all four datasets, and remove what only states before the last ``keep_days`` need.
+        """Fold the commits of all five datasets, and remove what only states before the last ``keep_days`` need.
 
         ``options`` go to ``CommitStore.compact``. Ingests may run meanwhile.
         """
-        for store in (self.silver, self.gold_team, self.gold_intervals, self.dim_match):
+        for store in (self.silver, self.gold_parts, self.gold_team, self.gold_intervals, self.dim_match):
             if not store.last():
                 continue
             store.compact(**options)

@@ -16,7 +16,7 @@ from pitchlake.functions.text import artifact_key
 from pitchlake.operators import checks
 from pitchlake.operators.keyed import replace_by_key, upsert
 from pitchlake.plans import (
-    bronze, commits, gold, incremental, marts, observability, profiles, quality, reports, silver,
+    bronze, commits, gold, incremental, marts, observability, partials, profiles, quality, reports, silver,
 )
 from pitchlake.session import cut_lineage
 from pitchlake.sources import driver_tables as tables, raw
@@ -610,6 +610,22 @@ def gold_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(incremental.rebuild_gold_team(gold.fact_gold_team(events), revised, touched))
 
 
+def _current_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums of the three commits, of which the current ones are read."""
+    data, match_commits = _commits(spark, sf)
+    return commits.pinned(partials.partial_facts(data, "commit_seq"), match_commits)
+
+
+@query
+def gold_parts_team(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(partials.team_facts(_current_parts(spark, sf)))
+
+
+@query
+def gold_parts_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(partials.interval_facts(_current_parts(spark, sf)).select(*gold.INTERVAL_KEYS, "interval_label", *gold.MEASURES, "source_version"))
+
+
 @query
 def gold_backfill(spark: SparkSession, sf: str) -> DataFrame:
     """Interval facts of all matches of a season."""

@@ -311,6 +311,14 @@ listed AS (
 )"""
 
 
+#: The current rows of the three commits, and the interval fact over them.
+CURRENT = COMMITS + """, current AS (
+  SELECT * EXCLUDE (commit_seq) FROM data d
+  WHERE commit_seq = (SELECT max(seq) FROM listed l WHERE l.m = d.m AND published)
+)"""
+CURRENT_INTERVALS = CURRENT + INTERVALS.removeprefix(SILVER).replace("FROM silver WHERE", "FROM current WHERE")
+
+
 def _state(as_of: int) -> str:
     return sql(COMMITS, rounded(f"""
       SELECT match_id, commit_seq, source_version, event_id, start_x, xt_added FROM data d
@@ -609,6 +617,10 @@ ORACLE: dict[str, str] = {
       revised AS (SELECT * REPLACE (CAST(CASE WHEN m % 10 >= 5 THEN 2 ELSE 1 END AS INTEGER) AS source_version)
         FROM silver WHERE m % 10 < 5 OR event_type <> 'Carry')""",
         rounded(_team_fact("revised"), TEAM_DOUBLES)),
+    "gold_parts_team": sql(CURRENT, rounded(_team_fact("current"), TEAM_DOUBLES)),
+    "gold_parts_intervals": sql(CURRENT_INTERVALS, rounded("""
+      SELECT match_id, team_id, period, interval_start, is_stoppage_time, interval_label, positive_xt, negative_xt,
+        net_xt, successful_moves, shots, xg, source_version FROM intervals""", INTERVAL_DOUBLES)),
     "gold_backfill": sql(INTERVALS, rounded("""
       SELECT match_id, team_id, period, interval_start, is_stoppage_time, interval_label, positive_xt, negative_xt,
         net_xt, successful_moves, shots, xg FROM intervals WHERE (match_id - 1000) % 10 >= 5""", INTERVAL_DOUBLES)),

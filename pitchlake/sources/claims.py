@@ -27,20 +27,30 @@ def names(spark: SparkSession, folder: str) -> dict[str, int]:
     return {entry.getPath().getName(): entry.getModificationTime() for entry in system.listStatus(where)}
 
 
+def text(spark: SparkSession, path: str) -> str:
+    """Content of a small file, read by the driver."""
+    system, where = _at(spark, path)
+    stream = system.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, where = _at(spark, path)
     system.delete(where, True)
 
 
-def claim(spark: SparkSession, folder: str, name: str, text: str) -> bool:
-    """Make ``folder/name`` hold ``text``, unless it exists already; whether this call made it."""
+def claim(spark: SparkSession, folder: str, name: str, content: str) -> bool:
+    """Make ``folder/name`` hold ``content``, unless it exists already; whether this call made it."""
     system, where = _at(spark, folder)
     system.mkdirs(where)
     draft = f"{folder}/.{uuid.uuid4().hex}"
     _, source = _at(spark, draft)
     out = system.create(source, False)
     try:
-        out.write(text.encode())
+        out.write(content.encode())
     finally:
         out.close()
     try:
