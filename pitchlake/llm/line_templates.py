@@ -10,7 +10,7 @@ one of those is the business of document de-duplication. So the lines of copied
 
 With ``copies_vote_once``, that is decided by document instead of by template: a document whose other text mostly recurs is a copy,
 all copies with the same longest recurring line count as one document, and all others count each for itself. Then a line of more
-than ``LONG`` tokens is dropped if it is in two documents already, as it does not recur by chance.
+than ``LONG`` tokens is dropped if it is in two documents already, as it does not recur by chance; such lines are compared whole.
 """
 
 from __future__ import annotations
@@ -35,10 +35,11 @@ def _generalised(tokens: Column) -> Column:
     return F.regexp_replace(F.lower(tokens), r"[^ ]*(?:[0-9@]|://)[^ ]*", "<*>")
 
 
-def templates(documents: DataFrame, text: str = "text") -> DataFrame:
+def templates(documents: DataFrame, text: str = "text", whole_passages: bool = False) -> DataFrame:
     """One row per non-blank line: ``doc_key``, ``line_no`` (from 0), ``n_tokens``, ``template`` (a 128-bit hash),
     ``passage`` (a long line with few variable fields).
 
+    With ``whole_passages`` lines of more than ``LONG`` tokens share a template only if they agree, generalised, from end to end.
     Fields are separated by spaces, tabs or carriage returns; lines by line feeds only.
     """
     lines = documents.select(
@@ -55,6 +56,8 @@ def templates(documents: DataFrame, text: str = "text") -> DataFrame:
             F.call_function("substring_index", F.col("line"), F.lit(" "), -F.least(F.lit(LAST), F.col("n_tokens") - LEADING)))),
     )
     passage = (F.col("n_tokens") > LONG) & (F.size(F.split(leaf, r"<\*>")) - 1 <= VARIABLE)
+    if whole_passages:
+        leaf = F.concat_ws("\n", leaf, F.when(F.col("n_tokens") > LONG, _generalised(F.col("line"))))
     return parsed.select("doc_key", "line_no", "n_tokens", F.struct(
         F.xxhash64(leaf).alias("a"), F.hash(F.lit(7), leaf).alias("b")).alias("template"), passage.alias("passage"))
 
@@ -117,7 +120,7 @@ def drop_recurring_lines(
     """
     kept_columns = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
     documents = documents.select(*[F.col(f"`{c}`") for c in kept_columns])
-    lines = templates(documents, text)
+    lines = templates(documents, text, whole_passages=copies_vote_once)
     lines = stored(lines if copies_vote_once else lines.drop("passage"), "lines")
     drops = (voted if copies_vote_once else boilerplate)(lines, min_docs, copied_percent)
     salt = F.pmod(F.col("doc_key.a"), F.lit(SALTS)).cast("int").alias("salt")

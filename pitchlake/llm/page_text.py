@@ -30,6 +30,8 @@ TRAIN_PAGES = 1_000
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math".split())
+FOREIGN = frozenset(("svg", "math"))
+SWALLOWS = frozenset("script style textarea title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CONTENT = frozenset(("article", "main"))
 CHROME = frozenset("nav header footer aside form button select option dialog menu figcaption head fieldset".split())
@@ -39,7 +41,8 @@ GOOD_TOKENS = frozenset("article main content post entry story body text".split(
 BAD_TOKENS = frozenset(
     "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments cookie cookies consent copyright disclaimer footer form header hidden login menu modal nav navbar navigation newsletter notice pagination popup promo related search share sharing sidebar signup social sponsor sponsored subscribe tags toolbar widget".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+_OPEN = re.compile(r"<(?:(!--)|(!\[CDATA\[)|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_STOP = re.compile("[\"'>]")
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _TOKENS = re.compile(r"[a-z]+")
 
@@ -66,6 +69,7 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
     """
     page = page or ""
     nodes, texts, stack, at = [Node("root", -1, 0)], [], [0], 0
+    quoted, last, unended = True, {q: page.rfind(q) for q in "\"'"}, set()
 
     def add(text: str) -> None:
         if text:
@@ -77,37 +81,70 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
                 del stack[k:]
                 return
 
+    def tag_end(start: int) -> int:
+        """The place behind the tag's ">", which may stand in quotes before; -1 without one.
+
+        A quote without a partner is a character like others. Once quotes have hidden every ">" to the end of the page, they no longer
+        count: so no part of a page is read again and again.
+        """
+        nonlocal quoted
+        k = start
+        while quoted:
+            stop = _STOP.search(page, k)
+            if not stop:
+                quoted = False
+            elif stop.group() == ">":
+                return stop.end()
+            else:
+                k = page.find(stop.group(), stop.end()) + 1 if stop.start() < last[stop.group()] else stop.end()
+        return page.find(">", start) + 1 or -1
+
     while at < len(page):
-        tag = _TAG.search(page, at)
+        tag = _OPEN.search(page, at)
         if not tag:
             add(page[at:])
             break
         add(page[at : tag.start()])
-        at = tag.end()
-        name = (tag[2] or "").lower()
+        if tag[1] or tag[2]:
+            end = page.find("-->" if tag[1] else "]]>", tag.end())
+            if tag[2]:
+                add(page[tag.end() : end if end >= 0 else len(page)])
+            at = end + 3 if end >= 0 else len(page)
+            continue
+        name = (tag[4] or "").lower()
+        at = tag_end(tag.end()) if name else page.find(">", tag.end()) + 1 or -1
+        if at < 0:  # no tag ends from here on
+            add(page[tag.start() :])
+            break
         if not name:
-            if tag.group().startswith("<![CDATA["):
-                add(tag.group()[9:-3])
             continue
+        attributes = page[tag.end() : at - 1]
         if name in INLINE and name != "a":
             continue
         texts.append((stack[-1], "" if name != "a" else None))
         if name in VOID:
             continue
-        if tag[1]:
+        if tag[3]:
             close(name)
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            if name in FOREIGN and attributes.endswith("/"):
+                continue
+            end = None if name in unended else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+            elif name in SWALLOWS:
+                at = len(page)
+            else:
+                unended.add(name)
             continue
         if name in ENDS_P and any(nodes[i].tag == "p" for i in stack[-4:]):
             close("p")
         if name in SIBLING_ENDS and nodes[stack[-1]].tag in SIBLING_ENDS[name]:
             stack.pop()
-        if tag[3].endswith("/") and name in ("path", "g"):
+        if attributes.endswith("/") and name in ("path", "g"):
             continue
-        words = " ".join(a or b or c for _, a, b, c in _ATTRIBUTE.findall(tag[3])).lower() if "=" in tag[3] else ""
+        words = " ".join(a or b or c for _, a, b, c in _ATTRIBUTE.findall(attributes)).lower() if "=" in attributes else ""
         nodes.append(Node(name, stack[-1], len(stack), frozenset(_TOKENS.findall(words))))
         nodes[stack[-1]].children.append(len(nodes) - 1)
         stack.append(len(nodes) - 1)
@@ -225,7 +262,7 @@ def decode(nodes: list[Node], odds: np.ndarray) -> list[bool]:
 
 def joined(texts: list[tuple[int, str]], keep: list[bool]) -> str:
     """Text of kept elements: references decoded, white space made one space, blocks joined by one space."""
-    return " ".join(entities.unescape("".join(t or " " for i, t in texts if keep[i])).split())
+    return " ".join("".join(entities.unescape(t) or " " for i, t in texts if keep[i]).split())
 
 
 def fit(pages: DataFrame, html: str = "html", train_pages: int = TRAIN_PAGES) -> Trees | None:

@@ -85,3 +85,15 @@ def test_passages_of_two_documents_go(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     found = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()}
     assert found == {i: t.replace(f"\n{passage}\n", "\n") for i, t in enumerate(texts)}
+
+
+def test_long_lines_that_agree_at_their_ends_only_stay(spark, tmp_path):
+    def line(i):
+        return " ".join(["the same opening of eight words is here", *(f"mid{chr(97 + i)}{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(50)), "and the same end"])
+
+    same = f"{line(25)} 17"
+    texts = [f"{own(i)}\n{line(i)}\n{own(i + 300)} more" for i in range(12)] + [f"{own(i)}\n{same}{i}\n{own(i + 300)} more" for i in range(20, 22)]
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()}
+    assert all(found[i] == texts[i] for i in range(12)) and all(found[i] == texts[i].replace(f"\n{same}{i + 8}", "") for i in (12, 13))

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 from tests.llm.cases import with_clashes
 
@@ -66,3 +67,36 @@ def test_awkward_rows(spark):
     assert page_text.main_text(df.limit(0)).collect() == []
     unnamed = page_text.main_text(pages(spark, [NAMELESS.replace("class='comments'", ""), None])).first()["text"]
     assert "Really, they do." in unnamed
+
+
+def words(page):
+    nodes, found = page_text.parse(page)
+    return page_text.joined(found, [True] * len(nodes))
+
+
+def test_self_closed_and_unclosed_elements_hide_nothing():
+    assert words("<article><p>Before <svg class='i'/> after the icon.</p><p>Second</p></article>") == "Before after the icon. Second"
+    assert words("<p>a <svg><path/> b <iframe> c <noscript> d</p>") == "a b c d"
+    assert words("<p>a <svg><title>x</title><g/></svg> b <script>c</p>") == "a b"
+
+
+def test_stray_quotes_and_ends():
+    assert words("<p class='x>one</p><p>two</p>") == "one two"
+    assert words("<p title='a>b' class=\"c>d\">one</p>") == "one"
+    assert words("one <b two") == "one <b two" and words("<! one") == "<! one" and words("a < b") == "a < b"
+    assert words("<![CDATA[hello world") == "hello world" and words("<![CDATA[a <b> c]]> d") == "a <b> c d"
+    assert words("a <!-- b") == "a" and words("a <!-- b > --> c") == "a c"
+
+
+def test_references_end_with_their_piece():
+    assert words("&lt<i>;x</i> &amp;lt; &#65;") == "<;x &lt; A"
+
+
+def test_odd_pages_take_time_in_proportion():
+    def seconds(page):
+        start = time.process_time()
+        page_text.parse(page)
+        return time.process_time() - start
+
+    for piece in ("<a '", "<a '>' ", "<!", "<svg>", "<p \"'>", "&lt<i>", "<", "<![CDATA[", "</svg", "<a href=\"x>"):
+        assert seconds(piece * (1_000_000 // len(piece))) < 20, piece
