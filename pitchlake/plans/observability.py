@@ -24,14 +24,14 @@ def stage_health(stage_runs: DataFrame) -> DataFrame:
     ).orderBy("stage")
 
 
-def _volumes(stage_runs: DataFrame, stage: str | None) -> DataFrame:
+def volumes(stage_runs: DataFrame, stage: str | None) -> DataFrame:
     kept = stage_runs.where((F.col("status") == fv.SUCCEEDED) & F.col("rows_out").isNotNull())
     return kept if stage is None else kept.where(F.col("stage") == stage)
 
 
 def stage_volume_history(stage_runs: DataFrame, stage: str | None = None) -> DataFrame:
     """Volumes of successful attempts, of one stage or of all."""
-    return _volumes(stage_runs, stage).select(
+    return volumes(stage_runs, stage).select(
         "match_id", "stage", "completed_at", "rows_in", "rows_out"
     ).orderBy(F.col("completed_at").asc_nulls_last(), "match_id", "stage")
 
@@ -45,7 +45,11 @@ def _baseline_sample(frame) -> Column:
     return F.count("*").over(frame)
 
 
-def _volume_status(runs: DataFrame) -> DataFrame:
+#: The ten runs before a run: their median and their number.
+BASELINE = {"baseline_rows": _baseline_rows, "baseline_sample": _baseline_sample}
+
+
+def volume_status(runs: DataFrame) -> DataFrame:
     ratio = F.col("deviation_ratio")
     status = (
         F.when(F.col("baseline_sample") < fv.BASELINE_RUNS, "INSUFFICIENT_HISTORY")
@@ -63,11 +67,8 @@ def _volume_status(runs: DataFrame) -> DataFrame:
 
 def silver_volume_monitor(stage_runs: DataFrame) -> DataFrame:
     """Each Silver run against the median of the ten runs before it."""
-    runs = _volumes(stage_runs, "SILVER").select("match_id", *RUN_ORDER, "rows_out")
-    return _volume_status(rolling(
-        runs, RUN_ORDER, fv.BASELINE_RUNS,
-        {"baseline_rows": _baseline_rows, "baseline_sample": _baseline_sample},
-    ))
+    runs = volumes(stage_runs, "SILVER").select("match_id", *RUN_ORDER, "rows_out")
+    return volume_status(rolling(runs, RUN_ORDER, fv.BASELINE_RUNS, BASELINE))
 
 
 def _volume_health(monitor: DataFrame) -> DataFrame:
@@ -86,13 +87,13 @@ def silver_volume_health(stage_runs: DataFrame) -> DataFrame:
 def newest_volume_health(stage_runs: DataFrame) -> DataFrame:
     """Health of the newest Silver run only: a top-11 instead of the full history."""
     newest = [F.col(c).desc_nulls_last() for c in RUN_ORDER]
-    runs = _volumes(stage_runs, "SILVER").select("match_id", *RUN_ORDER, "rows_out")
+    runs = volumes(stage_runs, "SILVER").select("match_id", *RUN_ORDER, "rows_out")
     recent = runs.orderBy(*newest).limit(fv.BASELINE_RUNS + 1)
     frame = Window.orderBy(*RUN_ORDER).rowsBetween(-fv.BASELINE_RUNS, -1)
     measured = recent.select(
         "*", _baseline_rows(frame).alias("baseline_rows"), _baseline_sample(frame).alias("baseline_sample")
     ).orderBy(*newest).limit(1)
-    return _volume_health(_volume_status(measured))
+    return _volume_health(volume_status(measured))
 
 
 def recent_stage_health(stage_runs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ rows (by event number), so that there is something to find.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -18,7 +19,8 @@ from pitchlake.operators.keyed import replace_by_key, upsert
 from pitchlake.plans import (
     bronze, commits, gold, incremental, marts, observability, partials, profiles, quality, reports, silver,
 )
-from pitchlake.session import cut_lineage
+from pitchlake.plans.volume_state import VolumeMonitor
+from pitchlake.session import checkpoint_dir, cut_lineage
 from pitchlake.sources import driver_tables as tables, raw
 from pitchlake.sources.matches import to_dim_match
 
@@ -675,6 +677,18 @@ def silver_volume_monitor(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(observability.silver_volume_monitor(tables.stage_runs(spark, sf)))
 
 
+@query
+def silver_volume_appended(spark: SparkSession, sf: str) -> DataFrame:
+    """The monitor after three appends, of which the second brings late runs."""
+    runs = tables.stage_runs(spark, sf)
+    monitor = VolumeMonitor(spark, f"{checkpoint_dir(spark)}/volume-{uuid.uuid4().hex}")
+    batch = F.when(F.pmod(F.xxhash64("stage_run_id"), F.lit(50)) == 0, 1).when(
+        F.pmod(F.xxhash64(F.lit(1), "completed_at"), F.lit(2)) == 0, 0).otherwise(2)
+    for n in range(3):
+        monitor.append(runs.where(batch == n), f"append-{n}")
+    return rounded(monitor.read())
+
+
 @query
 def silver_volume_health(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(observability.silver_volume_health(tables.stage_runs(spark, sf)))

@@ -647,6 +647,9 @@ ORACLE: dict[str, str] = {
     "silver_volume_monitor": sql(MONITOR, rounded("""
       SELECT match_id, completed_at, rows_out, baseline_rows, deviation_ratio, volume_status FROM monitor
     """, "baseline_rows deviation_ratio")),
+    "silver_volume_appended": sql(MONITOR, rounded("""
+      SELECT match_id, completed_at, rows_out, baseline_rows, deviation_ratio, volume_status FROM monitor
+    """, "baseline_rows deviation_ratio")),
     "silver_volume_health": sql(MONITOR, rounded("""
       SELECT match_id, completed_at, rows_out, baseline_rows, deviation_ratio, volume_status, health_status
       FROM volume_health""", "baseline_rows deviation_ratio")),
