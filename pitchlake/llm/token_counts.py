@@ -12,6 +12,7 @@ their number follows from their share of all rows.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator, Sequence
 from pathlib import Path
@@ -61,8 +62,68 @@ class Tokenizer:
         encoder = tokenizers.Tokenizer.from_buffer(self.data)
         encoder.no_padding()
         encoder.no_truncation()
-        # the fast call leaves out the places of tokens in the text, not tokens
-        return lambda texts: [len(found) for found in encoder.encode_batch_fast(texts, add_special_tokens=False)]
+
+        def whole(texts: list[str]) -> list[int]:
+            # the fast call leaves out the places of tokens in the text, not tokens
+            return [len(found) for found in encoder.encode_batch_fast(texts, add_special_tokens=False)]
+
+        by_word = WordCounts.of(json.loads(self.data), encoder)
+        if by_word is None:
+            return whole
+        return lambda texts: [by_word(text) if by_word.knows(text) else whole([text])[0] for text in texts]
+
+
+# How a byte-level BPE cuts a text into words, which are encoded each for itself.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+class WordCounts:
+    """Counts of a byte-level BPE's words, each encoded by the library once in a task.
+
+    Cutting into words depends on the classes of characters. Those below ``CHECKED`` are compared with the library's own
+    cutting; a text with any other character, or with the string of an added token, is left to the library as a whole.
+    """
+
+    CHECKED, MOST = 0x3000, 500_000
+
+    @classmethod
+    def of(cls, described: dict, encoder) -> WordCounts | None:
+        """None for a tokenizer that works in another way, or that is told to treat added tokens in a special way."""
+        model, cutter, after = described["model"], described["pre_tokenizer"] or {}, described["post_processor"]
+        byte_level = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space", True)
+        plain = model.get("type") == "BPE" and not model.get("dropout") and not described["normalizer"] and not after
+        flags = ("single_word", "lstrip", "rstrip", "normalized")
+        if not (byte_level and plain) or any(t[f] for t in described["added_tokens"] for f in flags):
+            return None
+        return cls(encoder, [t["content"] for t in described["added_tokens"]])
+
+    def __init__(self, encoder, added: list[str]):
+        import regex
+
+        self.encoder, self.words, self.counts = encoder, regex.compile(WORD_PATTERN), {}
+        known = [c for c in map(chr, range(self.CHECKED)) if self._cut_alike(c)]
+        other = [f"[^{''.join(map(regex.escape, known))}]", *map(regex.escape, added)]
+        self.other = regex.compile("|".join(other))
+
+    def _cut_alike(self, character: str) -> bool:
+        text = f"a{character}1{character} {character}{character}!{character}\n{character}"
+        found = [text[a:b] for _, (a, b) in self.encoder.pre_tokenizer.pre_tokenize_str(text)]
+        return found == self.words.findall(text)
+
+    def knows(self, text: str) -> bool:
+        return not self.other.search(text)
+
+    def __call__(self, text: str) -> int:
+        counts, words = self.counts, self.words.findall(text)
+        try:
+            return sum(map(counts.__getitem__, words))
+        except KeyError:
+            if len(counts) > self.MOST:
+                counts.clear()
+            new = list(set(words).difference(counts))
+            encoded = self.encoder.encode_batch_fast(new, add_special_tokens=False)
+            counts.update(zip(new, map(len, encoded)))
+            return sum(map(counts.__getitem__, words))
 
 
 def content(text: Column) -> Column:

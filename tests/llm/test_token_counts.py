@@ -4,6 +4,8 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pitchlake.llm import registry, token_counts
@@ -106,3 +108,37 @@ def test_two_writers_of_one_digest(spark, cache):
     part = f"{cache}/tokenizer={token_counts.Tokenizer(JSON).version()}"
     spark.createDataFrame(spark.read.parquet(part).collect(), token_counts.CACHE).write.mode("append").parquet(part)
     assert token_counts.count_tokens(docs, JSON, cache).count() == 1
+
+
+def _counter():
+    return token_counts.Tokenizer(JSON).counter()
+
+
+def test_words_are_counted_as_the_library_counts_texts(sf_dir):
+    odd = ["", " ", "  a  b \n\n c", "don't we'll I'm 'S '", "x\u00a0y\u2003z \u3000 w", "caf\u00e9 na\u0308ive \u0661\u0662\u00b2", "a<|endoftext|>b", "\x1c\x1d a\x85b",
+           "\u4e2d\u6587 \U0001f600", "\t\tdef f(x):\r\n    return x+1;;;", "\u200b\u200d\ufeff", "a" * 50_000, " " * 50_000, "1234567 89"]
+    count = _counter()
+    for texts in (odd, [t or "" for t in cases.texts(sf_dir).values()]):
+        assert count(texts) == [brute(t) for t in texts]
+
+
+COUNT = _counter()
+
+
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(max_codepoint=0x3100), st.sampled_from(" \n\t'sdab1<|>"))), max_size=5))
+@settings(max_examples=300, deadline=None)
+def test_any_text_is_counted_as_the_library_counts_it(texts):
+    assert COUNT(texts) == [brute(t) for t in texts]
+
+
+def test_other_tokenizers_count_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = tokenizers.Tokenizer.from_file(path)
+    texts = ["Two Words", "", "a<|endoftext|>b  c"]
+    assert token_counts.Tokenizer(path).counter()(texts) == [len(encoder.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_few_words_are_kept(monkeypatch):
+    monkeypatch.setattr(token_counts.WordCounts, "MOST", 3)
+    texts = [f"word{i} and more{i} of it" for i in range(50)]
+    assert _counter()(texts) == [brute(t) for t in texts]
