@@ -12,7 +12,8 @@ near the borders both ways are used, so that partners on either side meet.
 
 Documents of one index entry are first compared with one of them only, in two rounds, at first with the one that has the
 fewest tokens of its own (of copies with changes, that is the original); links put them into components.
-Then every pair of one entry that still lies in different components is compared. A pair is dropped before that only if its
+Then every pair of one entry that still lies in different components is compared, and in one entry only, if the first tokens of
+both tell which of the many that similar sets share comes first. A pair is dropped before that only if its
 sizes, its unique tokens (which it can't share), or the parities of its tokens in 256 classes prove that it can't link: sets
 differ in at least as many tokens as their parities differ in classes. All comparisons are exact, on whole sets. No link between components is lost, and a
 large group of copies costs a number of comparisons in proportion to its size.
@@ -25,7 +26,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake.llm.components import components
@@ -40,7 +41,9 @@ SMALL = 160
 #: Documents of so many tokens index pairs of frequent tokens; smaller and larger ones index them singly.
 PAIRS_FROM, PAIRS_TO = 8, 400
 #: Tokens that a task gathers before it sends them, and aims at for one group that counts them.
-GATHER, PER_BUCKET = 1 << 20, 1 << 19
+GATHER, PER_BUCKET = 1 << 18, 1 << 19
+#: Tokens of a set that tell in which of their shared pairs two sets are compared.
+HEAD = 12
 #: Up to so many ids (8 bytes each) of documents to compare are broadcast to the scan of the texts; beyond, Spark shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -182,21 +185,26 @@ def repeated_tokens(sets: DataFrame, buckets: int) -> DataFrame:
     return sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(count, "owner long, token long, df int")
 
 
-def index_entries(n: int, n_low: int, high: np.ndarray, tokens: np.ndarray, df: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of a document's index entries. ``tokens``, ``df``: its low tokens that other documents hold as well."""
-    need = most_missing(n, percent) + 1 - (n_low - len(tokens))
+def index_entries(
+    n: int, n_low: int, high: np.ndarray, tokens: np.ndarray, df: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of a document's index entries; the lesser and the greater token of those that are pairs, 0 for others.
+
+    ``tokens``, ``df``: its low tokens that other documents hold as well.
+    """
+    need, none = most_missing(n, percent) + 1 - (n_low - len(tokens)), np.zeros(0, dtype=np.uint64)
     if need <= 0:
-        return np.zeros(0, dtype=np.uint64)
+        return none, none, none
     order = np.lexsort((tokens, df))
     tokens, df = tokens[order], df[order]
     rare = int(np.searchsorted(df, FREQUENT))
     singles = [tokens[: min(rare, need)]]
     need -= len(singles[0])
-    frequent, pairs = tokens[rare:], np.zeros(0, dtype=np.uint64)
+    frequent, pairs, a, b = tokens[rare:], none, none, none
     if need > 0:
         if PAIRS_FROM <= n <= PAIRS_TO:
             chosen = frequent[: need + 1]
-            both = list(combinations(chosen.tolist(), 2))
+            both = list(combinations(np.sort(chosen.view(np.int64)).view(np.uint64).tolist(), 2))
             if both:
                 a, b = np.array(both, dtype=np.uint64).T
                 pairs = mix(a * np.uint64(0xC2B2AE3D27D4EB4F) + b)
@@ -204,12 +212,14 @@ def index_entries(n: int, n_low: int, high: np.ndarray, tokens: np.ndarray, df:
         if n < -(-100 * PAIRS_FROM // percent) or n * 100 > PAIRS_TO * percent:
             chosen = frequent[:need]
             singles += [chosen, high[: max(0, need - len(chosen))]]
-    return np.unique(np.concatenate([mix(np.concatenate(singles) ^ np.uint64(1)), pairs]))
+    single = mix(np.concatenate(singles) ^ np.uint64(1))
+    entry, first = np.unique(np.concatenate([single, pairs]), return_index=True)
+    return entry, *(np.concatenate([np.zeros(len(single), dtype=np.uint64), x])[first] for x in (a, b))
 
 
 def entries(sets: DataFrame, repeated: DataFrame, percent: int) -> DataFrame:
-    """(``entry``, ``fp``, ``n``, ``common``, parities) of every different set that may have a partner; at most ``common``
-    of its tokens are in any other set."""
+    """(``entry``, ``t``, ``u``, ``fp``, ``n``, ``common``, parities) of every different set that may have a partner; at most
+    ``common`` of its tokens are in any other set. ``t`` and ``u`` are the tokens of an entry that is a pair, else 0."""
     fixed = ["fp", "n", "common", *PARITIES]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,10 +228,11 @@ def entries(sets: DataFrame, repeated: DataFrame, percent: int) -> DataFrame:
             for n, n_low, high, seen in zip(*(batch.column(c).to_pylist() for c in ("n", "n_low", "high", "seen"))):
                 tokens = np.array([x["token"] for x in seen or ()], dtype=np.int64).view(np.uint64)
                 df = np.array([x["df"] for x in seen or ()], dtype=np.int32)
-                found.append(index_entries(n, n_low, np.frombuffer(high, np.uint64), tokens, df, percent).view(np.int64))
+                found.append([x.view(np.int64) for x in index_entries(n, n_low, np.frombuffer(high, np.uint64), tokens, df, percent)])
             if found:
-                rows = batch.select(fixed).take(pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found])))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), *rows.columns], names=["entry", *fixed])
+                rows = batch.select(fixed).take(pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found])))
+                made = [pa.array(np.concatenate(x)) for x in zip(*found)]
+                yield pa.RecordBatch.from_arrays([*made, *rows.columns], names=["entry", "t", "u", *fixed])
 
     first = [F.first(c).alias(c) for c in PARITIES]
     nodes = sets.where("n > 0").groupBy("fp", "n").agg(
@@ -235,7 +246,7 @@ def entries(sets: DataFrame, repeated: DataFrame, percent: int) -> DataFrame:
     unique = F.col("n_low") - F.coalesce(F.size("seen"), F.lit(0))
     kinds = "".join(f", {p} long" for p in PARITIES)
     nodes = nodes.join(seen, "owner", "left").where(unique < need).withColumn("common", F.col("n") - unique)
-    return nodes.select(*fixed, "n_low", "high", "seen").mapInArrow(build, f"entry long, fp long, n long, common long{kinds}")
+    return nodes.select(*fixed, "n_low", "high", "seen").mapInArrow(build, f"entry long, t long, u long, fp long, n long, common long{kinds}")
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -247,6 +258,25 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return sizes & (shared * (100 + percent) >= (x + y) * percent) & ((x + y - differing) * (100 + percent) >= (x + y) * (2 * percent))
 
 
+def with_heads(member: DataFrame) -> DataFrame:
+    """``member`` with ``head``: the first ``HEAD`` tokens of the set's entries that are pairs, ascending; empty if there are none."""
+    tokens = member.where("u <> 0").select("fp", F.explode(F.array("t", "u")).alias("token")).distinct()
+    place = F.row_number().over(Window.partitionBy("fp").orderBy("token"))
+    first = tokens.withColumn("place", place).where(F.col("place") <= HEAD)
+    heads = first.groupBy("fp").agg(F.sort_array(F.collect_list("token")).alias("head"))
+    return member.join(heads, "fp", "left").withColumn("head", F.coalesce("head", F.array().cast("array<long>")))
+
+
+def _meet_here(a: str, b: str) -> Column:
+    """Whether two sets (columns with a prefix) are to be compared in this entry, out of all that they share.
+
+    If their heads share two tokens, both sets have the pair of the first two as an entry, and meet in that one only; else in each.
+    """
+    common = F.array_intersect(f"{a}head", f"{b}head")
+    pair = (F.col(f"{a}t") == F.get(common, F.lit(0))) & (F.col(f"{a}u") == F.get(common, F.lit(1)))
+    return (F.size(common) < 2) | F.coalesce(pair, F.lit(False))
+
+
 def _linked(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) whose whole sets are similar enough."""
 
@@ -299,7 +329,7 @@ def similar_groups(documents: DataFrame, key: str = "doc_id", text: str = "text"
     repeated = repeated_tokens(sets, max(1, int(total / PER_BUCKET)))
     found = stored(entries(sets, repeated, percent), "entries")
     shared = found.groupBy("entry").agg(F.min("fp").alias("c"), F.max("fp").alias("d")).where("c <> d").select("entry")
-    index = stored(found.join(shared, "entry").select("entry", "fp", "n", "common", *PARITIES), "index")
+    index = stored(found.join(shared, "entry").select("entry", "t", "u", "fp", "n", "common", *PARITIES), "index")
     owner = sets.groupBy("fp", "n").agg(F.min("key").alias("key"))
     tokens = stored(_whole_sets(documents, key, text, k, owner.join(index.select("fp", "n").distinct(), ["fp", "n"])), "tokens")
 
@@ -318,11 +348,11 @@ def similar_groups(documents: DataFrame, key: str = "doc_id", text: str = "text"
             pairs = pairs.select(F.least("fp", "hub_fp").alias("a"), F.greatest("fp", "hub_fp").alias("b"))
         else:
             open_ = member.groupBy("entry").agg(F.min("comp").alias("c"), F.max("comp").alias("d")).where("c <> d").select("entry")
-            member = stored(member.join(open_, "entry").select("entry", *fixed, "comp"), "open")
-            left, right = (member.select("entry", *[
-                F.col(c).alias(f"{side}{c}") for c in (*fixed, "comp")]) for side in ("x_", "y_"))
+            columns = ["t", "u", *fixed, "comp", "head"]
+            member = stored(with_heads(member.join(open_, "entry").select("entry", *columns[:-1])).select("entry", *columns), "open")
+            left, right = (member.select("entry", *[F.col(c).alias(f"{side}{c}") for c in columns]) for side in ("x_", "y_"))
             pairs = left.join(right, "entry").where(
-                (F.col("x_fp") < F.col("y_fp")) & (F.col("x_comp") != F.col("y_comp")) & _may_link("x_", "y_", percent))
+                (F.col("x_fp") < F.col("y_fp")) & (F.col("x_comp") != F.col("y_comp")) & _may_link("x_", "y_", percent) & _meet_here("x_", "y_"))
             pairs = pairs.select(F.col("x_fp").alias("a"), F.col("y_fp").alias("b"))
         pairs = stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         links = stored(_linked(pairs, tokens, percent), "links")

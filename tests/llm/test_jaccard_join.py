@@ -90,7 +90,7 @@ def test_entries_share_one_when_sets_link():
         y = np.array(sorted(rng.sample(x.tolist(), len(x) - lost)), dtype=np.uint64)
         frequent = rng.random()
         df = {t: jaccard_join.FREQUENT if rng.random() < frequent else 2 for t in x.tolist()}
-        made = [jaccard_join.index_entries(len(s), len(s), np.zeros(0, dtype=np.uint64), s, np.array([df[t] for t in s.tolist()]), percent)
+        made = [jaccard_join.index_entries(len(s), len(s), np.zeros(0, dtype=np.uint64), s, np.array([df[t] for t in s.tolist()]), percent)[0]
                 for s in (x, y)]
         if 100 * len(y) >= percent * len(x):
             assert set(made[0].tolist()) & set(made[1].tolist())
@@ -118,3 +118,45 @@ def test_components_of_a_long_chain(spark):
     found = {r["node"]: r["root"] for r in components(links).collect()}
     assert found == {**{i: 0 for i in range(1, 61)}, 101: 100}
     assert components(links.limit(0)).collect() == []
+
+
+def near_copies(n):
+    """One text of 380 words, each copy with words of its own in four places: close to each other, mostly too far to link."""
+    rng = random.Random(n)
+    base = [f"w{i}" for i in range(380)]
+    docs = {}
+    for d in range(n):
+        words = list(base)
+        for place in rng.sample(range(0, 380, 5), 10):
+            words[place] = f"x{d}y{place}"
+        docs[d] = " ".join(words)
+    return docs
+
+
+def test_pairs_of_a_group_meet_once(spark, monkeypatch):
+    """Near misses share hundreds of entries; the last join makes few more rows than there are pairs, and no link is lost."""
+    made = {}
+    real = jaccard_join.stored
+
+    def counted(df, name):
+        out = real(df, name)
+        made.setdefault(name, []).append(out)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", counted)
+    rows = {}
+    for n in (80, 160):
+        docs = near_copies(n)
+        made.clear()
+        found = result(jaccard_join.similar_groups(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), k=4, percent=85))
+        assert found == brute(docs, 4, 85)
+        if "open" not in made:
+            continue
+        member = made["open"][-1]
+        columns = [c for c in member.columns if c != "entry"]
+        left, right = (member.select("entry", *[member[c].alias(f"{side}{c}") for c in columns]) for side in ("x_", "y_"))
+        pairs = left.join(right, "entry").where("x_fp < y_fp and x_comp <> y_comp")
+        every = pairs.count()
+        rows[n] = pairs.where(jaccard_join._meet_here("x_", "y_")).count(), pairs.select("x_fp", "y_fp").distinct().count(), every
+        assert pairs.where(jaccard_join._meet_here("x_", "y_")).select("x_fp", "y_fp").distinct().count() == rows[n][1]
+    assert rows and all(here <= 1.5 * pairs and every > 50 * pairs for here, pairs, every in rows.values())
