@@ -100,11 +100,23 @@ class Warehouse:
         own = tables.read_part(self.spark, self.path("manifest"), key)
         return own, own.count()
 
-    def ingest_folder(self, landing: str, key: str, attempt: int = 1) -> int | None:
-        """``ingest`` of the files below ``landing`` that no run has looked at, or that ``key`` left unfinished."""
-        seen = self.files().where(F.col("run_key") != key)
-        artifacts = raw.read_new_artifacts(self.spark, landing, seen)
-        return None if artifacts is None else self.ingest(artifacts, key, attempt)
+    def ingest_folder(self, landing: str, key: str, attempt: int = 1, files_per_run: int = raw.FILES_PER_RUN) -> int | None:
+        """``ingest`` of the files below ``landing`` that no run has looked at, or that ``key`` left unfinished.
+
+        A large backlog is taken in by several runs of at most ``files_per_run`` files, whose keys are ``key``, ``key-2``, ``key-3`` and
+        so on. Returns the last Silver commit, or None if nothing was new.
+        """
+        seq, turn = None, 0
+        while True:
+            turn += 1
+            own = key if turn == 1 else f"{key}-{turn}"
+            files = self.files()
+            artifacts = raw.read_new_artifacts(
+                self.spark, landing, files.where(F.col("run_key") != own), files.where(F.col("run_key") == own), files_per_run)
+            if artifacts is None:
+                return seq
+            done = self.ingest(artifacts, own, attempt)
+            seq = seq if done is None else done
 
     def ingest(self, artifacts: DataFrame, key: str, attempt: int = 1) -> int | None:
         """Take artifacts (as read by ``raw.read_artifacts``) through all layers.

@@ -20,15 +20,25 @@ def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
     return describe_artifacts(files)
 
 
-def read_new_artifacts(spark: SparkSession, path: str, seen: DataFrame) -> DataFrame | None:
-    """Landed files whose ``raw_uri`` is not in ``seen``, or None. No other file is opened.
+#: Paths that one run takes from a landing folder, at most; the driver holds that many.
+FILES_PER_RUN = 100_000
 
-    The folder is listed without contents. The new paths are then handed to the reader, as Spark's own listing hands
-    them to it; a very large backlog is best taken in by the stream.
+
+def read_new_artifacts(
+    spark: SparkSession, path: str, seen: DataFrame, first: DataFrame | None = None, most: int = FILES_PER_RUN
+) -> DataFrame | None:
+    """Up to ``most`` landed files whose ``raw_uri`` is not in ``seen``, or None. No other file is opened.
+
+    The folder is listed without contents, and the paths are handed to the reader, as Spark's own listing hands them to it. Those in
+    ``first`` come first, then those that are first in the alphabet.
     """
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).load(path)
     fresh = listed.select(F.col("path").alias("raw_uri")).join(seen.select("raw_uri").distinct(), "raw_uri", "left_anti")
-    paths = [r["raw_uri"] for r in fresh.collect()]
+    order = [F.col("raw_uri")]
+    if first is not None:
+        known = first.select("raw_uri").distinct().withColumn("known", F.lit(0))
+        fresh, order = fresh.join(known, "raw_uri", "left"), [F.col("known").asc_nulls_last(), *order]
+    paths = [r["raw_uri"] for r in fresh.orderBy(*order).limit(most).collect()]
     return describe_artifacts(spark.read.text(paths, wholetext=True)) if paths else None
 
 

@@ -182,6 +182,24 @@ def test_a_newer_version_during_publishing_is_a_conflict(spark, places, monkeypa
     assert {r["source_version"] for r in warehouse.gold_team.read().collect()} == {2}
 
 
+def test_a_backlog_is_taken_in_by_bounded_runs(spark, places, monkeypatch):
+    landing, warehouse = places
+    for match in range(1, 6):
+        matches.land(landing, match)
+    with monkeypatch.context() as patch:  # the second run is interrupted after it has registered its files
+        publish = warehouse._to_silver
+        patch.setattr(warehouse, "_to_silver", lambda a, key, n: 1 / 0 if key == "day-2" and warehouse.register(a, key) else publish(a, key, n))
+        with pytest.raises(ZeroDivisionError):
+            warehouse.ingest_folder(str(landing), "day", files_per_run=2)
+    assert len(silver_state(warehouse)) == 2
+    matches.land(landing, 6, name="a.json")
+    assert warehouse.ingest_folder(str(landing), "day", files_per_run=2) == 3
+    assert silver_state(warehouse) == {(m, 1): 17 for m in range(1, 7)}
+    assert {r["run_key"] for r in warehouse.files().select("run_key").distinct().collect()} == {"day", "day-2", "day-3"}
+    assert warehouse.ingest_folder(str(landing), "day", files_per_run=2) is not None  # finished runs are looked at again
+    assert len(silver_state(warehouse)) == 6 and warehouse.silver.last() == 3
+
+
 def test_maintenance_changes_nothing(spark, places):
     landing, warehouse = places
     for day in range(1, 4):
