@@ -686,7 +686,7 @@ def silver_volume_appended(spark: SparkSession, sf: str) -> DataFrame:
         F.pmod(F.xxhash64(F.lit(1), "completed_at"), F.lit(2)) == 0, 0).otherwise(2)
     for n in range(3):
         monitor.append(runs.where(batch == n), f"append-{n}")
-    return rounded(monitor.read())
+    return rounded(monitor.read().withColumn("completed_at", F.col("completed_at").cast(runs.schema["completed_at"].dataType)))
 
 
 @query
