@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitchlake import schemas
+from pitchlake.plans import partials
 from pitchlake.plans.commits import CommitConflict
 from pitchlake.plans.incremental import match_ids
 from pitchlake.plans.warehouse import Warehouse
@@ -254,14 +255,13 @@ def test_two_streams_do_not_share_keys(spark, places, tmp_path):
 
 
 def test_broken_facts_stay_hidden_and_rebuild_repairs(spark, places, monkeypatch):
-    from pitchlake.plans import gold
     landing, warehouse = places
     matches.land(landing, 1)
     matches.land(landing, 2)
-    right = gold.fact_gold_team
+    right = partials.team_facts
     with monkeypatch.context() as patch:
         wrong = F.when(F.col("match_id") == 2, F.col("shots") + 5).otherwise(F.col("shots"))
-        patch.setattr(gold, "fact_gold_team", lambda rows: right(rows).withColumn("shots", wrong))
+        patch.setattr(partials, "team_facts", lambda parts: right(parts).withColumn("shots", wrong))
         warehouse.ingest(raw.read_artifacts(spark, str(landing)), "day-1")
     assert {r["match_id"] for r in warehouse.gold_team.read().collect()} == {1}
     assert {r["match_id"] for r in warehouse.gold_intervals.read().collect()} == {1, 2}
