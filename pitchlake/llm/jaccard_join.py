@@ -26,7 +26,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.llm.components import components
@@ -260,10 +260,9 @@ def _may_link(a: str, b: str, percent: int) -> Column:
 
 def with_heads(member: DataFrame) -> DataFrame:
     """``member`` with ``head``: the first ``HEAD`` tokens of the set's entries that are pairs, ascending; empty if there are none."""
-    tokens = member.where("u <> 0").select("fp", F.explode(F.array("t", "u")).alias("token")).distinct()
-    place = F.row_number().over(Window.partitionBy("fp").orderBy("token"))
-    first = tokens.withColumn("place", place).where(F.col("place") <= HEAD)
-    heads = first.groupBy("fp").agg(F.sort_array(F.collect_list("token")).alias("head"))
+    # a set of PAIRS_TO tokens has some sixty in its pairs at most
+    heads = member.where("u <> 0").groupBy("fp").agg(F.collect_set("t").alias("ts"), F.collect_set("u").alias("us"))
+    heads = heads.select("fp", F.slice(F.sort_array(F.array_union("ts", "us")), 1, HEAD).alias("head"))
     return member.join(heads, "fp", "left").withColumn("head", F.coalesce("head", F.array().cast("array<long>")))
 
 
