@@ -4,13 +4,11 @@ Every line is parsed down a tree of fixed depth: first its number of tokens, the
 Tokens that carry digits, addresses or links are variable fields and are generalised on the way, as is everything between the
 leading and the last tokens. Lines that end in the same leaf share a template.
 
-A template that recurs in ``min_docs`` documents is dropped from all of them, unless it only recurs because whole
-documents were copied: where most of the text around it recurs too, its documents are copies of each other, and choosing
-one of those is the business of document de-duplication. So the lines of copied documents stay, and boilerplate goes.
-
-With ``copies_vote_once``, that is decided by document instead of by template: a document whose other text mostly recurs is a copy,
-all copies with the same longest recurring line count as one document, and all others count each for itself. Then a line of more
-than ``LONG`` tokens is dropped if it is in two documents already, as it does not recur by chance; such lines are compared whole.
+A template that recurs in ``min_docs`` documents is dropped from all of them, where copies count as one document: choosing
+one of several copies is the business of document de-duplication, so the lines of copied documents stay, and boilerplate goes.
+A document whose other text mostly recurs is a copy; all copies with the same longest recurring line have one vote together, and
+every other document has its own. A line of more than ``LONG`` tokens is dropped if it has two votes already, as it does not
+recur by chance; such lines are compared whole.
 """
 
 from __future__ import annotations
@@ -22,7 +20,7 @@ from pitchlake.llm.storage import stored
 
 #: Depth of the tree below the token count: leading tokens, and tokens at the end of longer lines.
 LEADING, LAST = 8, 4
-#: A recurring template is boilerplate if at most this share (percent, by tokens) of its documents' text recurs.
+#: A document is a copy, as seen from one of its lines, if more than this share (percent, by tokens) of its other text recurs.
 COPIED_PERCENT = 60
 #: A line of more tokens is a passage, which recurs from two documents on, if at most so many of its compared tokens are variable.
 LONG, VARIABLE = 50, 4
@@ -35,11 +33,11 @@ def _generalised(tokens: Column) -> Column:
     return F.regexp_replace(F.lower(tokens), r"[^ ]*(?:[0-9@]|://)[^ ]*", "<*>")
 
 
-def templates(documents: DataFrame, text: str = "text", whole_passages: bool = False) -> DataFrame:
-    """One row per non-blank line: ``doc_key``, ``line_no`` (from 0), ``n_tokens``, ``template`` (a 128-bit hash),
+def templates(documents: DataFrame, text: str = "text") -> DataFrame:
+    """One row per non-blank line: ``doc_key``, ``line_no`` (from 0), ``n_tokens``, ``template`` (a 92-bit hash),
     ``passage`` (a long line with few variable fields).
 
-    With ``whole_passages`` lines of more than ``LONG`` tokens share a template only if they agree, generalised, from end to end.
+    Lines of more than ``LONG`` tokens share a template only if they agree, generalised, from end to end.
     Fields are separated by spaces, tabs or carriage returns; lines by line feeds only.
     """
     lines = documents.select(
@@ -56,10 +54,11 @@ def templates(documents: DataFrame, text: str = "text", whole_passages: bool = F
             F.call_function("substring_index", F.col("line"), F.lit(" "), -F.least(F.lit(LAST), F.col("n_tokens") - LEADING)))),
     )
     passage = (F.col("n_tokens") > LONG) & (F.size(F.split(leaf, r"<\*>")) - 1 <= VARIABLE)
-    if whole_passages:
-        leaf = F.concat_ws("\n", leaf, F.when(F.col("n_tokens") > LONG, _generalised(F.col("line"))))
+    leaf = F.concat_ws("\n", leaf, F.when(F.col("n_tokens") > LONG, _generalised(F.col("line"))))
+    # ``a`` decides between lines of one length, so it is a digest that SQL has as well
     return parsed.select("doc_key", "line_no", "n_tokens", F.struct(
-        F.xxhash64(leaf).alias("a"), F.hash(F.lit(7), leaf).alias("b")).alias("template"), passage.alias("passage"))
+        F.conv(F.substring(F.md5(leaf), 1, 15), 16, 10).cast("long").alias("a"), F.hash(F.lit(7), leaf).alias("b")).alias("template"),
+        passage.alias("passage"))
 
 
 def _doc_key(documents: DataFrame, text: str) -> Column:
@@ -74,23 +73,6 @@ def _salted(small: DataFrame) -> DataFrame:
 
 def boilerplate(lines: DataFrame, min_docs: int, copied_percent: int = COPIED_PERCENT) -> DataFrame:
     """The templates to drop. ``lines``: as :func:`templates` gives them."""
-    per_doc = lines.groupBy("template", "doc_key").agg(F.sum("n_tokens").alias("tokens"))
-    recurring = per_doc.groupBy("template").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
-    salt = F.pmod(F.col("doc_key.a"), F.lit(SALTS)).cast("int").alias("salt")
-    known = per_doc.select("*", salt).join(_salted(recurring.select("template")), ["template", "salt"])
-    # what recurs in each document, against all its tokens
-    share = known.groupBy("doc_key").agg(F.sum("tokens").alias("recurring_tokens"))
-    total = lines.groupBy("doc_key").agg(F.sum("n_tokens").alias("all_tokens"))
-    shares = share.join(total, "doc_key")
-    return (
-        known.select("doc_key", "template").join(shares, "doc_key").groupBy("template")
-        .agg(F.sum("recurring_tokens").alias("r"), F.sum("all_tokens").alias("t"))
-        .where(F.col("r") * 100 <= F.col("t") * copied_percent).select("template")
-    )
-
-
-def voted(lines: DataFrame, min_docs: int, copied_percent: int = COPIED_PERCENT) -> DataFrame:
-    """The templates to drop if copies vote once. ``lines``: as :func:`templates` gives them."""
     per_doc = lines.groupBy("template", "doc_key").agg(F.sum("n_tokens").alias("tokens"), F.max("passage").alias("passage"))
     recurring = per_doc.groupBy("template").agg(F.count("*").alias("docs")).where("docs >= 2").select("template")
     salt = F.pmod(F.col("doc_key.a"), F.lit(SALTS)).cast("int").alias("salt")
@@ -110,7 +92,6 @@ def voted(lines: DataFrame, min_docs: int, copied_percent: int = COPIED_PERCENT)
 
 def drop_recurring_lines(
     documents: DataFrame, text: str = "text", min_docs: int = 10, copied_percent: int = COPIED_PERCENT,
-    copies_vote_once: bool = False,
 ) -> DataFrame:
     """``documents`` with their boilerplate lines removed, and the columns ``n_lines`` and ``n_dropped``.
 
@@ -120,9 +101,8 @@ def drop_recurring_lines(
     """
     kept_columns = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
     documents = documents.select(*[F.col(f"`{c}`") for c in kept_columns])
-    lines = templates(documents, text, whole_passages=copies_vote_once)
-    lines = stored(lines if copies_vote_once else lines.drop("passage"), "lines")
-    drops = (voted if copies_vote_once else boilerplate)(lines, min_docs, copied_percent)
+    lines = stored(templates(documents, text), "lines")
+    drops = boilerplate(lines, min_docs, copied_percent)
     salt = F.pmod(F.col("doc_key.a"), F.lit(SALTS)).cast("int").alias("salt")
     gone = (
         lines.select("doc_key", "line_no", "template", salt).join(_salted(drops), ["template", "salt"])

@@ -120,16 +120,23 @@ WITH parts AS (SELECT doc_id, text, string_split(text, chr(10)) AS p FROM docume
 raw AS (SELECT doc_id, unnest(range(len(p))) AS line_no, unnest(p) AS line FROM parts WHERE text IS NOT NULL),
 clean AS (SELECT doc_id, line_no, trim(regexp_replace(line, '[ \\t\\r]+', ' ', 'g'), ' ') AS line FROM raw),
 toks AS (SELECT doc_id, line_no, string_split(line, ' ') AS w FROM clean WHERE line <> ''),
-leaf AS (SELECT doc_id, line_no, len(w) AS n,
-         len(w)::VARCHAR || chr(10)
-         || regexp_replace(lower(array_to_string(w[1:8], ' ')), '[^ ]*(?:[0-9@]|://)[^ ]*', '<*>', 'g') || chr(10)
-         || CASE WHEN len(w) > 8 THEN regexp_replace(lower(array_to_string(w[greatest(9, len(w) - 3):], ' ')),
-                                                     '[^ ]*(?:[0-9@]|://)[^ ]*', '<*>', 'g') ELSE '' END AS t
-         FROM toks),
-df AS (SELECT t FROM leaf GROUP BY t HAVING count(DISTINCT doc_id) >= 10),
-total AS (SELECT doc_id, sum(n) AS a, sum(n) FILTER (WHERE t IN (SELECT t FROM df)) AS r FROM leaf GROUP BY doc_id),
-pairs AS (SELECT DISTINCT t, doc_id FROM leaf WHERE t IN (SELECT t FROM df)),
-drops AS (SELECT t FROM pairs JOIN total USING (doc_id) GROUP BY t HAVING sum(r) * 100 <= sum(a) * 60),
+parsed AS (SELECT doc_id, line_no, len(w) AS n, concat_ws(chr(10), len(w)::VARCHAR,
+           regexp_replace(lower(array_to_string(w[1:8], ' ')), '[^ ]*(?:[0-9@]|://)[^ ]*', '<*>', 'g'),
+           CASE WHEN len(w) > 8 THEN regexp_replace(lower(array_to_string(w[greatest(9, len(w) - 3):], ' ')),
+                                                    '[^ ]*(?:[0-9@]|://)[^ ]*', '<*>', 'g') END) AS ends,
+           CASE WHEN len(w) > 50 THEN regexp_replace(lower(array_to_string(w, ' ')), '[^ ]*(?:[0-9@]|://)[^ ]*', '<*>', 'g') END AS whole
+           FROM toks),
+leaf AS (SELECT doc_id, line_no, n, concat_ws(chr(10), ends, whole) AS t,
+         n > 50 AND length(ends) - length(replace(ends, '<*>', '')) <= 3 * 4 AS passage FROM parsed),
+per AS (SELECT doc_id, t, sum(n) AS k, bool_or(passage) AS passage FROM leaf GROUP BY doc_id, t),
+known AS (SELECT *, ('0x' || substr(md5(t), 1, 15))::BIGINT AS digest FROM per
+          WHERE t IN (SELECT t FROM per GROUP BY t HAVING count(*) >= 2)),
+share AS (SELECT doc_id, sum(k) AS r, max({'k': k, 'digest': digest}).digest AS longest FROM known GROUP BY doc_id),
+total AS (SELECT doc_id, sum(n) AS a FROM leaf GROUP BY doc_id),
+ballots AS (SELECT t, passage, doc_id, longest, (r - k) * 100 > (a - k) * 60 OR a = k AS copy
+            FROM known JOIN share USING (doc_id) JOIN total USING (doc_id)),
+drops AS (SELECT t FROM ballots GROUP BY t HAVING count(DISTINCT longest) FILTER (WHERE copy)
+          + count(DISTINCT doc_id) FILTER (WHERE NOT copy) >= CASE WHEN bool_or(passage) THEN 2 ELSE 10 END),
 gone AS (SELECT doc_id, line_no FROM leaf WHERE t IN (SELECT t FROM drops)),
 kept AS (SELECT r.doc_id, string_agg(r.line, chr(10) ORDER BY r.line_no) AS text
          FROM raw r ANTI JOIN gone g ON r.doc_id = g.doc_id AND r.line_no = g.line_no GROUP BY r.doc_id),

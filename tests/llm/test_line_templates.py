@@ -1,4 +1,5 @@
 import corpus_pipeline
+import duckdb
 from tests.llm.cases import AWKWARD, awkward, empty, with_clashes
 
 from pitchlake.llm import line_templates, registry
@@ -59,11 +60,35 @@ def test_awkward_rows(spark):
 def test_many_lines(spark):
     text = "\n".join(["keep this line of one document"] + ["drop me"] * 20_000)
     docs = frame(spark, [text] + [f"{own(i)}\n{own(i + 30)} more\ndrop me" for i in range(20)])
-    # most of the long document recurs, but most of the others' text doesn't
-    found = result(line_templates.drop_recurring_lines(docs, copied_percent=99))
+    # most of the long document recurs, but nothing beside the line itself
+    found = result(line_templates.drop_recurring_lines(docs))
     assert found[0] == ("keep this line of one document", 20_001, 20_000)
 
 
+def test_copies_have_one_vote(spark):
+    def texts(n):
+        copies = [[f"{own(500 + g)}\nsecond line of group {chr(97 + g)}\nread our terms before you go on"] * 7 for g in range(n)]
+        return sum(copies, [])
+
+    few, many = (result(line_templates.drop_recurring_lines(frame(spark, texts(n)))) for n in (9, 10))
+    assert all(n == 0 for _, _, n in few.values()) and all(n == 1 and "terms" not in t for t, _, n in many.values())
+
+
+def test_passages_against_sql(spark, tmp_path):
+    passage = " ".join(f"pass{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(55))
+    line = "subscribe to our letter for more of this"
+    texts = [f"{own(i)}\n{line}\n{own(i + 300)} more" for i in range(12)] + [f"{own(i)}\n{passage}\n{own(i + 300)} more" for i in (20, 21)]
+    texts += [f"{own(700)}\nfirst line of a copied text\nlast line of a copied text\n{line}"] * 30 + ["", None, " \n\n", line, f"{passage} 7", f"{passage} 8"]
+    docs = frame(spark, texts)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = result(registry.op10_line_dedup(spark, str(tmp_path)))
+    with duckdb.connect() as own_tables:
+        own_tables.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        expected = {r[0]: (r[3], r[1], r[2]) for r in own_tables.execute(registry.ORACLE["op10_line_dedup"]).fetchall()}
+    assert found == expected
+    assert all(found[i][2] == 1 for i in (*range(14), 14, 43))
+
+
 def test_a_large_copy_group_does_not_rescue_boilerplate(spark, tmp_path):
     line = "subscribe to our letter for more of this"
     unrelated = [f"{own(i)}\n{line}\n{own(i + 300)} more" for i in range(40)]
