@@ -30,7 +30,9 @@ SALTS = 16
 
 def _generalised(tokens: Column) -> Column:
     """Lower case, with links, addresses and tokens that hold digits replaced by a mark."""
-    return F.regexp_replace(F.lower(tokens), r"[^ ]*(?:[0-9@]|://)[^ ]*", "<*>")
+    # a match begins where a token does, so that other tokens are read once and not from each of their letters
+    marked = F.regexp_replace(F.lower(tokens), r"(?<![^ ])[^ ]*?(?:[0-9@]|://)[^ ]*", "<*>")
+    return F.when(tokens.rlike("[0-9@]|://"), marked).otherwise(F.lower(tokens))
 
 
 def templates(documents: DataFrame, text: str = "text") -> DataFrame:

@@ -30,6 +30,14 @@ def test_variable_fields_share_a_template(spark):
     assert all(found[i] == (f"{own(i)}\n\nsecond {own(i)}", 4, 1) for i in range(12))
 
 
+def test_variable_fields(spark):
+    tokens = ["Plain", "a1", "1a", "7", "@", "x@y", "http://Host/a", "://", ":/", "a:b", "\u00a0x\u00a09", "caf\u00c9", "<*>", ":://", "a\u20281"]
+    lines = [" ".join(tokens[i:] + tokens[:i]) for i in range(len(tokens))]
+    expected = [" ".join("<*>" if "://" in t or any(c in "0123456789@" for c in t) else t.lower() for t in line.split(" ")) for line in lines]
+    df = frame(spark, lines)
+    assert [r[0] for r in df.orderBy("doc_id").select(line_templates._generalised(df["text"])).collect()] == expected
+
+
 def test_the_middle_of_long_lines_is_variable(spark):
     line = "this site uses small files to remember what {} chose on earlier visits to it"
     texts = [f"{own(i)}\n{line.format('reader' + chr(97 + i))}" for i in range(10)]
