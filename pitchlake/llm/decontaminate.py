@@ -8,7 +8,8 @@ space, in which the items, however rarely they leaked, weigh as much as all pass
 holds enough of an item in that space, whatever else it holds; it leaks if the longest common subsequence with the item is
 long, or, for paraphrases, of middle length while the item's answer (its last sentence) is there as well.
 
-The benchmark is a stated set of queries. It is processed in blocks of items, which bounds every model.
+The benchmark is a stated set of queries. It is processed in blocks of items, which bounds every model. The documents' words are
+hashed once and stored as numbers of the benchmark's words, which all steps read.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.words import ROWS, SIGNS, mix, shingles, word_hashes
+from pitchlake.llm.storage import stored
+from pitchlake.llm.words import ROWS, SIGNS, shingles, word_hashes
 
 #: Words of a passage, and from one passage to the next.
 WIDTH, STEP = 48, 24
@@ -30,8 +32,6 @@ WIDTH, STEP = 48, 24
 ITEMS = 500
 #: Directions of the sketch beyond the number of items.
 OVERSAMPLE = 16
-#: Documents from whose words the term weights are made, about, if there are so many.
-SAMPLE = 20_000
 #: Terms in more than this share of the documents have no weight.
 FREQUENT = 0.1
 #: Least share of an item's words that have a weight.
@@ -48,12 +48,13 @@ STRETCH = 1.4
 
 @dataclass
 class Block:
-    """A block of items: word hashes of each, its answers, and the model over the sorted vocabulary ``terms``."""
+    """A block of items: word numbers of each, its answers, and the model over the sorted vocabulary ``terms``."""
 
     ids: list
     words: list[np.ndarray]
     answers: list[np.ndarray]
     terms: np.ndarray
+    place: np.ndarray  # of every word number among the terms, -1 for others
     weights: np.ndarray | None = None
     other: float = 0.0  # weight of words outside the vocabulary
     latent: np.ndarray | None = None  # terms x directions
@@ -70,18 +71,28 @@ def _answer(text: str) -> str:
     return " ".join(last if len(last) >= 3 else words[-max(3, len(words) // 4) :])
 
 
-def blocks(benchmark: list[tuple[int, str | None]]) -> Iterator[Block]:
+def blocks(benchmark: list[tuple[int, str | None]]) -> tuple[np.ndarray, Iterator[Block]]:
+    """The sorted hashes of all items' words, and the blocks. A word's number is its place there, from 1; 0 is any other word."""
     items = [(i, t) for i, t in benchmark if t is not None]
-    for first in range(0, len(items), ITEMS):
-        part = items[first : first + ITEMS]
-        hashes, counts = word_hashes(pa.array([t for _, t in part], pa.string()), SIGNS)
-        words = np.split(hashes, np.cumsum(counts)[:-1])
-        hashes, counts = word_hashes(pa.array([_answer(t) for _, t in part], pa.string()), SIGNS)
-        answers = np.split(hashes, np.cumsum(counts)[:-1])
-        kept = [k for k, w in enumerate(words) if len(w) >= 3]
-        if kept:
-            chosen = [words[k] for k in kept]
-            yield Block([part[k][0] for k in kept], chosen, [answers[k] for k in kept], np.unique(np.concatenate(chosen)))
+
+    def split(texts: list[str]) -> list[np.ndarray]:
+        hashes, counts = word_hashes(pa.array(texts, pa.string()), SIGNS)
+        return np.split(hashes, np.cumsum(counts)[:-1])
+
+    words, answers = split([t for _, t in items]), split([_answer(t) for _, t in items])
+    vocabulary = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *(x for w, a in zip(words, answers) if len(w) >= 3 for x in (w, a))]))
+
+    def made() -> Iterator[Block]:
+        for first in range(0, len(items), ITEMS):
+            kept = [k for k in range(first, min(first + ITEMS, len(items))) if len(words[k]) >= 3]
+            if kept:
+                chosen, last = ([np.searchsorted(vocabulary, x[k]) + 1 for k in kept] for x in (words, answers))
+                terms = np.unique(np.concatenate(chosen))
+                place = np.full(len(vocabulary) + 1, -1, dtype=np.int64)
+                place[terms] = np.arange(len(terms))
+                yield Block([items[k][0] for k in kept], chosen, last, terms, place)
+
+    return vocabulary, made()
 
 
 def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,60 +101,98 @@ def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(first, ROWS)
 
 
-def _pairs(words: np.ndarray) -> np.ndarray:
-    """A hash of each word and the next."""
-    return mix(words[:-1] * np.uint64(0xD6E8FEB86659FD93) + words[1:])
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Runs of ``values``, as many as ``counts`` tells, as binary."""
+    ends = np.concatenate(([0], np.cumsum(counts))) * values.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(values)]).cast(pa.binary())
 
 
-def _document_frequencies(documents: DataFrame, text: str, block: Block) -> tuple[np.ndarray, int]:
-    """How many documents hold each term, and their number: a sample by content, in which copies count once.
+def _flat(lists: pa.Array, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """(values, number of each) of binary runs."""
+    if not len(lists):
+        return np.zeros(0, dtype=dtype), np.zeros(0, dtype=np.int64)
+    lists = lists.cast(pa.large_binary())
+    ends = np.frombuffer(lists.buffers()[1], np.int64)[lists.offset : lists.offset + len(lists) + 1] // dtype.itemsize
+    data = lists.buffers()[2]
+    values = np.frombuffer(data, dtype)[ends[0] : ends[-1]] if data is not None and ends[-1] > ends[0] else np.zeros(0, dtype=dtype)
+    return values, np.diff(ends)
 
-    A document's fingerprint is its least three-word shingle, which near copies mostly share. A word that stands beside the same
-    word as in an item is not counted, as it may be leaked.
+
+def word_numbers(documents: DataFrame, key: str, text: str, vocabulary: np.ndarray) -> DataFrame:
+    """(``key``, ``print``, ``words``): each document's fingerprint, null without words, and the numbers of its words in order.
+
+    The fingerprint is the least three-word shingle, which near copies mostly share.
     """
-    terms, rows = block.terms, documents.count()
-    below = np.uint64(min(1.0, SAMPLE / max(rows, 1)) * (2**64 - 2**12))
-    leaked = np.unique(np.concatenate([_pairs(w) for w in block.words]))
+    dtype = np.min_scalar_type(len(vocabulary))
 
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, list[int]] = {}
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _small(batches):
-            hashes, counts = word_hashes(batch.column(0), SIGNS)
+            hashes, counts = word_hashes(batch.column(1), SIGNS)
+            at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+            numbers = np.where(vocabulary[at] == hashes, at + 1, 0).astype(dtype)
             made, number = shingles(hashes, counts, 3)
             held = np.flatnonzero(number)
-            if not len(held):
-                continue
-            prints = mix(np.minimum.reduceat(made, (np.cumsum(number) - number)[held]))
-            first = np.concatenate(([0], np.cumsum(counts)))
-            for doc, print_ in zip(held[prints <= below], prints[prints <= below].view(np.int64).tolist()):
-                words = hashes[first[doc] : first[doc + 1]]
-                shared = np.isin(_pairs(words), leaked)
-                free = words[~(np.append(shared, False) | np.append(False, shared))]
-                at = np.minimum(np.searchsorted(terms, free), len(terms) - 1)
-                held_terms = [-1, *np.unique(at[terms[at] == free]).tolist()]
-                found[print_] = max(found.get(print_, held_terms), held_terms)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.list_(pa.int32()))], names=["print", "terms"])
+            prints = np.zeros(len(batch), dtype=np.uint64)
+            if len(held):
+                prints[held] = np.minimum.reduceat(made, (np.cumsum(number) - number)[held])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(prints.view(np.int64), mask=number == 0), _lists(numbers, counts)], names=["key", "print", "words"])
 
-    once = documents.select(text).mapInArrow(chosen, "print long, terms array<int>").groupBy("print").agg(F.max("terms").alias("terms"))
-    counted = once.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).toArrow()
+    kind = documents.schema[key].dataType.simpleString()
+    return documents.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(scan, f"key {kind}, print long, words binary")
+
+
+def _document_frequencies(documents: DataFrame, dtype: np.dtype, block: Block) -> tuple[np.ndarray, int]:
+    """How many documents hold each term, and their number: over all documents (of word numbers), in which copies count once.
+
+    Of documents with one fingerprint one counts. A word that stands beside the same word as in an item is not counted, as it
+    may be leaked.
+    """
+    n = len(block.terms)
+    leaked = np.unique(np.concatenate([block.place[w[:-1]] * n + block.place[w[1:]] for w in block.words]))
+    wire = np.min_scalar_type(n).newbyteorder(">")  # as bytes in the order of the numbers
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _small(batches):
+            numbers, counts = _flat(batch.column(1), dtype)
+            place = block.place[numbers]
+            known = np.flatnonzero(place >= 0)
+            term, owner = place[known], np.repeat(np.arange(len(counts)), counts)[known]
+            pairs = term[:-1] * n + term[1:]
+            beside = (known[1:] == known[:-1] + 1) & (owner[1:] == owner[:-1])
+            shared = beside & (leaked[np.minimum(np.searchsorted(leaked, pairs), len(leaked) - 1)] == pairs)
+            free = ~(np.append(shared, False) | np.append(False, shared)) if len(known) else np.zeros(0, dtype=bool)
+            found = np.unique(owner[free] * n + term[free])
+            number = np.bincount(found // n, minlength=len(counts))
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists((found % n).astype(wire), number)], names=["print", "terms"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, rows = np.zeros(n, dtype=np.int64), 0
+        for batch in batches:
+            found += np.bincount(_flat(batch.column(0), wire)[0], minlength=n)
+            rows += len(batch)
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *some], pa.int32()), pa.array([rows, *found[some]], pa.int64())], names=["term", "n"])
+
+    once = documents.where("print is not null").select("print", "words").mapInArrow(held, "print long, terms binary")
+    once = once.groupBy("print").agg(F.max("terms").alias("terms")).select("terms")
+    counted = once.mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     found = dict(zip(counted.column(0).to_pylist(), counted.column(1).to_pylist()))
-    return np.array([found.get(i, 0) for i in range(len(terms))]), found.get(-1, 0)
+    return np.array([found.get(i, 0) for i in range(n)]), found.get(-1, 0)
 
 
-def passages(texts: pa.Array, block: Block) -> tuple:
+def passages(numbers: np.ndarray, counts: np.ndarray, block: Block) -> tuple:
     """Sparse rows of all passages that hold a weighted term.
 
-    Returns the words and their number per text; per passage its text, first word and the length of its vector, to which its
-    other words contribute; per entry its passage, term, weight.
+    Returns the first word of each text; per passage its text, first word and the length of its vector, to which its other
+    words contribute; per entry its passage, term, weight.
     """
-    hashes, counts = word_hashes(texts, SIGNS)
     first = np.concatenate(([0], np.cumsum(counts)))
     number = np.where(counts > WIDTH, -(-(counts - WIDTH) // STEP) + 1, (counts > 0).astype(np.int64))
     base = np.concatenate(([0], np.cumsum(number)))
-    at = np.minimum(np.searchsorted(block.terms, hashes), len(block.terms) - 1)
-    known = np.flatnonzero(block.terms[at] == hashes)
-    owner = np.searchsorted(first, known, "right") - 1
+    at = block.place[numbers]
+    known = np.flatnonzero(at >= 0)
+    owner = np.repeat(np.arange(len(counts)), counts)[known]
     local = known - first[owner]
     # word t lies in the passages from (t - WIDTH) // STEP + 1 to t // STEP that exist
     rows, terms = [], []
@@ -163,7 +212,7 @@ def passages(texts: pa.Array, block: Block) -> tuple:
     weighted = weight > 0
     row, term, weight = row[weighted], term[weighted], weight[weighted]
     squared = np.bincount(row, weight * weight, minlength=len(text_of)) + others * block.other**2
-    return hashes, first, text_of, start, np.sqrt(squared), row, term, weight
+    return first, text_of, start, np.sqrt(squared), row, term, weight
 
 
 def _dense(row: np.ndarray, term: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -185,7 +234,7 @@ def _slices(row: np.ndarray, entries: int = 2_000) -> Iterator[slice]:
         at = stop
 
 
-def _gram_sketch(documents: DataFrame, text: str, block: Block, omega: np.ndarray) -> tuple[np.ndarray, float]:
+def _gram_sketch(documents: DataFrame, dtype: np.dtype, block: Block, omega: np.ndarray) -> tuple[np.ndarray, float]:
     """The passages' Gram matrix times ``omega``, and its trace, summed over all tasks by Spark."""
     n, r = omega.shape
     rows_of_part = 128
@@ -193,7 +242,7 @@ def _gram_sketch(documents: DataFrame, text: str, block: Block, omega: np.ndarra
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, trace = np.zeros((n, r), dtype=np.float32), 0.0
         for batch in _small(batches):
-            *_, length, row, term, weight = passages(batch.column(0), block)
+            *_, length, row, term, weight = passages(*_flat(batch.column(0), dtype), block)
             weight = weight / length[row]
             trace += float((weight * weight).sum())
             for part in _slices(row):
@@ -209,7 +258,7 @@ def _gram_sketch(documents: DataFrame, text: str, block: Block, omega: np.ndarra
         values = sum(np.frombuffer(v.as_py(), np.float32).astype(np.float64) for v in group.column("values"))
         return pa.table({"part": group.column("part").slice(0, 1), "values": pa.array([values.tobytes()], pa.binary())})
 
-    summed = documents.select(text).mapInArrow(sketch, "part int, values binary").groupBy("part").applyInArrow(
+    summed = documents.select("words").mapInArrow(sketch, "part int, values binary").groupBy("part").applyInArrow(
         add, "part int, values binary").toArrow()  # terms x directions numbers
     by_part = {p: np.frombuffer(v, np.float64) for p, v in zip(summed.column(0).to_pylist(), summed.column(1).to_pylist())}
     trace = float(by_part.pop(-1, np.zeros(1))[0])
@@ -217,14 +266,14 @@ def _gram_sketch(documents: DataFrame, text: str, block: Block, omega: np.ndarra
     return made, trace
 
 
-def fit(documents: DataFrame, text: str, block: Block, seed: int = 11) -> None:
-    """Term weights over all documents, then the latent space over all passages and items."""
-    df, n = _document_frequencies(documents, text, block)
+def fit(documents: DataFrame, dtype: np.dtype, block: Block, seed: int = 11) -> None:
+    """Term weights over all documents (of word numbers), then the latent space over all passages and items."""
+    df, n = _document_frequencies(documents, dtype, block)
     idf = np.log((1 + n) / (1 + df)) + 1e-9
     floor = -math.log(FREQUENT)
     # within a factor of two, so that no few words decide about an item, and alike at every size of the table
     weights = np.where(df > FREQUENT * max(n, 1), 0.0, np.clip(idf, floor, 2 * floor))
-    item_words = [np.searchsorted(block.terms, w) for w in block.words]
+    item_words = [block.place[w] for w in block.words]
     low = weights == 0
     for words in item_words:  # an item of frequent terms is found by its rarest ones
         terms, tf = np.unique(words, return_counts=True)
@@ -240,7 +289,7 @@ def fit(documents: DataFrame, text: str, block: Block, seed: int = 11) -> None:
     items /= size[:, None]
     r = min(len(block.terms), len(items) + OVERSAMPLE)
     omega = np.random.default_rng(seed).standard_normal((len(block.terms), r)).astype(np.float32)
-    gram, trace = _gram_sketch(documents, text, block, omega)
+    gram, trace = _gram_sketch(documents, dtype, block, omega)
     # the items weigh as much as all passages together
     gram = gram + max(1.0, trace / len(items)) * (items.T.astype(np.float64) @ (items @ omega))
     shift = 1e-7 * np.linalg.norm(gram)
@@ -310,13 +359,18 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id",
     kind = documents.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, item_id long, cosine double, lcs double, answer double, start long"
     queries = [(r["item_id"], r["text"]) for r in benchmark.select("item_id", "text").orderBy("item_id", "text").collect()]
+    vocabulary, parts = blocks(queries)
+    if not len(vocabulary):
+        return spark.createDataFrame([], schema)
+    numbered, dtype = stored(word_numbers(documents, key, text, vocabulary), "words"), np.min_scalar_type(len(vocabulary))
     found = None
-    for block in blocks(queries):
-        fit(documents, text, block)
+    for block in parts:
+        fit(numbered, dtype, block)
 
         def search(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             for batch in _small(batches):
-                hashes, first, text_of, start, size, row, term, weight = passages(batch.column(1), block)
+                numbers, counts = _flat(batch.column(1), dtype)
+                first, text_of, start, size, row, term, weight = passages(numbers, counts, block)
                 # no item has a larger share in a passage than its terms can give
                 enough = np.bincount(row, weight * block.most[term], minlength=len(text_of))[row] >= BOUND
                 row, term, weight = row[enough], term[enough], weight[enough]
@@ -326,7 +380,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id",
                     along = dense @ block.latent[terms] @ block.items.T
                     for i, k in zip(*np.nonzero(along >= block.least)):
                         doc, at = int(text_of[passage[i]]), int(start[passage[i]])
-                        words = hashes[first[doc] : first[doc + 1]]
+                        words = numbers[first[doc] : first[doc + 1]]
                         if not may_leak(block.words[k], words, at):
                             continue
                         lcs, answer = verify(block.words[k], block.answers[k], words, at)
@@ -341,6 +395,6 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id",
                      pa.array([v[1] for v in values], pa.float64()), pa.array([-v[3] for v in values], pa.int64())],
                     names=[key, "item_id", "cosine", "lcs", "answer", "start"])
 
-        rows = documents.select(key, text).mapInArrow(search, schema)
+        rows = numbered.select("key", "words").mapInArrow(search, schema)
         found = rows if found is None else found.unionByName(rows)
-    return found.dropDuplicates([key, "item_id", "start"]) if found is not None else spark.createDataFrame([], schema)
+    return found.dropDuplicates([key, "item_id", "start"])

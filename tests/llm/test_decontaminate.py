@@ -123,3 +123,31 @@ def test_awkward_rows(spark):
     assert found == [(5, 3), (5, 4), (7, 5)]
     assert decontaminate.find_leaks(empty(spark), items).collect() == []
     assert decontaminate.find_leaks(docs, items.limit(0)).collect() == []
+
+
+def test_frequencies_count_every_document(spark, monkeypatch):
+    rng, items, docs = world(spark)
+    word = items[0][1].split()[0]
+    for i in range(60):
+        docs[100 + i] = docs[i]  # copies count once
+        docs[200 + i] = f"x{i} y{i} {word} z{i}"
+    docs |= {300: f"u1 u2 u3 {items[3][1]} u4", 301: None, 302: "", 303: "?."}  # an item's words beside each other don't count
+    monkeypatch.setattr(decontaminate, "SAMPLE", 10, raising=False)
+    counted, found = decontaminate._document_frequencies, []
+
+    def recorded(*args):
+        found.append(counted(*args))
+        return found[-1]
+
+    monkeypatch.setattr(decontaminate, "_document_frequencies", recorded)
+    decontaminate.find_leaks(
+        spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3), spark.createDataFrame(items, ITEMS)).collect()
+    plain = lambda t: t.replace("?", " ").replace(".", " ").split()
+    pairs = {p for _, t in items for p in zip(plain(t), plain(t)[1:])}
+    once = []
+    for t in {t for t in docs.values() if t and plain(t)}:
+        shared = [p in pairs for p in zip(plain(t), plain(t)[1:])]
+        once.append({w for w, a, b in zip(plain(t), [False, *shared], [*shared, False]) if not a and not b})
+    terms = {w for _, t in items for w in plain(t)}
+    assert len(once) == 121 and found[0][1] == 121
+    assert sorted(found[0][0].tolist()) == sorted(sum(w in o for o in once) for w in terms)
