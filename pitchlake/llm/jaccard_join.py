@@ -12,8 +12,8 @@ near the borders both ways are used, so that partners on either side meet.
 
 Documents of one index entry are first compared with one of them only, in two rounds, at first with the one that has the
 fewest tokens of its own (of copies with changes, that is the original); links put them into components.
-Then every pair of one entry that still lies in different components is compared, and in one entry only, if the first tokens of
-both tell which of the many that similar sets share comes first. A pair is dropped before that only if its
+Then every pair of one entry that still lies in different components is compared, and in one entry only, if the first tokens or
+the first single entries of both tell which of the many that similar sets share comes first. A pair is dropped before that only if its
 sizes, its unique tokens (which it can't share), or the parities of its tokens in 256 classes prove that it can't link: sets
 differ in at least as many tokens as their parities differ in classes. All comparisons are exact, on whole sets. No link between components is lost, and a
 large group of copies costs a number of comparisons in proportion to its size.
@@ -42,8 +42,8 @@ SMALL = 160
 PAIRS_FROM, PAIRS_TO = 8, 400
 #: Tokens that a task gathers before it sends them, and aims at for one group that counts them.
 GATHER, PER_BUCKET = 1 << 18, 1 << 19
-#: Tokens of a set that tell in which of their shared pairs two sets are compared.
-HEAD = 12
+#: Tokens in pairs, and entries that are single tokens, of a set, that tell in which of their shared entries two sets are compared.
+HEAD, SINGLES = 12, 24
 #: Up to so many ids (8 bytes each) of documents to compare are broadcast to the scan of the texts; beyond, Spark shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -259,21 +259,28 @@ def _may_link(a: str, b: str, percent: int) -> Column:
 
 
 def with_heads(member: DataFrame) -> DataFrame:
-    """``member`` with ``head``: the first ``HEAD`` tokens of the set's entries that are pairs, ascending; empty if there are none."""
+    """``member`` with ``head``: the first ``HEAD`` tokens of the set's entries that are pairs, ascending, and ``singles``: its
+    first ``SINGLES`` other entries, ascending. Both are empty if there are none."""
     # a set of PAIRS_TO tokens has some sixty in its pairs at most
-    heads = member.where("u <> 0").groupBy("fp").agg(F.collect_set("t").alias("ts"), F.collect_set("u").alias("us"))
-    heads = heads.select("fp", F.slice(F.sort_array(F.array_union("ts", "us")), 1, HEAD).alias("head"))
-    return member.join(heads, "fp", "left").withColumn("head", F.coalesce("head", F.array().cast("array<long>")))
+    pair = F.col("u") != 0
+    heads = member.groupBy("fp").agg(
+        F.collect_set(F.when(pair, F.col("t"))).alias("ts"), F.collect_set(F.when(pair, F.col("u"))).alias("us"),
+        F.collect_set(F.when(~pair, F.col("entry"))).alias("es"))
+    heads = heads.select(
+        "fp", F.slice(F.sort_array(F.array_union("ts", "us")), 1, HEAD).alias("head"), F.slice(F.sort_array("es"), 1, SINGLES).alias("singles"))
+    return member.join(heads, "fp")
 
 
 def _meet_here(a: str, b: str) -> Column:
     """Whether two sets (columns with a prefix) are to be compared in this entry, out of all that they share.
 
-    If their heads share two tokens, both sets have the pair of the first two as an entry, and meet in that one only; else in each.
+    If their heads share two tokens, both sets have the pair of the first two as an entry, and meet in that one only. Else they
+    meet in the first of the single entries that both have among their first, or in each if there is none.
     """
-    common = F.array_intersect(f"{a}head", f"{b}head")
+    common, singles = F.array_intersect(f"{a}head", f"{b}head"), F.array_intersect(f"{a}singles", f"{b}singles")
     pair = (F.col(f"{a}t") == F.get(common, F.lit(0))) & (F.col(f"{a}u") == F.get(common, F.lit(1)))
-    return (F.size(common) < 2) | F.coalesce(pair, F.lit(False))
+    first = F.coalesce(F.col("entry") == F.get(singles, F.lit(0)), F.lit(True))
+    return F.when(F.size(common) < 2, first).otherwise(pair)
 
 
 def _linked(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -347,8 +354,8 @@ def similar_groups(documents: DataFrame, key: str = "doc_id", text: str = "text"
             pairs = pairs.select(F.least("fp", "hub_fp").alias("a"), F.greatest("fp", "hub_fp").alias("b"))
         else:
             open_ = member.groupBy("entry").agg(F.min("comp").alias("c"), F.max("comp").alias("d")).where("c <> d").select("entry")
-            columns = ["t", "u", *fixed, "comp", "head"]
-            member = stored(with_heads(member.join(open_, "entry").select("entry", *columns[:-1])).select("entry", *columns), "open")
+            columns = ["t", "u", *fixed, "comp", "head", "singles"]
+            member = stored(with_heads(member.join(open_, "entry").select("entry", *columns[:-2])).select("entry", *columns), "open")
             left, right = (member.select("entry", *[F.col(c).alias(f"{side}{c}") for c in columns]) for side in ("x_", "y_"))
             pairs = left.join(right, "entry").where(
                 (F.col("x_fp") < F.col("y_fp")) & (F.col("x_comp") != F.col("y_comp")) & _may_link("x_", "y_", percent) & _meet_here("x_", "y_"))

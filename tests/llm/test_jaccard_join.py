@@ -160,3 +160,25 @@ def test_pairs_of_a_group_meet_once(spark, monkeypatch):
         rows[n] = pairs.where(jaccard_join._meet_here("x_", "y_")).count(), pairs.select("x_fp", "y_fp").distinct().count(), every
         assert pairs.where(jaccard_join._meet_here("x_", "y_")).select("x_fp", "y_fp").distinct().count() == rows[n][1]
     assert rows and all(here <= 1.5 * pairs and every > 50 * pairs for here, pairs, every in rows.values())
+
+
+def test_pairs_of_large_sets_meet_once(spark, monkeypatch):
+    """Large sets index single tokens: near misses of a group share many, and meet in one of them."""
+    opened, real = [], jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, name: opened.append((name, real(df, name))) or opened[-1][1])
+    rng = random.Random(9)
+    base, docs = [f"w{i}" for i in range(900)], {}
+    for d in range(80):
+        words = list(base)
+        for place in rng.sample(range(0, 900, 5), 24):
+            words[place] = f"x{d}y{place}"
+        docs[d] = " ".join(words)
+    found = result(jaccard_join.similar_groups(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), k=4, percent=85))
+    assert found == brute(docs, 4, 85)
+    member = [df for name, df in opened if name == "open"][-1]
+    columns = [c for c in member.columns if c != "entry"]
+    left, right = (member.select("entry", *[member[c].alias(f"{side}{c}") for c in columns]) for side in ("x_", "y_"))
+    every = left.join(right, "entry").where("x_fp < y_fp and x_comp <> y_comp")
+    here, pairs = every.where(jaccard_join._meet_here("x_", "y_")), every.select("x_fp", "y_fp").distinct().count()
+    assert here.select("x_fp", "y_fp").distinct().count() == pairs > 1000
+    assert here.count() <= 1.1 * pairs and every.count() > 20 * pairs
